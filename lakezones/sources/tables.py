@@ -29,8 +29,17 @@ def unless_missing(action: Callable[[], Found], otherwise: Found) -> Found:
 
 
 def read_table(spark: SparkSession, name: str | tuple[str, ...]) -> DataFrame | None:
-    """The whole table, or None if there is no such table."""
-    return unless_missing(lambda: spark.table(quoted_table(name)), None)
+    """The whole table, or None if there is no such table.
+
+    The catalog entry is refreshed first: another session, such as that of a stream, may have
+    moved the table to new files since this session last read it.
+    """
+
+    def read() -> DataFrame:
+        spark.catalog.refreshTable(quoted_table(name))
+        return spark.table(quoted_table(name))
+
+    return unless_missing(read, None)
 
 
 def table_exists(spark: SparkSession, name: str | tuple[str, ...]) -> bool:

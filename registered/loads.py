@@ -17,6 +17,7 @@ from lakezones.plans.refined_customers import load_refined_customers
 from lakezones.session import stage
 from lakezones.sinks.tables import create_table, merge_or_create
 from lakezones.sources.pages import read_pages
+from lakezones.sources.tables import read_table
 from lakezones.specs import TableSpec
 from lakezones.streaming.upserts import upsert_new_files
 from lakezones.streaming.watermark import WatermarkStore
@@ -140,4 +141,4 @@ def stream_upserts(t: Tables) -> DataFrame:
             t.spark, landing, "doc string", lambda pages: raw_records(pages, RUN_TIME), table, ["customer_id"],
             "updated", checkpoint, ties=["Content"],
         ).awaitTermination()
-    return ntz(t.spark.table(".".join(table)), "created", "Updated_On")
+    return ntz(read_table(t.spark, table), "created", "Updated_On")

@@ -1,0 +1,204 @@
+import json
+from datetime import date, datetime
+
+import pytest
+
+from lakezones.fixed_values import REFINED_INPUT_COLUMNS
+from lakezones.operators.merge import MergeCardinalityError
+from lakezones.plans import raw_customers as raw_plan
+from lakezones.plans.backfill import backfill_orders, load_backfill
+from lakezones.plans.curated import load_curated
+from lakezones.plans.raw_customers import load_raw_customers, raw_records
+from lakezones.plans.refined_customers import load_refined_customers
+from lakezones.plans.runner import run_tables
+from lakezones.sources.tables import read_table
+from lakezones.specs import TableSpec
+from lakezones.streaming.upserts import upsert_new_files
+from lakezones.streaming.watermark import WatermarkStore
+
+RUN = datetime(2024, 5, 1, 12)
+
+
+def customer(key, day, name="A", created="2020-01-01T00:00:00Z"):
+    return {"id": key, "createdAt": created, "updatedAt": f"2024-01-{day:02}T00:00:00Z", "firstName": name}
+
+
+def pages(spark, *records):
+    return spark.createDataFrame([(json.dumps({"_embedded": {"customers": list(records)}}),)], "doc string")
+
+
+def names(spark, table):
+    rows = spark.table(table).selectExpr("customer_key", "customer_id", "get_json_object(content, '$.firstName')")
+    return sorted(map(tuple, rows.collect()))
+
+
+@pytest.fixture
+def state(spark, tmp_path):
+    return WatermarkStore(spark, str(tmp_path / "state"))
+
+
+def test_watermarks(state):
+    assert state.read("a") is None
+    state.advance("a", None)
+    assert state.read("a") is None
+    state.advance("a", "2024-01-02T00:00:00Z")
+    state.advance("b", "2025-01-02T00:00:00Z")
+    state.advance("a", "2024-01-03T00:00:00Z")
+    assert (state.read("a"), state.read("b")) == ("2024-01-03T00:00:00Z", "2025-01-02T00:00:00Z")
+
+
+def test_raw_load(spark, database, state):
+    table = f"{database}.customers"
+    first = pages(
+        spark, customer(20, 1, created="2021-01-01T00:00:00Z"), customer(10, 1, "old"), customer(10, 2, "new"),
+        customer("x", 3), customer(None, 3), customer(30, 9, created="1969-12-31T00:00:00Z"), customer(40, 9, created="?"),
+    )
+    report = load_raw_customers(first, table, state, RUN)
+    assert (report.rows, report.null_keys, report.watermark) == (5, 2, "2024-01-03T00:00:00Z")
+    assert names(spark, table) == [(1, 10, "new"), (2, 20, "A")]
+    assert tuple(spark.table(table).columns) == REFINED_INPUT_COLUMNS
+
+    second = pages(spark, customer(20, 1, "unseen"), customer(20, 5, "B"), customer(5, 4), customer(7, 4, created="2019-01-01T00:00:00Z"))
+    load_raw_customers(second, table, state, RUN)
+    assert names(spark, table) == [(1, 10, "new"), (2, 20, "B"), (3, 7, "A"), (4, 5, "A")]
+    assert state.read("customers") == "2024-01-05T00:00:00Z"
+
+    nothing = load_raw_customers(pages(spark), table, state, RUN)
+    assert (nothing.rows, nothing.watermark, state.read("customers")) == (0, None, "2024-01-05T00:00:00Z")
+
+
+def test_crash_before_the_advance_repeats_the_load(spark, database, state, monkeypatch):
+    table, batch = f"{database}.customers", pages(spark, customer(1, 1), customer(2, 2))
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(WatermarkStore, "advance", crash)
+        with pytest.raises(RuntimeError, match="lost"):
+            load_raw_customers(batch, table, state, RUN)
+    assert state.read("customers") is None
+    load_raw_customers(batch, table, state, RUN)
+    assert names(spark, table) == [(1, 1, "A"), (2, 2, "A")]
+
+
+def test_crash_in_the_merge_keeps_the_watermark(spark, database, state, monkeypatch):
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(raw_plan, "merge_or_create", crash)
+    with pytest.raises(RuntimeError, match="lost"):
+        load_raw_customers(pages(spark, customer(1, 1)), f"{database}.customers", state, RUN)
+    assert state.read("customers") is None
+
+
+def test_many_batches_equal_one(spark, database, state, tmp_path):
+    history = [customer(k, day, f"{k}-{day}") for day in range(1, 10) for k in range(day % 3, 6)]
+    for end in (3, 6, 9):
+        landed = [c for c in history if int(c["updatedAt"][8:10]) <= end]
+        load_raw_customers(pages(spark, *landed), f"{database}.steps", state, RUN)
+    load_raw_customers(pages(spark, *history), f"{database}.once", WatermarkStore(spark, str(tmp_path / "other")), RUN)
+    assert [row[1:] for row in names(spark, f"{database}.steps")] == [row[1:] for row in names(spark, f"{database}.once")]
+
+
+def test_refined_load(spark, database, state):
+    raw, refined = f"{database}.raw", f"{database}.refined"
+    assert load_refined_customers(spark, raw, refined) is None
+    load_raw_customers(pages(spark, customer(2, 1, " Bo "), customer(1, 1)), raw, state, RUN)
+    report = load_refined_customers(spark, raw, refined)
+    assert (report.rows_before, report.rows_after, report.status, report.success) == (0, 2, "inserted", False)
+    assert load_refined_customers(spark, raw, refined).status == "unchanged"
+    assert [tuple(r) for r in spark.table(refined).select("customer_id", "first_name").orderBy("customer_id").collect()] == [
+        (1, "A"), (2, "Bo"),
+    ]
+
+
+def test_curated_load(spark, rows):
+    refined, curated = "refined_test", "curated_test"
+    for zone in (refined, curated):
+        spark.sql(f"CREATE DATABASE {zone}")
+    try:
+        spec = TableSpec("orders", primary_keys=("sapid",))
+        assert not load_curated(spark, spec, refined, curated)
+
+        def arrives(*values):
+            df = spark.createDataFrame(list(values), "sapid string, day string, v int")
+            df = df.selectExpr("sapid", "CAST(day AS timestamp) AS ingest_timestamp", "v")
+            df.write.mode("append").saveAsTable(f"{refined}.orders")
+
+        arrives(("never", None, 0))
+        assert not load_curated(spark, spec, refined, curated)
+        arrives(("a", "2024-01-01 10:00:00", 1), ("b", "2024-01-02 00:00:00", 2), ("c", "2024-01-02 23:59:59", 3))
+        assert load_curated(spark, spec, refined, curated)
+        table = spark.table(f"{curated}.orders").select("sapid", "v")
+        assert rows(table) == [("b", 2), ("c", 3)]
+        arrives(("c", "2024-01-03 10:00:00", 30), ("d", "2024-01-03 10:00:00", 4))
+        assert load_curated(spark, spec, refined, curated)
+        assert rows(spark.table(f"{curated}.orders").select("sapid", "v")) == [("b", 2), ("c", 30), ("d", 4)]
+        arrives(("d", "2024-01-04 10:00:00", 5), ("d", "2024-01-04 11:00:00", 6))
+        with pytest.raises(MergeCardinalityError):
+            load_curated(spark, spec, refined, curated)
+    finally:
+        for zone in (refined, curated):
+            spark.sql(f"DROP DATABASE {zone} CASCADE")
+
+
+def test_backfill(spark, database, tmp_path, rows):
+    texts = {
+        "c1": "sapid,order_date,ship\n001,2024-01-01 10:00:00,2024-01-01\n002,2024-01-02,2024-02-01\n",
+        "c2": "note,sapid,order_date,ship\nhi,003,01.01.2024,2024-01-31\n",
+        "c3": "",
+    }
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    paths = [str(tmp_path / f"{name}.csv") for name in texts]
+    orders = backfill_orders(spark, paths, date(2024, 5, 1), ["order_date"])
+    assert dict(orders.dtypes)["order_date"] == "timestamp"
+    table = f"{database}.orders"
+    assert load_backfill(orders, table)
+    assert load_backfill(orders, table, replace=True)
+    result = spark.table(table).selectExpr("DT_PARTITION", "sapid", "note", "CAST(order_date AS string) AS at")
+    assert rows(result) == [
+        ("2024-05-01", "001", None, "2024-01-01 10:00:00"),
+        ("2024-05-01", "002", None, None),
+        ("2024-05-01", "003", "hi", None),
+    ]
+    january = backfill_orders(spark, paths, date(2024, 5, 1), ["order_date"], "ship", date(2024, 1, 1), date(2024, 1, 31))
+    assert rows(january, "sapid") == [("001",), ("003",)]
+    assert not load_backfill(backfill_orders(spark, paths[2:], date(2024, 5, 1), ["order_date"]), table)
+
+
+def test_one_failing_table_does_not_stop_the_others():
+    def load(spec):
+        if spec.name == "bad":
+            raise ValueError("no")
+        return spec.name.upper()
+
+    done = []
+    with pytest.raises(ExceptionGroup) as caught:
+        run_tables([TableSpec("bad"), TableSpec("good")], lambda spec: done.append(load(spec)))
+    assert done == ["GOOD"] and "bad" in caught.value.exceptions[0].__notes__[0]
+    assert run_tables([TableSpec("good")], load) == {"good": "GOOD"}
+
+
+def test_stream_merges_only_new_files_and_survives_a_repeat(spark, database, tmp_path):
+    landing, table = tmp_path / "landing", f"{database}.customers"
+    landing.mkdir()
+
+    def run(checkpoint="checkpoint"):
+        upsert_new_files(
+            spark, str(landing), "doc string", lambda docs: raw_records(docs, RUN), table, ["customer_id"], "updated",
+            str(tmp_path / checkpoint), ties=["Content"], max_files=1,
+        ).awaitTermination()
+        rows = read_table(spark, table).selectExpr("customer_id", "get_json_object(Content, '$.firstName')")
+        return sorted(map(tuple, rows.collect()))
+
+    def land(name, *records):
+        (landing / name).write_text(json.dumps({"_embedded": {"customers": list(records)}}) + "\n")
+
+    land("1", customer(1, 1), customer(1, 2, "B"), customer("x", 1))
+    assert run() == [(1, "B")]
+    land("2", customer(2, 3), customer(1, 4, "C"))
+    assert run() == [(1, "C"), (2, "A")]
+    assert run() == [(1, "C"), (2, "A")]
+    assert run("a new checkpoint reads all files again") == [(1, "C"), (2, "A")]

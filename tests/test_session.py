@@ -1,0 +1,37 @@
+import pytest
+
+from lakezones.session import scratch_path, scratch_root, stage
+from lakezones.specs import quoted_table
+
+
+class Conf(dict):
+    set = dict.__setitem__
+
+
+class FakeSession:
+    def __init__(self, **conf):
+        self.conf = Conf(conf)
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_no_local_folder_on_a_cluster():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(FakeSession(**{"spark.master": "yarn"}))
+    local = FakeSession(**{"spark.master": "local[2]"})
+    assert scratch_root(local) == scratch_root(local) == local.conf["spark.checkpoint.dir"]
+
+
+def test_stage_keeps_rows_and_types(spark):
+    df = spark.sql("SELECT 1 AS a, CAST(NULL AS timestamp_ntz) AS `b.c`, array(1) AS d")
+    staged = stage(df)
+    assert staged.dtypes == df.dtypes and staged.collect() == df.collect()
+    assert stage(df.filter("false")).count() == 0
+
+
+def test_quoting():
+    assert quoted_table("a.b-c") == "`a`.`b-c`"
+    assert quoted_table(("a.b", "c`d")) == "`a.b`.`c``d`"

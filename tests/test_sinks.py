@@ -1,0 +1,103 @@
+import glob
+from datetime import date
+
+import pyarrow.parquet
+import pytest
+from pyspark.sql import functions as F
+
+from lakezones.fixed_values import EXPORT_COLUMNS
+from lakezones.operators.columns import partition_stamp
+from lakezones.operators.merge import MergeCardinalityError
+from lakezones.sinks.export import parquet_export
+from lakezones.sinks.tables import append_partitions, merge_or_create, overwrite_or_create
+from lakezones.sources.tables import read_table
+
+SCHEMA = "k int, v string"
+
+
+def location(spark, table):
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return next(r.data_type for r in rows if r.col_name == "Location")
+
+
+def test_merge_creates_then_upserts(spark, database, rows):
+    table = f"{database}.t"
+    merge_or_create(spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA), table, ["k"])
+    merge_or_create(spark.createDataFrame([("B", 2), ("C", 3)], "V string, K int"), table, ["k"])
+    assert rows(spark.table(table)) == [(1, "a"), (2, "B"), (3, "C")]
+    merge_or_create(spark.createDataFrame([("B", 2), ("C", 3)], "V string, K int"), table, ["k"])
+    assert rows(spark.table(table)) == [(1, "a"), (2, "B"), (3, "C")]
+
+
+def test_failed_merge_leaves_the_table(spark, database, rows):
+    table = f"{database}.t"
+    merge_or_create(spark.createDataFrame([(1, "a")], SCHEMA), table, ["k"])
+    before = location(spark, table)
+    with pytest.raises(MergeCardinalityError):
+        merge_or_create(spark.createDataFrame([(1, "x"), (1, "y")], SCHEMA), table, ["k"])
+    failing = spark.createDataFrame([(2, "b")], SCHEMA).withColumn("v", F.raise_error(F.lit("no")))
+    with pytest.raises(Exception, match="no"):
+        merge_or_create(failing, table, ["k"])
+    assert (location(spark, table), rows(spark.table(table))) == (before, [(1, "a")])
+
+
+def test_merge_may_read_its_own_table(spark, database, rows):
+    table = f"{database}.t"
+    merge_or_create(spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA), table, ["k"])
+    merge_or_create(spark.table(table).withColumn("v", F.upper("v")), table, ["k"], staged=True)
+    assert rows(spark.table(table)) == [(1, "A"), (2, "B")]
+
+
+def test_partitioned_merge_rewrites_touched_partitions_only(spark, database, rows):
+    table, schema = f"{database}.t", "day string, k int, v string"
+    first = spark.createDataFrame([("d1", 1, "a"), ("d1", 2, "b"), ("d2", 1, "c"), (None, 1, "n")], schema)
+    merge_or_create(first, table, ["k", "day"], partition_column="day")
+    untouched = set(glob.glob(location(spark, table).removeprefix("file:") + "/day=d2/*.parquet"))
+    merge_or_create(spark.createDataFrame([("d1", 2, "B"), ("d3", 9, "z"), (None, 1, "N")], schema), table, ["k", "day"])
+    assert rows(spark.table(table), "day", "k", "v") == [
+        (None, 1, "N"), (None, 1, "n"), ("d1", 1, "a"), ("d1", 2, "B"), ("d2", 1, "c"), ("d3", 9, "z"),
+    ]
+    assert untouched == set(glob.glob(location(spark, table).removeprefix("file:") + "/day=d2/*.parquet"))
+    with pytest.raises(MergeCardinalityError):
+        merge_or_create(spark.createDataFrame([("d2", 1, "p"), ("d2", 1, "q")], schema), table, ["k", "day"])
+    with pytest.raises(ValueError, match="partition"):
+        merge_or_create(first, table, ["k"])
+
+
+def test_overwrite(spark, database, rows):
+    table = f"{database}.t"
+    overwrite_or_create(spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA), table)
+    overwrite_or_create(spark.createDataFrame([("c", 3)], "v string, k int"), table)
+    assert rows(spark.table(table)) == [(3, "c")]
+    overwrite_or_create(spark.table(table).withColumn("k", F.col("k") + 1), table)
+    assert rows(spark.table(table)) == [(4, "c")]
+
+
+def test_append_partitions(spark, database, rows):
+    table = f"{database}.t"
+    day = lambda df, n: partition_stamp(df, date(2024, 1, n))
+    empty = spark.createDataFrame([], SCHEMA)
+    assert not append_partitions(day(empty, 1), table)
+    assert not append_partitions(spark.createDataFrame([], "struct<>"), table)
+    assert read_table(spark, table) is None
+    assert append_partitions(day(spark.createDataFrame([(1, "a")], SCHEMA), 1), table)
+    assert append_partitions(day(spark.createDataFrame([("new", 2)], "extra string, k int"), 2), table)
+    assert append_partitions(day(spark.createDataFrame([(1, "a")], SCHEMA), 1), table)
+    assert rows(spark.table(table), "DT_PARTITION", "k", "v", "extra") == [
+        ("2024-01-01", 1, "a", None), ("2024-01-01", 1, "a", None), ("2024-01-02", 2, None, "new"),
+    ]
+    assert append_partitions(day(spark.createDataFrame([(5, "z")], SCHEMA), 1), table, replace=True)
+    assert rows(spark.table(table), "DT_PARTITION", "k") == [("2024-01-01", 5), ("2024-01-02", 2)]
+    assert spark.sql(f"SHOW PARTITIONS {table}").count() == 2
+    plan = spark.table(table).filter("DT_PARTITION = '2024-01-02'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(DT_PARTITION" in plan
+
+
+def test_export(spark, tmp_path):
+    df = spark.range(10).selectExpr(
+        "'u' AS Updated_On", "id AS content", "id AS customer_key", "id AS CUSTOMER_ID", "'c' AS created", "'u' AS updated"
+    )
+    parquet_export(df, str(tmp_path / "out"))
+    file = pyarrow.parquet.ParquetFile(glob.glob(str(tmp_path / "out" / "*.parquet"))[0])
+    assert tuple(file.schema_arrow.names) == EXPORT_COLUMNS
+    assert file.metadata.row_group(0).column(0).compression == "GZIP"

@@ -1,0 +1,127 @@
+import json
+
+import pytest
+
+from lakezones.sources.delimited import read_sources, read_text_csv, union_by_name
+from lakezones.sources.pages import flatten_pages, page_completeness, read_pages
+from lakezones.sources.tables import (
+    parquet_row_count,
+    read_table,
+    register_dataset,
+    table_exists,
+    table_row_count,
+)
+
+
+def docs(spark, *pages):
+    return spark.createDataFrame([(p if isinstance(p, str) or p is None else json.dumps(p),) for p in pages], "doc string")
+
+
+def page(*records, number=1, pages=1, elements=0):
+    return {
+        "_embedded": {"customers": list(records)},
+        "page": {"number": number, "size": 50, "totalElements": elements, "totalPages": pages},
+    }
+
+
+def test_flatten(spark):
+    first = {"id": 7, "createdAt": "c", "updatedAt": "u", "more": {"a": [1, 2]}, "z": None}
+    records = flatten_pages(docs(spark, page(first, {"id": "x"}), page({"id": None, "createdAt": 3}))).collect()
+    assert [tuple(r)[:3] for r in records] == [("7", "c", "u"), ("x", None, None), (None, "3", None)]
+    assert json.loads(records[0].Content) == first
+
+
+def test_pages_without_records(spark):
+    odd = docs(spark, None, "{bad", "{}", {"_embedded": None}, {"_embedded": {}}, {"_embedded": {"customers": []}}, "[]")
+    assert flatten_pages(odd).count() == 0
+
+
+def test_other_list_and_fields(spark):
+    df = docs(spark, {"data": [{"key": 1}]})
+    assert flatten_pages(df, path=("data",), fields={"k": "key"}, content="text").first().asDict() == {
+        "k": "1", "text": '{"key":1}',
+    }
+
+
+def test_page_files(spark, tmp_path):
+    (tmp_path / "lines").write_text(json.dumps(page({"id": 1})) + "\n" + json.dumps(page({"id": 2})) + "\n")
+    assert flatten_pages(read_pages(spark, str(tmp_path / "lines"))).count() == 2
+    (tmp_path / "pretty").write_text(json.dumps(page({"id": 1}, {"id": 2}), indent=2))
+    assert flatten_pages(read_pages(spark, str(tmp_path / "pretty"), whole_files=True)).count() == 2
+
+
+def test_completeness(spark):
+    landed = docs(
+        spark,
+        page({"id": 1}, {"id": 2}, number=1, pages=3, elements=6),
+        page({"id": 3}, number=3, pages=3, elements=6),
+        page({"id": 3}, number=3, pages=3, elements=6),
+    )
+    assert page_completeness(landed).first().asDict() == {
+        "pages_seen": 2, "pages_expected": 3, "pages_missing": 1,
+        "records_seen": 4, "records_expected": 6, "records_missing": 2,
+    }
+    assert set(page_completeness(docs(spark, "{}").filter("false")).first()) == {0}
+    assert page_completeness(docs(spark, "{}")).first().records_seen == 0
+
+
+def test_csv_is_all_text(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,name,note\n007,"O""Neil, Tom","two\nlines"\n2,NA,\n3,nan,None \n')
+    df = read_text_csv(spark, str(tmp_path / "a.csv"))
+    assert set(df.dtypes) == {("id", "string"), ("name", "string"), ("note", "string")}
+    assert [tuple(r) for r in df.collect()] == [
+        ("007", 'O"Neil, Tom', "two\nlines"), ("2", None, None), ("3", None, "None "),
+    ]
+    kept = read_text_csv(spark, str(tmp_path / "a.csv"), null_tokens=())
+    assert kept.collect()[1].name == "NA"
+
+
+def test_sources_with_differing_headers(spark, tmp_path, rows):
+    texts = {"a": "id,x\n01,1\n", "b": "y,id\n2,02\n", "c": "", "d": "id,x\n", "e": "id,x\n05,\n"}
+    for name, text in texts.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part.csv").write_text(text)
+    df = read_sources(spark, [str(tmp_path / name) for name in texts])
+    assert rows(df, "id", "x", "y") == [("01", "1", None), ("02", None, "2"), ("05", None, None)]
+    # Sources with one header share a scan.
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("csv") == 2
+    empty = read_sources(spark, [str(tmp_path / "c")])
+    assert empty.columns == [] and empty.isEmpty()
+    assert read_sources(spark, []).columns == []
+
+
+def test_missing_source_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_sources(spark, [str(tmp_path / "absent")])
+
+
+def test_union_by_name(spark, rows):
+    a = spark.createDataFrame([(1, "x")], "id int, a string")
+    b = spark.createDataFrame([("y", 2)], "b string, id int")
+    both = union_by_name([spark.createDataFrame([], "struct<>"), a, b])
+    assert rows(both, "id", "a", "b") == [(1, "x", None), (2, None, "y")]
+    with pytest.raises(ValueError):
+        union_by_name([])
+
+
+def test_missing_tables_and_paths(spark, database, tmp_path):
+    assert read_table(spark, (database, "absent")) is None
+    assert read_table(spark, "no_such_zone.absent") is None
+    assert not table_exists(spark, f"{database}.absent")
+    assert table_row_count(spark, f"{database}.absent") == 0
+    assert parquet_row_count(spark, str(tmp_path / "absent")) == 0
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        parquet_row_count(spark, str(tmp_path / "broken"))
+
+
+def test_discovery(spark, database, tmp_path, rows):
+    path, table = str(tmp_path / "data"), (database, "found")
+    spark.range(2).write.parquet(f"{path}/day=2024-01-01")
+    assert rows(register_dataset(spark, table, path, ("day",)), "id") == [(0,), (1,)]
+    spark.range(5, 6).selectExpr("id", "'n' AS extra").write.parquet(f"{path}/day=2024-01-02")
+    found = register_dataset(spark, table, path, ("day",))
+    assert rows(found, "id", "extra") == [(0, None), (1, None), (5, "n")]
+    assert spark.sql(f"SHOW PARTITIONS {database}.found").count() == 2
+    assert table_row_count(spark, table) == 3

@@ -1,0 +1,64 @@
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakezones.fixed_values import BACKFILL_END, BACKFILL_START
+from lakezones.operators.windows import assign_window, date_windows, windows_of, worklist
+
+D = date.fromisoformat
+
+
+def windows(spark, start, end, **options):
+    return [tuple(r) for r in date_windows(spark, D(start), D(end), **options).orderBy("start_date").collect()]
+
+
+def test_full_backfill_range(spark):
+    found = windows(spark, BACKFILL_START, BACKFILL_END)
+    assert len(found) == 558
+    assert found[0] == (D("2022-01-01"), D("2022-01-02"))
+    assert found[-1] == (D("2025-01-19"), D("2025-01-20"))
+
+
+def test_bounds(spark):
+    assert windows(spark, "2024-01-01", "2024-01-01") == [(D("2024-01-01"), D("2024-01-02"))]
+    assert windows(spark, "2024-01-01", "2024-01-01", clamp=True) == [(D("2024-01-01"), D("2024-01-01"))]
+    assert windows(spark, "2024-01-02", "2024-01-01") == []
+    assert windows(spark, "2024-01-01", "2024-01-07", step_days=5) == [
+        (D("2024-01-01"), D("2024-01-05")),
+        (D("2024-01-06"), D("2024-01-10")),
+    ]
+
+
+def test_windows_of_a_table(spark):
+    df = spark.createDataFrame([("2024-01-01 05:00:00",), ("2024-01-04 01:00:00",), (None,)], "t string")
+    df = df.select(F.col("t").cast("timestamp_ntz").alias("t"))
+    assert [r.start_date for r in windows_of(df, "t").orderBy("start_date").collect()] == [D("2024-01-01"), D("2024-01-03")]
+    assert windows_of(df.filter("false"), "t").count() == 0
+
+
+def test_worklist_without_a_join(spark):
+    work = worklist(spark.range(3), F.lit(D("2024-01-01")), F.lit(D("2024-01-04")))
+    assert work.count() == 6
+    plan = work._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("step, clamp", [(1, False), (2, False), (2, True), (5, True)])
+def test_each_row_is_in_exactly_one_window(spark, step, clamp):
+    start, end = D("2024-01-01"), D("2024-01-09")
+    df = spark.range(-3, 20).select(F.date_add(F.lit(start), F.col("id").cast("int")).cast("timestamp_ntz").alias("t"))
+    placed = assign_window(df, "t", start, end, step, clamp).collect()
+    spans = [tuple(r) for r in date_windows(spark, start, end, step, clamp).collect()]
+    expected = sorted(
+        (day, *span)
+        for day in (start + timedelta(days=n) for n in range(-3, 20))
+        for span in spans
+        if span[0] <= day <= span[1]
+    )
+    assert sorted((r.t.date(), r.start_date, r.end_date) for r in placed) == expected
+
+
+def test_no_window_no_row(spark):
+    df = spark.sql("SELECT DATE '2024-01-01' AS t")
+    assert assign_window(df, "t", D("2024-01-02"), D("2024-01-01")).count() == 0

@@ -27,9 +27,9 @@ ORDER_TIMESTAMP_COLUMNS = (
     "arrival_date",
 )
 
-# Timestamp guard and formats.
-DATED_TEXT = r"^\d{4}-\d{2}-\d{2}.*$"
+# Timestamp formats, and the shape of texts in the first one.
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIMESTAMP_TEXT = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 WATERMARK_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 DAY_FORMAT = "yyyy-MM-dd"
 
@@ -40,6 +40,7 @@ WINDOW_STEP_DAYS = 2
 BACKFILL_START = "2022-01-01"
 BACKFILL_END = "2025-01-19"
 MINIMUM_ROWS = 100
+PREVIEW_ROWS = 5
 TARGET_FILE_BYTES = 268435456
 EXPORT_GZIP_LEVEL = 5
 PARTITION_COLUMN = "DT_PARTITION"

@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lakezones.fixed_values import DATED_TEXT, TIMESTAMP_FORMAT
+from lakezones.fixed_values import TIMESTAMP_FORMAT, TIMESTAMP_TEXT
+
+
+# The shape is tested first because a failing cast is caught as an exception, which for a column
+# full of such values costs many times the cast itself.
+DIGITS = r"^\s*[+-]?\d+\s*$"
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def numeric_key(value: Column) -> Column:
     """Text to a 64-bit key. ``1.0`` and ``1e3`` are whole numbers; ``1.5`` and text are null."""
-    # Plain digits take the first branch; the decimal holds every 64-bit number exactly.
     text = value.cast("string")
     number = text.try_cast("decimal(38,18)")
-    return F.coalesce(text.try_cast("bigint"), F.when(number == F.floor(number), number.try_cast("bigint")))
+    whole = F.when(number == F.floor(number), number.try_cast("bigint"))
+    return F.when(text.rlike(DIGITS), text.try_cast("bigint")).when(text.rlike(NUMBER), whole)
 
 
 def iso_timestamp(value: Column) -> Column:
@@ -23,4 +29,4 @@ def iso_timestamp(value: Column) -> Column:
 
 def guarded_timestamp(value: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` to a timestamp; every other form, also a bare date, is null."""
-    return F.when(value.rlike(DATED_TEXT), F.try_to_timestamp(value, F.lit(TIMESTAMP_FORMAT)))
+    return F.when(value.rlike(TIMESTAMP_TEXT), F.try_to_timestamp(value, F.lit(TIMESTAMP_FORMAT)))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakezones.fixed_values import MINIMUM_ROWS, WATERMARK_FORMAT
+from lakezones.fixed_values import MINIMUM_ROWS, PREVIEW_ROWS, WATERMARK_FORMAT
 from lakezones.operators.filters import any_null
 from lakezones.specs import quoted
 
@@ -16,6 +16,11 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("rows"))
 
 
+def preview(df: DataFrame, order: str, rows: int = PREVIEW_ROWS) -> DataFrame:
+    """The first rows in ``order``, for the log. Each task keeps that many rows, none sorts them all."""
+    return df.orderBy(quoted(order)).limit(rows)
+
+
 def watermark_text(latest: Column) -> Column:
     """A time as watermark: ISO-8601, UTC, whole seconds."""
     return F.date_format(latest, WATERMARK_FORMAT)

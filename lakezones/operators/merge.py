@@ -12,6 +12,11 @@ from lakezones.operators.filters import reject_null_keys
 from lakezones.specs import quoted
 
 
+# Up to this many batch rows, the batch keys are broadcast: a few hundred MB per executor instead
+# of a shuffle of the whole target.
+BROADCAST_ROWS = 5_000_000
+
+
 class MergeCardinalityError(ValueError):
     """A target row is matched by more than one row of the batch."""
 
@@ -30,17 +35,22 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def merge_frames(target: DataFrame, source: DataFrame, keys: Iterable[str]) -> DataFrame:
+def merge_frames(
+    target: DataFrame, source: DataFrame, keys: Iterable[str], source_rows: int | None = None
+) -> DataFrame:
     """Target rows without a match, plus the whole batch.
 
     A null key matches nothing, so such rows of either side stay as they are. The batch is
-    read twice, once for its keys only: pass a table or a staged frame. A small batch is
-    broadcast and the target is not shuffled at all; beyond the broadcast threshold both sides
-    shuffle once on the keys, and the adaptive skew join splits a hot key of the target.
+    read twice, once for its keys only: pass a table or a staged frame. With ``source_rows``,
+    its counted rows, up to ``BROADCAST_ROWS`` the batch keys are broadcast and the target is
+    not shuffled. Beyond that, or uncounted, Spark decides by size; if it shuffles, it does so
+    once on the keys, and the adaptive skew join splits a hot key of the target.
     """
     keys = list(keys)
     source = align(source, target.schema)
     batch_keys = reject_null_keys(source.select(*map(quoted, keys)), keys).distinct()
+    if source_rows is not None and source_rows <= BROADCAST_ROWS:
+        batch_keys = F.broadcast(batch_keys)
     kept = target.join(batch_keys, keys, "left_anti").select(*map(quoted, target.columns))
     return kept.unionByName(source)
 

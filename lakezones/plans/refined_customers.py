@@ -20,11 +20,13 @@ from lakezones.fixed_values import (
 from lakezones.functions.payload import JoinedField, ListField, TextField, extract_fields
 from lakezones.operators.columns import default_column, project
 from lakezones.operators.measures import LoadReport
+from lakezones.session import stage
 from lakezones.sinks.tables import Name, overwrite_or_create
 from lakezones.sources.tables import read_table, table_row_count
 
 log = logging.getLogger(__name__)
 
+SORT_COLUMNS = ("customer_id", "customer_key")
 ADDRESS = ("_embedded", "address")
 
 CUSTOMER_FIELDS = (
@@ -40,22 +42,31 @@ CUSTOMER_FIELDS = (
 )
 
 
+def customer_columns(raw: DataFrame) -> DataFrame:
+    """The refined columns of all raw customers, in no order."""
+    stamped = default_column(raw, "updated_on", F.current_timestamp())
+    return extract_fields(project(stamped, REFINED_INPUT_COLUMNS), CUSTOMER_FIELDS)
+
+
 def refined_customers(raw: DataFrame) -> DataFrame:
     """The refined columns of all raw customers, sorted by customer."""
-    stamped = default_column(raw, "updated_on", F.current_timestamp())
-    refined = extract_fields(project(stamped, REFINED_INPUT_COLUMNS), CUSTOMER_FIELDS)
-    return refined.orderBy("customer_id", "customer_key")
+    return customer_columns(raw).orderBy(*SORT_COLUMNS)
 
 
 def load_refined_customers(
     spark: SparkSession, raw_table: Name, refined_table: Name, provider: str = "parquet"
 ) -> LoadReport | None:
-    """Rebuild the refined table; None if there is no raw table."""
+    """Rebuild the refined table; None if there is no raw table.
+
+    A global sort runs its input twice, the first time to find the bounds of its partitions. The
+    refined columns are staged before it, so that the much larger payloads are read and parsed once.
+    """
     raw = read_table(spark, raw_table)
     if raw is None:
         return None
     before = table_row_count(spark, refined_table)
-    overwrite_or_create(refined_customers(raw), refined_table, provider)
+    refined = stage(customer_columns(raw), "refined-customers").orderBy(*SORT_COLUMNS)
+    overwrite_or_create(refined, refined_table, provider)
     report = LoadReport(str(refined_table), before, table_row_count(spark, refined_table))
     log.info(report.message())
     return report

@@ -60,7 +60,7 @@ def merge_or_create(
         _merge_partitions(batch, target, table, keys, partitions)
         return
     check_cardinality(target, batch, keys)
-    _switch_content(merge_frames(target, batch, keys), table)
+    _switch_content(merge_frames(target, batch, keys, batch.count()), table)
 
 
 def _aliased(table: Name, keys: list[str]) -> str:
@@ -82,7 +82,7 @@ def _merge_partitions(
         touched = touched | column.isNull()
     current = target.filter(touched)
     check_cardinality(current, batch, keys)
-    _overwrite_partitions(merge_frames(current, batch, keys), table)
+    _overwrite_partitions(merge_frames(current, batch, keys, batch.count()), table)
 
 
 def overwrite_or_create(df: DataFrame, table: Name, provider: str = "parquet") -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,8 @@ from pyspark.sql import types as T
 from lakezones.fixed_values import CSV_NULL_TOKENS
 from lakezones.specs import quoted
 
+HEADERS_AT_ONCE = 16
+
 
 def read_text_csv(
     spark: SparkSession,
@@ -22,15 +25,16 @@ def read_text_csv(
 ) -> DataFrame:
     """Read CSV with a header; nothing is inferred, so leading zeros and the like survive.
 
-    ``columns`` states the header where it is known, which saves reading it first.
-    ``multi_line`` allows line breaks inside quotes; switch it off for extracts that have none
+    ``columns`` states the header where it is known, which saves reading it first. A file whose
+    header differs from it, or from that of the first file, is an error: read such files as
+    sources of their own. ``multi_line`` allows line breaks inside quotes; switch it off for extracts that have none
     and whose files are so large that one file should be read by several tasks.
     """
-    reader = spark.read.options(header=True, inferSchema=False, escape='"', multiLine=multi_line)
+    reader = spark.read.options(header=True, inferSchema=False, enforceSchema=False, escape='"', multiLine=multi_line)
     if columns is not None:
         reader = reader.schema(T.StructType([T.StructField(name, T.StringType()) for name in columns]))
     df = reader.csv(paths)
-    tokens = [token for token in null_tokens if token]
+    tokens = list(null_tokens)
     if not tokens:
         return df
     return df.select(
@@ -54,18 +58,23 @@ def read_sources(
 ) -> DataFrame:
     """Read the extracts of several sources whose headers may differ.
 
-    Only the header of each source is read up front. Sources with the same header share one
-    scan, and the scans are put together by column name. No source at all, or only empty ones,
-    gives a frame without columns.
+    Only the header of each source is read up front, several at a time. Sources with the same
+    header share one scan, and the scans are put together by column name. No source at all, or
+    only empty ones, gives a frame without columns.
     """
+    paths = list(paths)
+
+    def header(path: str) -> tuple[str, ...]:
+        # Without multi_line only the first line of the first file is fetched.
+        return tuple(read_text_csv(spark, path, null_tokens=(), multi_line=False).columns)
+
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        # multiLine off: the header alone is wanted, and this way only the first line is fetched.
-        header = tuple(read_text_csv(spark, path, null_tokens=(), multi_line=False).columns)
-        if header:
-            by_header.setdefault(header, []).append(path)
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        for path, columns in zip(paths, pool.map(header, paths)):
+            if columns:
+                by_header.setdefault(columns, []).append(path)
     if not by_header:
         return spark.createDataFrame([], T.StructType([]))
     return union_by_name(
-        read_text_csv(spark, group, header, null_tokens, multi_line) for header, group in by_header.items()
+        read_text_csv(spark, group, columns, null_tokens, multi_line) for columns, group in by_header.items()
     )

@@ -121,7 +121,7 @@ counts AS (
     (SELECT count(*) FROM orders) AS records_expected
   FROM landed)
 SELECT *, pages_expected - pages_seen AS pages_missing, records_expected - records_seen AS records_missing FROM counts
-""")
+""", name="page_completeness")
 def page_completeness_report(t: Tables) -> DataFrame:
     # Orders without a line never landed, while the pages state the number of all orders.
     shipped = t.lineitem.select("l_orderkey").distinct()
@@ -145,7 +145,7 @@ def csv_all_string(t: Tables) -> DataFrame:
     return read_text_csv(t.spark, path)
 
 
-@query("SELECT (SELECT count(*) FROM lineitem) AS found_rows, 0 AS missing_rows")
+@query("SELECT (SELECT count(*) FROM lineitem) AS found_rows, 0 AS missing_rows", name="parquet_row_count")
 def parquet_row_counts(t: Tables) -> DataFrame:
     found = parquet_row_count(t.spark, f"{t.folder}/lineitem.parquet")
     missing = parquet_row_count(t.spark, t.path("missing"))
@@ -171,7 +171,7 @@ def schema_discovery(t: Tables) -> DataFrame:
 SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, CAST(NULL AS double) AS balance FROM customer
 UNION ALL
 SELECT s_suppkey, s_name, NULL, s_acctbal FROM supplier
-""")
+""", name="union_by_name")
 def sources_by_name(t: Tables) -> DataFrame:
     customers = rename_columns(t.customer, {"c_custkey": "id", "c_name": "name", "c_mktsegment": "segment"})
     suppliers = rename_columns(t.supplier, {"s_suppkey": "id", "s_name": "name", "s_acctbal": "balance"})
@@ -181,7 +181,7 @@ def sources_by_name(t: Tables) -> DataFrame:
 @query("""
 SELECT p_partkey AS part_id, p_name AS "part.name", p_brand AS p_brand, p_type AS p_type, p_size AS "part.size",
   p_retailprice AS p_retailprice FROM part
-""")
+""", name="rename_columns")
 def renamed_columns(t: Tables) -> DataFrame:
     return rename_columns(t.part, {"p_partkey": "part_id", "p_name": "part.name", "p_size": "part.size", "absent": "x"})
 
@@ -190,6 +190,6 @@ def renamed_columns(t: Tables) -> DataFrame:
 SELECT CAST(o_orderkey AS varchar) AS o_orderkey, CAST(o_custkey AS varchar) AS o_custkey, o_orderstatus,
   CAST(o_totalprice AS varchar) AS o_totalprice, CAST(o_orderdate AS varchar) AS o_orderdate, o_orderpriority
 FROM orders
-""")
+""", name="stringify_all")
 def stringified(t: Tables) -> DataFrame:
     return stringify_all(t.orders)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakezones.operators import dedup
 from lakezones.operators.keys import surrogate_key as numbered
+from lakezones.operators.measures import preview
 from lakezones.operators.merge import check_cardinality, merge_frames
 from lakezones.operators.windows import assign_window, windows_of, worklist
 from registered.registry import Tables, query
@@ -53,7 +54,7 @@ def surrogate_key_skewed(t: Tables) -> DataFrame:
 
 @query("SELECT * FROM orders ORDER BY o_orderkey LIMIT 5")
 def preview_top5(t: Tables) -> DataFrame:
-    return t.orders.orderBy("o_orderkey").limit(5)
+    return preview(t.orders, "o_orderkey")
 
 
 def first_and_second_load(df: DataFrame, day: str) -> tuple[DataFrame, DataFrame]:

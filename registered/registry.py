@@ -41,13 +41,13 @@ class Tables:
         return name
 
 
-def query(oracle: str) -> Callable[[Query], Query]:
-    """Register a query under its function name, with the SQL that gives the same rows."""
+def query(oracle: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its function name or ``name``, with the SQL that gives the same rows."""
 
     def register(function: Query) -> Query:
-        name = function.__name__
-        QUERIES[name] = lambda spark, folder: function(Tables(spark, folder))
-        ORACLES[name] = oracle.strip()
+        key = name or function.__name__
+        QUERIES[key] = lambda spark, folder: function(Tables(spark, folder))
+        ORACLES[key] = oracle.strip()
         return function
 
     return register

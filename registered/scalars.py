@@ -95,13 +95,13 @@ def payload_dropped(t: Tables) -> DataFrame:
     return drop_payload(t.events, "props")
 
 
-@query("SELECT *, TIMESTAMP '2024-02-01 06:30:00' AS updated_on FROM customer")
+@query("SELECT *, TIMESTAMP '2024-02-01 06:30:00' AS updated_on FROM customer", name="default_column")
 def default_column_added(t: Tables) -> DataFrame:
     added = default_column(t.customer, "updated_on", F.lit("2024-02-01 06:30:00").cast("timestamp_ntz"))
     return default_column(added, "UPDATED_ON", F.current_timestamp())
 
 
-@query("SELECT *, TIMESTAMP '2024-02-01 06:30:00' AS \"Updated_On\", '2024-02-01' AS \"DT_PARTITION\" FROM customer")
+@query("SELECT *, TIMESTAMP '2024-02-01 06:30:00' AS \"Updated_On\", '2024-02-01' AS \"DT_PARTITION\" FROM customer", name="ingest_stamp")
 def ingest_stamps(t: Tables) -> DataFrame:
     return ntz(partition_stamp(ingest_stamp(t.customer, RUN_TIME), RUN_TIME.date()), "Updated_On")
 
@@ -141,7 +141,7 @@ def iso_timestamp_cast(t: Tables) -> DataFrame:
     return ntz(spelled.select("event_id", iso_timestamp(F.col("text")).alias("at")), "at")
 
 
-@query("SELECT event_id, CASE WHEN event_type = 'error' THEN date_trunc('second', ts) END AS at FROM events")
+@query("SELECT event_id, CASE WHEN event_type = 'error' THEN date_trunc('second', ts) END AS at FROM events", name="guarded_timestamp")
 def guarded_timestamp_cast(t: Tables) -> DataFrame:
     spelled = t.sql(
         """

@@ -60,7 +60,7 @@ def partitioned_append(t: Tables) -> DataFrame:
 @query("""
 SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS "Customer_Key", o_custkey AS customer_id, o_orderdate AS created,
   o_orderstatus AS updated, o_orderpriority AS "Content", TIMESTAMP '2024-02-01 06:30:00' AS "Updated_On" FROM orders
-""")
+""", name="parquet_export")
 def gzip_export(t: Tables) -> DataFrame:
     records = t.orders.select(
         "o_orderkey", F.col("o_orderpriority").alias("content"), F.col("o_custkey").alias("customer_id"),

@@ -68,15 +68,16 @@ def load_raw_customers(
     run_time: datetime,
     load: str = "customers",
     provider: str = "parquet",
+    since: str | None = None,
 ) -> RawLoad:
-    """Merge the changed records into ``table``, then advance the watermark.
+    """Merge the records changed since the watermark, or ``since``, into ``table``; then advance it.
 
     The records are staged twice: as extracted, for the counts and the watermark over all of
     them, and once per customer, for the merge. If the load fails before its last step, the old
     watermark makes the next run read the same records again.
     """
     spark = pages.sparkSession
-    records = stage(raw_records(pages, run_time, state.read(load)), "raw-records")
+    records = stage(raw_records(pages, run_time, since or state.read(load)), "raw-records")
     report = RawLoad(
         *records.agg(
             F.count("*"),

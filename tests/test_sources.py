@@ -95,6 +95,15 @@ def test_missing_source_is_an_error(spark, tmp_path):
         read_sources(spark, [str(tmp_path / "absent")])
 
 
+def test_a_file_with_another_header_is_an_error(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("id,x\n1,2\n")
+    (tmp_path / "2.csv").write_text("x,id\n1,2\n")
+    for multi_line in (True, False):
+        df = read_text_csv(spark, str(tmp_path), ["id", "x"], multi_line=multi_line)
+        with pytest.raises(Exception, match="header"):
+            df.collect()
+
+
 def test_union_by_name(spark, rows):
     a = spark.createDataFrame([(1, "x")], "id int, a string")
     b = spark.createDataFrame([("y", 2)], "b string, id int")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakezones.fixed_values import ORDER_TIMESTAMP_COLUMNS
+from lakezones.functions.casts import iso_timestamp
 from lakezones.operators.columns import parse_timestamps, partition_stamp
 from lakezones.operators.filters import day_range
 from lakezones.sinks.tables import Name, append_partitions
@@ -38,7 +39,7 @@ def backfill_orders(
     if not orders.columns:
         return orders
     if ship_date is not None and first is not None and last is not None:
-        day = orders.withColumn("_ship_day", F.col(quoted(ship_date)).try_cast("timestamp"))
+        day = orders.withColumn("_ship_day", iso_timestamp(F.col(quoted(ship_date))))
         orders = day_range(day, "_ship_day", first, last).drop("_ship_day")
     return partition_stamp(parse_timestamps(orders, timestamp_columns), run_day)
 

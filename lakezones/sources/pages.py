@@ -25,12 +25,10 @@ def _list_schema(path: tuple[str, ...]) -> str:
     return f"`{path[0]}` {schema}"
 
 
-def _records(doc: Column, path: tuple[str, ...], more: str = "") -> tuple[Column, Column]:
-    parsed = F.from_json(doc, _list_schema(path) + more)
-    records = parsed
+def _record_list(page: Column, path: tuple[str, ...]) -> Column:
     for name in path:
-        records = records[name]
-    return parsed, records
+        page = page[name]
+    return page
 
 
 def flatten_pages(
@@ -42,19 +40,25 @@ def flatten_pages(
 ) -> DataFrame:
     """One row per record of each page: the named fields as text and the whole record as JSON text.
 
-    A page without the record list gives no rows, a record without a field gives null.
+    A page without the record list gives no rows, a record without a field gives null. Records
+    are parsed inside the generator: a filter on a field would otherwise be pushed below the
+    projection and parse the record once more.
     """
-    elements = pages.select(F.explode(_records(F.col(doc), path)[1]).alias(content))
-    record = F.from_json(content, ", ".join(f"`{name}` string" for name in fields.values()))
-    return elements.withColumn("_record", record).select(
+    schema = ", ".join(f"`{name}` string" for name in fields.values())
+    texts = _record_list(F.from_json(F.col(doc), _list_schema(path)), path)
+    records = F.transform(
+        texts, lambda text: F.struct(F.from_json(text, schema).alias("_record"), text.alias(content))
+    )
+    return pages.select(F.inline(records)).select(
         *[F.col("_record")[name].alias(alias) for alias, name in fields.items()], content
     )
 
 
 def page_completeness(pages: DataFrame, doc: str = "doc", path: tuple[str, ...] = RECORD_LIST) -> DataFrame:
     """Landed pages and records against the totals that the pages themselves state."""
-    parsed, records = _records(F.col(doc), path, f", {PAGE_TOTALS}")
-    landed = pages.select(parsed["page"].alias("page"), F.coalesce(F.size(records), F.lit(0)).alias("records"))
+    parsed = pages.select(F.from_json(F.col(doc), f"{_list_schema(path)}, {PAGE_TOTALS}").alias("_doc"))
+    records = F.size(_record_list(F.col("_doc"), path))
+    landed = parsed.select(F.col("_doc.page").alias("page"), F.coalesce(records, F.lit(0)).alias("records"))
     return landed.agg(
         F.countDistinct("page.number").alias("pages_seen"),
         F.coalesce(F.max("page.totalPages"), F.lit(0)).alias("pages_expected"),

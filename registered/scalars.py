@@ -75,13 +75,13 @@ def json_field(t: Tables) -> DataFrame:
     return extract_fields(t.events, [TextField("k", ("k",))], content="props", keep=["event_id"])
 
 
+# Whole documents: the length is beyond any of them.
 @query("""
-SELECT doc_id, coalesce(left(trim(text), 100), '') AS opening, coalesce(left(trim(lang), 45), '') AS language
-FROM documents
+SELECT doc_id, coalesce(trim(text), '') AS whole_text, coalesce(left(trim(lang), 45), '') AS language FROM documents
 """)
 def json_long_text(t: Tables) -> DataFrame:
     payload = t.documents.select("doc_id", F.to_json(F.struct("text", F.struct("lang").alias("meta"))).alias("content"))
-    fields = [TextField("opening", ("text",), 100), TextField("language", ("meta", "lang"), 45)]
+    fields = [TextField("whole_text", ("text",), 1_000_000_000), TextField("language", ("meta", "lang"), 45)]
     return extract_fields(payload, fields)
 
 

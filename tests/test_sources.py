@@ -36,6 +36,16 @@ def test_pages_without_records(spark):
     assert flatten_pages(odd).count() == 0
 
 
+def test_filters_on_records_do_not_parse_them_again(spark, tmp_path):
+    docs(spark, page({"id": 1, "createdAt": "2024-01-01"})).write.text(str(tmp_path / "t"))
+    pages = read_pages(spark, str(tmp_path / "t"))
+    for df, parses in (
+        (flatten_pages(pages).filter("created >= '2020' AND updated >= '2020'"), 2),
+        (page_completeness(pages), 1),
+    ):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == parses
+
+
 def test_other_list_and_fields(spark):
     df = docs(spark, {"data": [{"key": 1}]})
     assert flatten_pages(df, path=("data",), fields={"k": "key"}, content="text").first().asDict() == {

@@ -50,8 +50,11 @@ def merge_or_create(
         create_table(batch, table, provider, partition_column)
         return
     if _provider(spark, table) in ROW_LEVEL_FORMATS:
-        merge = align(batch, target.schema).alias("new").mergeInto(quoted_table(table), F.expr(_aliased(table, keys)))
-        merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
+        spark.sql(
+            f"MERGE INTO {quoted_table(table)} AS old USING {{batch}} AS new ON {merge_condition(keys)}"
+            " WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *",
+            batch=align(batch, target.schema),
+        )
         return
     if not staged:
         batch = stage(align(batch, target.schema), "merge-batch")
@@ -63,10 +66,6 @@ def merge_or_create(
     _switch_content(merge_frames(target, batch, keys, batch.count()), table)
 
 
-def _aliased(table: Name, keys: list[str]) -> str:
-    return merge_condition(keys).replace("old.", quoted_table(table) + ".")
-
-
 def _merge_partitions(
     batch: DataFrame, target: DataFrame, table: Name, keys: list[str], partitions: list[str]
 ) -> None:
@@ -98,7 +97,11 @@ def overwrite_or_create(df: DataFrame, table: Name, provider: str = "parquet") -
 
 
 def append_partitions(
-    df: DataFrame, table: Name, partition_column: str = PARTITION_COLUMN, replace: bool = False
+    df: DataFrame,
+    table: Name,
+    partition_column: str = PARTITION_COLUMN,
+    replace: bool = False,
+    provider: str = "parquet",
 ) -> bool:
     """Append under the partition of the rows; new columns and partitions enter the catalog.
 
@@ -110,7 +113,7 @@ def append_partitions(
         return False
     target = read_table(spark, table)
     if target is None:
-        create_table(df, table, partition_column=partition_column)
+        create_table(df, table, provider, partition_column)
         return True
     known = {name.lower() for name in target.columns}
     new = [field for field in df.schema if field.name.lower() not in known]
@@ -121,7 +124,10 @@ def append_partitions(
     present = {name.lower() for name in df.columns}
     absent = {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name.lower() not in present}
     rows = align(df.withColumns(absent) if absent else df, schema)
-    if replace:
+    if _provider(spark, table) in ROW_LEVEL_FORMATS:
+        writer = rows.writeTo(quoted_table(table))
+        writer.overwritePartitions() if replace else writer.append()
+    elif replace:
         _overwrite_partitions(rows, table)
     else:
         rows.write.insertInto(quoted_table(table))

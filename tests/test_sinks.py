@@ -3,11 +3,13 @@ from datetime import date
 
 import pyarrow.parquet
 import pytest
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from lakezones.fixed_values import EXPORT_COLUMNS
 from lakezones.operators.columns import partition_stamp
 from lakezones.operators.merge import MergeCardinalityError
+from lakezones.sinks import tables
 from lakezones.sinks.export import parquet_export
 from lakezones.sinks.tables import append_partitions, merge_or_create, overwrite_or_create
 from lakezones.sources.tables import read_table
@@ -48,6 +50,16 @@ def test_merge_may_read_its_own_table(spark, database, rows):
     assert rows(spark.table(table)) == [(1, "A"), (2, "B")]
 
 
+def test_merge_statement_for_row_level_formats(spark, database, monkeypatch):
+    """No such format is installed: Spark must accept the statement and then name the table as the obstacle."""
+    table = f"{database}.t"
+    merge_or_create(spark.createDataFrame([(1, "a")], SCHEMA), table, ["k"])
+    monkeypatch.setattr(tables, "ROW_LEVEL_FORMATS", {"parquet"})
+    with pytest.raises(UnsupportedOperationException, match="MERGE INTO TABLE") as caught:
+        merge_or_create(spark.createDataFrame([("B", 1)], "V string, K int"), table, ["k"])
+    assert caught.value.getCondition() == "UNSUPPORTED_FEATURE.TABLE_OPERATION"
+
+
 def test_partitioned_merge_rewrites_touched_partitions_only(spark, database, rows):
     table, schema = f"{database}.t", "day string, k int, v string"
     first = spark.createDataFrame([("d1", 1, "a"), ("d1", 2, "b"), ("d2", 1, "c"), (None, 1, "n")], schema)

@@ -32,6 +32,7 @@ log = logging.getLogger(__name__)
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="lakezones.jobs")
+    top.add_argument("--shuffle-gb", type=int, default=2048, help="about the size of the table that is sorted or merged")
     jobs = top.add_subparsers(dest="job", required=True)
 
     job = jobs.add_parser("source-to-raw", help="merge landed pages into the raw customer table")
@@ -112,7 +113,9 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
 def main() -> None:
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     spark = SparkSession.builder.appName("lakezones").getOrCreate()
-    run(prepare_session(spark, cluster=not spark.conf.get("spark.master", "").startswith("local")))
+    local = spark.conf.get("spark.master", "").startswith("local")
+    prepare_session(spark, None if local else parser().parse_args().shuffle_gb << 30)
+    run(spark)
 
 
 if __name__ == "__main__":

@@ -12,9 +12,9 @@ from lakezones.operators.filters import reject_null_keys
 from lakezones.specs import quoted
 
 
-# Up to this many batch rows, the batch keys are broadcast: a few hundred MB per executor instead
-# of a shuffle of the whole target.
-BROADCAST_ROWS = 5_000_000
+# Batch keys up to this size are broadcast, which spares the shuffle of the whole target.
+BROADCAST_BYTES = 256 << 20
+BYTES_PER_ENTRY = 32
 
 
 class MergeCardinalityError(ValueError):
@@ -35,21 +35,28 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def keys_fit_broadcast(source: DataFrame, keys: Iterable[str]) -> bool:
+    """Measure the keys of the batch, each with the overhead of its entry in a hash table."""
+    widths = [F.coalesce(F.octet_length(F.col(quoted(key)).cast("string")), F.lit(0)) for key in keys]
+    size = F.sum(sum(widths, F.lit(BYTES_PER_ENTRY)))
+    return (source.agg(size).first()[0] or 0) <= BROADCAST_BYTES
+
+
 def merge_frames(
-    target: DataFrame, source: DataFrame, keys: Iterable[str], source_rows: int | None = None
+    target: DataFrame, source: DataFrame, keys: Iterable[str], broadcast_keys: bool = False
 ) -> DataFrame:
     """Target rows without a match, plus the whole batch.
 
     A null key matches nothing, so such rows of either side stay as they are. The batch is
-    read twice, once for its keys only: pass a table or a staged frame. With ``source_rows``,
-    its counted rows, up to ``BROADCAST_ROWS`` the batch keys are broadcast and the target is
-    not shuffled. Beyond that, or uncounted, Spark decides by size; if it shuffles, it does so
-    once on the keys, and the adaptive skew join splits a hot key of the target.
+    read twice, once for its keys only: pass a table or a staged frame. With ``broadcast_keys``,
+    for which ``keys_fit_broadcast`` must hold, the target is not shuffled. Otherwise Spark
+    decides by size; if it shuffles, it does so once on the keys, and the adaptive skew join
+    splits a hot key of the target.
     """
     keys = list(keys)
     source = align(source, target.schema)
     batch_keys = reject_null_keys(source.select(*map(quoted, keys)), keys).distinct()
-    if source_rows is not None and source_rows <= BROADCAST_ROWS:
+    if broadcast_keys:
         batch_keys = F.broadcast(batch_keys)
     kept = target.join(batch_keys, keys, "left_anti").select(*map(quoted, target.columns))
     return kept.unionByName(source)

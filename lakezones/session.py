@@ -24,19 +24,30 @@ PLAN_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# File sizes of a cluster.
 CLUSTER_SETTINGS = {
-    # Shuffle partitions start high and are merged up to the target file size at run time.
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_FILE_BYTES),
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.files.maxPartitionBytes": str(TARGET_FILE_BYTES),
     "spark.sql.parquet.compression.codec": "snappy",
 }
+SHUFFLE_PARTITIONS = (200, 65536)
 
 
-def prepare_session(spark: SparkSession, cluster: bool = False) -> SparkSession:
-    """Apply the settings the operators rely on; ``cluster`` adds the sizes for large tables."""
-    settings = RESULT_SETTINGS | PLAN_SETTINGS | (CLUSTER_SETTINGS if cluster else {})
+def prepare_session(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply the settings the operators rely on.
+
+    For a cluster, ``shuffle_bytes`` says how much the largest shuffle of the load moves, about
+    the size of the table that is sorted or merged. Shuffles then start with partitions of the
+    target file size, and smaller ones are merged at run time.
+    """
+    settings = RESULT_SETTINGS | PLAN_SETTINGS
+    if shuffle_bytes is not None:
+        fewest, most = SHUFFLE_PARTITIONS
+        partitions = min(max(shuffle_bytes // TARGET_FILE_BYTES, fewest), most)
+        settings = settings | CLUSTER_SETTINGS | {
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions)
+        }
     for name, value in settings.items():
         spark.conf.set(name, value)
     return spark

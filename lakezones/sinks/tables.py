@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakezones.fixed_values import PARTITION_COLUMN, TARGET_FILE_BYTES
-from lakezones.operators.merge import align, check_cardinality, merge_frames
+from lakezones.operators.merge import align, check_cardinality, keys_fit_broadcast, merge_frames
 from lakezones.session import stage
 from lakezones.sources.tables import read_table
 from lakezones.specs import merge_condition, quoted, quoted_table, sql_text
@@ -63,7 +63,7 @@ def merge_or_create(
         _merge_partitions(batch, target, table, keys, partitions)
         return
     check_cardinality(target, batch, keys)
-    _switch_content(merge_frames(target, batch, keys, batch.count()), table)
+    _switch_content(merge_frames(target, batch, keys, keys_fit_broadcast(batch, keys)), table)
 
 
 def _merge_partitions(
@@ -81,7 +81,7 @@ def _merge_partitions(
         touched = touched | column.isNull()
     current = target.filter(touched)
     check_cardinality(current, batch, keys)
-    _overwrite_partitions(merge_frames(current, batch, keys, batch.count()), table)
+    _overwrite_partitions(merge_frames(current, batch, keys, keys_fit_broadcast(batch, keys)), table)
 
 
 def overwrite_or_create(df: DataFrame, table: Name, provider: str = "parquet") -> None:

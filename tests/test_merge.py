@@ -3,7 +3,14 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lakezones.operators.merge import MergeCardinalityError, align, check_cardinality, merge_frames
+from lakezones.operators import merge
+from lakezones.operators.merge import (
+    MergeCardinalityError,
+    align,
+    check_cardinality,
+    keys_fit_broadcast,
+    merge_frames,
+)
 from lakezones.specs import TableSpec
 
 SCHEMA = "k int, v string"
@@ -76,6 +83,15 @@ def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
     assert plan.count("Exchange hashpartitioning") == 1  # the batch keys
 
 
+def test_broadcast_is_bounded_by_the_size_of_the_keys(spark, monkeypatch):
+    batch = spark.createDataFrame([(1, "é"), (None, "abcd")], "k int, t string")
+    assert keys_fit_broadcast(batch, ["k", "t"])
+    assert keys_fit_broadcast(batch.filter("false"), ["k"])
+    for limit, fits in ((71, True), (70, False)):  # two entries, 1 + 0 and 2 + 4 bytes
+        monkeypatch.setattr(merge, "BROADCAST_BYTES", limit)
+        assert keys_fit_broadcast(batch, ["k", "t"]) is fits
+
+
 def test_hot_target_key_is_split(spark):
     conf = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",

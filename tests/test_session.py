@@ -2,6 +2,7 @@ import os
 
 import pytest
 
+from lakezones import prepare_session
 from lakezones.session import scratch_path, scratch_root, stage
 from lakezones.specs import quoted_table
 
@@ -33,3 +34,12 @@ def test_stage_keeps_rows_and_types(spark):
 def test_quoting():
     assert quoted_table("a.b-c") == "`a`.`b-c`"
     assert quoted_table(("a.b", "c`d")) == "`a.b`.`c``d`"
+
+
+def test_cluster_sizes(spark):
+    other = spark.newSession()
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    for size, partitions in ((1 << 30, "200"), (10 << 40, "40960"), (1 << 50, "65536")):
+        assert prepare_session(other, size).conf.get(name) == partitions
+    assert other.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert spark.conf.get(name, None) is None

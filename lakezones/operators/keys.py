@@ -19,15 +19,17 @@ def surrogate_key(
 ) -> DataFrame:
     """Number the rows ``start_key, start_key + 1, ...`` in ascending ``order``.
 
-    ``order`` should identify a row; among equal rows any numbering is possible.
+    Rows that are equal in ``order`` are numbered by a hash of all their columns.
 
-    The sort spreads rows over range partitions also when a third of them share their first
-    order column. Each row then gets its position in its partition, and the rows are staged,
-    because the partition bounds come from a sample and would differ in a second evaluation.
-    What remains is one number per partition: the rows in the partitions before it.
+    The sort is over range partitions, and through that hash it also splits a third of all rows
+    with one order value. Each row then gets its position in its partition, and the rows are
+    staged, because the partition bounds come from a sample and would differ in a second
+    evaluation. What remains is one number per partition: the rows in the partitions before it.
     """
+    hashed = [quoted(field.name) for field in df.schema if "map<" not in field.dataType.simpleString()]
     placed = stage(
-        df.orderBy(*map(quoted, order)).withColumn("_place", F.monotonically_increasing_id()), "surrogate-key"
+        df.orderBy(*map(quoted, order), F.xxhash64(*hashed)).withColumn("_place", F.monotonically_increasing_id()),
+        "surrogate-key",
     )
     partition = F.shiftright("_place", POSITION_BITS)
     position = F.col("_place").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))

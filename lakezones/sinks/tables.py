@@ -92,6 +92,10 @@ def overwrite_or_create(df: DataFrame, table: Name, provider: str = "parquet") -
         create_table(df, table, provider)
     elif _provider(spark, table) in ROW_LEVEL_FORMATS:
         df.writeTo(quoted_table(table)).overwrite(F.lit(True))
+    elif _partition_columns(spark, table):
+        # The catalog knows each partition's folder, so these are replaced in place; the rows are
+        # staged as they may come from the table itself.
+        stage(align(df, target.schema), "overwrite").write.insertInto(quoted_table(table), overwrite=True)
     else:
         _switch_content(align(df, target.schema), table)
 

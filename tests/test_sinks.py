@@ -85,6 +85,13 @@ def test_overwrite(spark, database, rows):
     assert rows(spark.table(table)) == [(4, "c")]
 
 
+def test_overwrite_of_a_partitioned_table(spark, database, rows):
+    table = f"{database}.t"
+    merge_or_create(spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA), table, ["v", "k"], partition_column="v")
+    overwrite_or_create(spark.table(table).filter("k = 2").withColumn("v", F.lit("c")), table)
+    assert rows(spark.table(table), "k", "v") == [(2, "c")]
+
+
 def test_append_partitions(spark, database, rows):
     table = f"{database}.t"
     day = lambda df, n: partition_stamp(df, date(2024, 1, n))

@@ -45,21 +45,28 @@ def keys_fit_broadcast(source: DataFrame, keys: Iterable[str]) -> bool:
 def merge_frames(
     target: DataFrame, source: DataFrame, keys: Iterable[str], broadcast_keys: bool = False
 ) -> DataFrame:
-    """Target rows without a match, plus the whole batch.
+    """Target rows without a match, one batch row for each matched target row, and the new batch rows.
 
-    A null key matches nothing, so such rows of either side stay as they are. The batch is
-    read twice, once for its keys only: pass a table or a staged frame. With ``broadcast_keys``,
-    for which ``keys_fit_broadcast`` must hold, the target is not shuffled. Otherwise Spark
-    decides by size; if it shuffles, it does so once on the keys, and the adaptive skew join
-    splits a hot key of the target.
+    A null key matches nothing, so such rows of either side stay as they are. A batch row that
+    matches several target rows replaces each of them, so no target row is lost.
+
+    The target is read once in full and twice for its keys, the batch three times: pass a table
+    or a staged frame. With ``broadcast_keys``, for which ``keys_fit_broadcast`` must hold, the
+    target is not shuffled, only the keys that the batch matches are. Otherwise Spark decides
+    by size; if it shuffles, it does so on the keys, and the adaptive skew join splits a hot key
+    of the target.
     """
     keys = list(keys)
     source = align(source, target.schema)
+    columns = [quoted(name) for name in target.columns]
     batch_keys = reject_null_keys(source.select(*map(quoted, keys)), keys).distinct()
     if broadcast_keys:
         batch_keys = F.broadcast(batch_keys)
-    kept = target.join(batch_keys, keys, "left_anti").select(*map(quoted, target.columns))
-    return kept.unionByName(source)
+    kept = target.join(batch_keys, keys, "left_anti")
+    matched = target.select(*map(quoted, keys)).join(batch_keys, keys, "left_semi")
+    updated = matched.join(source, keys)
+    new = source.join(matched.distinct(), keys, "left_anti")
+    return kept.select(*columns).unionByName(updated.select(*columns)).unionByName(new.select(*columns))
 
 
 def check_cardinality(target: DataFrame, source: DataFrame, keys: Iterable[str]) -> None:

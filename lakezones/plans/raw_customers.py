@@ -55,7 +55,8 @@ def with_customer_keys(latest: DataFrame, target: DataFrame | None) -> DataFrame
     if target is None:
         numbers = surrogate_key(latest.select(KEY, "created"), ["created", KEY])
         return latest.join(numbers.select(KEY, "customer_key"), KEY)
-    known = target.select(KEY, "customer_key").join(latest.select(KEY), KEY, "left_semi")
+    matched = target.join(latest.select(KEY), KEY, "left_semi")
+    known = matched.groupBy(KEY).agg(F.min("customer_key").alias("customer_key"))
     new = latest.select(KEY, "created").join(known, KEY, "left_anti")
     numbers = surrogate_key(new, ["created", KEY], start_key=next_key(target))
     return latest.join(known.unionByName(numbers.select(KEY, "customer_key")), KEY)
@@ -73,7 +74,7 @@ def load_raw_customers(
     """Merge the records changed since the watermark, or ``since``, into ``table``; then advance it.
 
     The records are staged twice: as extracted, for the counts and the watermark over all of
-    them, and once per customer, for the merge. If the load fails before its last step, the old
+    them, and once per customer, for numbering and merging, which mostly read the ids alone. If the load fails before its last step, the old
     watermark makes the next run read the same records again.
     """
     spark = pages.sparkSession
@@ -90,6 +91,6 @@ def load_raw_customers(
     if report.rows > report.null_keys:
         latest = stage(latest_records(records), "raw-latest")
         keyed = project(with_customer_keys(latest, read_table(spark, table)), REFINED_INPUT_COLUMNS)
-        merge_or_create(keyed, table, [KEY], provider)
+        merge_or_create(keyed, table, [KEY], provider, staged=True)
     state.advance(load, report.watermark)
     return report

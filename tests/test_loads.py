@@ -83,7 +83,7 @@ def test_crash_before_the_advance_repeats_the_load(spark, database, state, monke
 
 
 def test_crash_in_the_merge_keeps_the_watermark(spark, database, state, monkeypatch):
-    def crash(*_):
+    def crash(*_, **__):
         raise RuntimeError("lost")
 
     monkeypatch.setattr(raw_plan, "merge_or_create", crash)

@@ -60,18 +60,32 @@ def test_empty_sides(spark, rows):
     assert rows(merge_frames(none, some, ["k"])) == [(1, "a")]
 
 
-keyed = st.dictionaries(st.integers(0, 6), st.integers(0, 3), max_size=6)
+def test_each_matched_target_row_is_replaced(spark, rows):
+    target = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], SCHEMA)
+    assert rows(merge_frames(target, spark.createDataFrame([(1, "N")], SCHEMA), ["k"])) == [(1, "N"), (1, "N"), (2, "c")]
+
+
+key = st.one_of(st.none(), st.integers(0, 6))
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(keyed, keyed)
-def test_against_brute_force(spark, old, new):
-    target = spark.createDataFrame(list(old.items()), "k int, v int")
+@given(
+    st.lists(st.tuples(key, st.integers(0, 3)), max_size=8),
+    st.dictionaries(key, st.integers(4, 7), max_size=5),
+    st.booleans(),
+)
+def test_against_brute_force(spark, old, new, broadcast):
+    target = spark.createDataFrame(old, "k int, v int")
     source = spark.createDataFrame(list(new.items()), "k int, v int")
-    merged = merge_frames(target, source, ["k"])
-    assert sorted(map(tuple, merged.collect())) == sorted((old | new).items())
-    again = merge_frames(merged, source, ["k"])
-    assert sorted(map(tuple, again.collect())) == sorted((old | new).items())
+    known = {k for k, _ in old if k is not None}
+    expected = [(k, new.get(k, v) if k is not None else v) for k, v in old]
+    expected += [(k, v) for k, v in new.items() if k not in known]
+    order = lambda r: (r[0] is not None, r[0] or 0, r[1])
+    merged = merge_frames(target, source, ["k"], broadcast)
+    assert sorted(map(tuple, merged.collect()), key=order) == sorted(expected, key=order)
+    if None not in new:
+        again = merge_frames(merged, source, ["k"], broadcast)
+        assert sorted(map(tuple, again.collect()), key=order) == sorted(expected, key=order)
 
 
 def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
@@ -79,8 +93,10 @@ def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
     spark.range(10).selectExpr("id AS k", "id AS v").write.parquet(str(tmp_path / "s"))
     merged = merge_frames(spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "s")), ["k"])
     plan = merged._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin [k" in plan and "LeftAnti, BuildRight" in plan
-    assert plan.count("Exchange hashpartitioning") == 1  # the batch keys
+    assert "LeftAnti, BuildRight" in plan and "LeftSemi, BuildRight" in plan and "SortMergeJoin" not in plan
+    # Shuffled are the batch keys, and of the target the keys that they match.
+    for exchange in plan.split("Exchange hashpartitioning")[1:]:
+        assert "v#" not in exchange.split("HashAggregate")[0]
 
 
 def test_broadcast_is_bounded_by_the_size_of_the_keys(spark, monkeypatch):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakezones.operators.filters import reject_null_keys
+from lakezones.operators.filters import any_null, reject_null_keys
 from lakezones.specs import quoted
 
 
@@ -16,6 +16,9 @@ from lakezones.specs import quoted
 BROADCAST_BYTES = 256 << 20
 BYTES_PER_ENTRY = 32
 
+# Copies of one batch row that one task writes, where the row matches that many target rows.
+COPIES_PER_PIECE = 100_000
+
 
 class MergeCardinalityError(ValueError):
     """A target row is matched by more than one row of the batch."""
@@ -50,23 +53,46 @@ def merge_frames(
     A null key matches nothing, so such rows of either side stay as they are. A batch row that
     matches several target rows replaces each of them, so no target row is lost.
 
-    The target is read once in full and twice for its keys, the batch three times: pass a table
+    The target is read once in full and once for its keys, the batch several times: pass a table
     or a staged frame. With ``broadcast_keys``, for which ``keys_fit_broadcast`` must hold, the
-    target is not shuffled, only the keys that the batch matches are. Otherwise Spark decides
-    by size; if it shuffles, it does so on the keys, and the adaptive skew join splits a hot key
-    of the target.
+    target is not shuffled, only the counts of the keys that the batch matches are. Otherwise
+    Spark decides by size; if it shuffles, it does so on the keys, and the adaptive skew join
+    splits a hot key of the target.
     """
     keys = list(keys)
     source = align(source, target.schema)
     columns = [quoted(name) for name in target.columns]
-    batch_keys = reject_null_keys(source.select(*map(quoted, keys)), keys).distinct()
+    # Not made distinct: an aggregate below the join would keep a hot key from being split.
+    batch_keys = reject_null_keys(source.select(*map(quoted, keys)), keys)
+    present = target.select(*map(quoted, keys))
     if broadcast_keys:
         batch_keys = F.broadcast(batch_keys)
-    kept = target.join(batch_keys, keys, "left_anti")
-    matched = target.select(*map(quoted, keys)).join(batch_keys, keys, "left_semi")
-    updated = matched.join(source, keys)
-    new = source.join(matched.distinct(), keys, "left_anti")
-    return kept.select(*columns).unionByName(updated.select(*columns)).unionByName(new.select(*columns))
+        present = present.join(batch_keys, keys, "left_semi")
+    kept = target.join(batch_keys, keys, "left_anti").select(*columns)
+    matches = present.groupBy(*map(quoted, keys)).agg(F.count("*").alias("_matches"))
+    placed = reject_null_keys(source, keys).join(matches, keys, "left")
+    without_key = source.filter(any_null(keys))
+    return kept.unionByName(_once_per_match(placed, keys, columns)).unionByName(without_key)
+
+
+def _once_per_match(placed: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Each row as often as it has matches, and once if it has none.
+
+    A key that a large part of the target shares is written by many tasks: its copies are cut
+    into pieces, which are spread first.
+    """
+    copies = F.coalesce("_matches", F.lit(1))
+    few = placed.filter(copies <= COPIES_PER_PIECE).withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
+    piece = F.explode(F.sequence(F.lit(0), F.floor((copies - 1) / COPIES_PER_PIECE)))
+    left = copies - F.col("_piece") * COPIES_PER_PIECE
+    partitions = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = (
+        placed.filter(F.col("_matches") > COPIES_PER_PIECE)
+        .withColumn("_piece", piece)
+        .repartition(partitions, *map(quoted, keys), "_piece")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.least(left, F.lit(COPIES_PER_PIECE)))))
+    )
+    return few.select(*columns).unionByName(many.select(*columns))
 
 
 def check_cardinality(target: DataFrame, source: DataFrame, keys: Iterable[str]) -> None:

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -88,15 +90,30 @@ def test_against_brute_force(spark, old, new, broadcast):
         assert sorted(map(tuple, again.collect()), key=order) == sorted(expected, key=order)
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_a_key_with_many_matches_is_written_in_pieces(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(merge, "COPIES_PER_PIECE", 100)
+    hot = {0: 1050, 1: 100, 2: 101, 3: 99, 4: 1}
+    target = spark.createDataFrame([(k, i) for k, n in hot.items() for i in range(n)], "k int, v int")
+    batch = spark.createDataFrame([(k, -1) for k in (0, 1, 2, 3, 5)], "k int, v int")
+    counts = merge_frames(target, batch, ["k"], broadcast).groupBy("k", "v").count()
+    assert {tuple(r) for r in counts.collect()} == {
+        (0, -1, 1050), (1, -1, 100), (2, -1, 101), (3, -1, 99), (4, 0, 1), (5, -1, 1),
+    }
+
+
 def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
     spark.range(1000).selectExpr("id AS k", "id AS v").write.parquet(str(tmp_path / "t"))
     spark.range(10).selectExpr("id AS k", "id AS v").write.parquet(str(tmp_path / "s"))
-    merged = merge_frames(spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "s")), ["k"])
+    target, batch = spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "s"))
+    merged = merge_frames(target, batch, ["k"], keys_fit_broadcast(batch, ["k"]))
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert "LeftAnti, BuildRight" in plan and "LeftSemi, BuildRight" in plan and "SortMergeJoin" not in plan
-    # Shuffled are the batch keys, and of the target the keys that they match.
-    for exchange in plan.split("Exchange hashpartitioning")[1:]:
-        assert "v#" not in exchange.split("HashAggregate")[0]
+    # The full scan of the target feeds the broadcast join; all other scans of it read the keys alone.
+    lines = plan.splitlines()
+    scans = [i for i, line in enumerate(lines) if re.search(r"FileScan.*/t\]", line)]
+    wide = [i for i in scans if "v#" in lines[i].split("Batched")[0]]
+    assert len(wide) == 1 and len(scans) > 1 and "LeftAnti" in lines[wide[0] - 1] + lines[wide[0] - 2]
 
 
 def test_broadcast_is_bounded_by_the_size_of_the_keys(spark, monkeypatch):
@@ -108,7 +125,7 @@ def test_broadcast_is_bounded_by_the_size_of_the_keys(spark, monkeypatch):
         assert keys_fit_broadcast(batch, ["k", "t"]) is fits
 
 
-def test_hot_target_key_is_split(spark):
+def test_hot_target_key_is_split(spark, tmp_path):
     conf = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -123,7 +140,8 @@ def test_hot_target_key_is_split(spark):
         # Half of the target has no key, a quarter one and the same.
         key = F.when(F.col("id") < 30000, None).when(F.col("id") < 45000, 7).otherwise(F.col("id"))
         target = spark.range(0, 60000, 1, 16).select(key.alias("k"), F.col("id").alias("v"))
-        batch = spark.range(50000, 70000).select(F.col("id").alias("k"), F.lit(-1).alias("v"))
+        spark.range(50000, 70000).selectExpr("id AS k", "-1L AS v").write.parquet(str(tmp_path / "batch"))
+        batch = spark.read.parquet(str(tmp_path / "batch"))
         merged = merge_frames(target, batch, ["k"])
         assert merged.filter("v < 0").count() == 20000
         assert len(merged.collect()) == 70000

@@ -110,7 +110,6 @@ def check_cardinality(target: DataFrame, source: DataFrame, keys: Iterable[str])
     )
     if repeated.isEmpty():
         return
-    clashes = repeated.join(target.select(*map(quoted, keys)), keys, "left_semi")
-    example = clashes.first()
+    example = target.select(*map(quoted, keys)).join(repeated, keys, "left_semi").first()
     if example is not None:
         raise MergeCardinalityError(f"several rows of the batch match the target row with key {example.asDict()}")

@@ -87,7 +87,7 @@ def curated_latest_merge(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT CAST(l_orderkey AS varchar) AS sap_order, CASE WHEN l_returnflag = 'A' THEN l_linestatus END AS line_status,
+SELECT CAST(l_orderkey AS varchar) AS order_id, CASE WHEN l_returnflag = 'A' THEN l_linestatus END AS line_status,
   CAST(l_quantity AS varchar) AS quantity, CASE WHEN l_returnflag <> 'A' THEN '00' || l_linenumber END AS line_number,
   CAST(CAST(l_shipdate AS date) AS varchar) AS ship_date, CASE WHEN l_returnflag <> 'R' THEN l_shipdate END AS order_date,
   CAST(NULL AS timestamp) AS arrival_date, '2024-02-01' AS "DT_PARTITION"
@@ -100,7 +100,7 @@ def backfill_raw(t: Tables) -> DataFrame:
     paths = []
     for flag, form in written_at.items():
         columns = {
-            "sap_order": F.col("l_orderkey"), "quantity": F.col("l_quantity"), "ship_date": ship,
+            "order_id": F.col("l_orderkey"), "quantity": F.col("l_quantity"), "ship_date": ship,
             "order_date": F.date_format("l_shipdate", form), "arrival_date": ship,
         }
         if flag == "A":

@@ -36,15 +36,15 @@ def test_backfill_and_curated(spark, database, tmp_path, rows):
     assert rows(work, "center_id", "start_date", "end_date") == [
         (c, s, e) for c in ("01", "02") for s, e in (("2024-01-01", "2024-01-02"), ("2024-01-03", "2024-01-04"))
     ]
-    (tmp_path / "01.csv").write_text("sapid,order_date\na,2024-01-01 08:00:00\n")
-    (tmp_path / "02.csv").write_text("order_date,sapid\n2024-01-02 08:00:00,b\n")
+    (tmp_path / "01.csv").write_text("order_id,order_date\na,2024-01-01 08:00:00\n")
+    (tmp_path / "02.csv").write_text("order_date,order_id\n2024-01-02 08:00:00,b\n")
     run(spark, ["backfill", "--source", str(tmp_path / "01.csv"), "--source", str(tmp_path / "02.csv"),
                 "--table", f"{database}.orders", "--run-day", "2024-02-01", "--timestamp-column", "order_date"])
     spark.sql(f"CREATE DATABASE {database}_c LOCATION '{tmp_path / 'curated'}'")
     try:
         run(spark, ["refined-to-curated", "--refined-database", database, "--curated-database", f"{database}_c",
-                    "--table", "orders:sapid", "--ingest-column", "order_date"])
-        assert rows(spark.table(f"{database}_c.orders"), "sapid") == [("b",)]
+                    "--table", "orders:order_id", "--ingest-column", "order_date"])
+        assert rows(spark.table(f"{database}_c.orders"), "order_id") == [("b",)]
     finally:
         spark.sql(f"DROP DATABASE {database}_c CASCADE")
 

@@ -118,23 +118,23 @@ def test_curated_load(spark, rows):
     for zone in (refined, curated):
         spark.sql(f"CREATE DATABASE {zone}")
     try:
-        spec = TableSpec("orders", primary_keys=("sapid",))
+        spec = TableSpec("orders", primary_keys=("order_id",))
         assert not load_curated(spark, spec, refined, curated)
 
         def arrives(*values):
-            df = spark.createDataFrame(list(values), "sapid string, day string, v int")
-            df = df.selectExpr("sapid", "CAST(day AS timestamp) AS ingest_timestamp", "v")
+            df = spark.createDataFrame(list(values), "order_id string, day string, v int")
+            df = df.selectExpr("order_id", "CAST(day AS timestamp) AS ingest_timestamp", "v")
             df.write.mode("append").saveAsTable(f"{refined}.orders")
 
         arrives(("never", None, 0))
         assert not load_curated(spark, spec, refined, curated)
         arrives(("a", "2024-01-01 10:00:00", 1), ("b", "2024-01-02 00:00:00", 2), ("c", "2024-01-02 23:59:59", 3))
         assert load_curated(spark, spec, refined, curated)
-        table = spark.table(f"{curated}.orders").select("sapid", "v")
+        table = spark.table(f"{curated}.orders").select("order_id", "v")
         assert rows(table) == [("b", 2), ("c", 3)]
         arrives(("c", "2024-01-03 10:00:00", 30), ("d", "2024-01-03 10:00:00", 4))
         assert load_curated(spark, spec, refined, curated)
-        assert rows(spark.table(f"{curated}.orders").select("sapid", "v")) == [("b", 2), ("c", 30), ("d", 4)]
+        assert rows(spark.table(f"{curated}.orders").select("order_id", "v")) == [("b", 2), ("c", 30), ("d", 4)]
         arrives(("d", "2024-01-04 10:00:00", 5), ("d", "2024-01-04 11:00:00", 6))
         with pytest.raises(MergeCardinalityError):
             load_curated(spark, spec, refined, curated)
@@ -145,8 +145,8 @@ def test_curated_load(spark, rows):
 
 def test_backfill(spark, database, tmp_path, rows):
     texts = {
-        "c1": "sapid,order_date,ship\n001,2024-01-01 10:00:00,2024-01-01\n002,2024-01-02,2024-02-01\n",
-        "c2": "note,sapid,order_date,ship\nhi,003,01.01.2024,2024-01-31\n",
+        "c1": "order_id,order_date,ship\n001,2024-01-01 10:00:00,2024-01-01\n002,2024-01-02,2024-02-01\n",
+        "c2": "note,order_id,order_date,ship\nhi,003,01.01.2024,2024-01-31\n",
         "c3": "",
     }
     for name, text in texts.items():
@@ -157,14 +157,14 @@ def test_backfill(spark, database, tmp_path, rows):
     table = f"{database}.orders"
     assert load_backfill(orders, table)
     assert load_backfill(orders, table, replace=True)
-    result = spark.table(table).selectExpr("DT_PARTITION", "sapid", "note", "CAST(order_date AS string) AS at")
+    result = spark.table(table).selectExpr("DT_PARTITION", "order_id", "note", "CAST(order_date AS string) AS at")
     assert rows(result) == [
         ("2024-05-01", "001", None, "2024-01-01 10:00:00"),
         ("2024-05-01", "002", None, None),
         ("2024-05-01", "003", "hi", None),
     ]
     january = backfill_orders(spark, paths, date(2024, 5, 1), ["order_date"], "ship", date(2024, 1, 1), date(2024, 1, 31))
-    assert rows(january, "sapid") == [("001",), ("003",)]
+    assert rows(january, "order_id") == [("001",), ("003",)]
     assert not load_backfill(backfill_orders(spark, paths[2:], date(2024, 5, 1), ["order_date"]), table)
 
 

@@ -63,7 +63,7 @@ def lines_with_words(text: Column) -> Column:
 
 
 def repeated_words(words: Column) -> Column:
-    """Words inside three-word windows that occur twice or more. ``words`` must be a column."""
+    """Words inside three-word windows that occur twice or more. ``words`` must be bound, not computed."""
     windows = F.transform(
         indices(F.size(words) - (WINDOW - 1)),
         lambda i: F.struct(F.xxhash64(*[F.get(words, i + k) for k in range(WINDOW)]).alias("hash"), i.alias("at")),
@@ -105,33 +105,27 @@ def failed_line(line: Column) -> Column:
     return navigation | boilerplate | symbols | open_end
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """``docs`` with the counts of all rules in one more column, ``quality`` or the next free name."""
-    quality, words, lines = _fresh(docs, "quality", "words", "lines")
-    text = F.col("text")
-    prepared = docs.withColumns({words: split_words(text), lines: lines_with_words(text)})
-    joined = F.array_join(F.col(words), "")
-    lost = F.filter(F.col(lines), failed_line)
-    counts = F.struct(
-        F.size(words).cast("bigint").alias("n_words"),
-        F.length(joined).cast("bigint").alias("word_chars"),
-        count_of(joined, SYMBOLS).cast("bigint").alias("n_symbols"),
-        (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("n_dup_lines"),
-        repeated_words(F.col(words)).cast("bigint").alias("n_repeat_words"),
-        F.regexp_count(F.array_join(lost, "\n"), F.lit(WORD)).cast("bigint").alias("n_lost_words"),
-    )
-    return prepared.withColumn(quality, counts).drop(words, lines)
-
+def counts_of(text: Column) -> Column:
+    """The counts of the base rules and of the line rules, as one struct.
+
+    One expression that binds what it uses more than once: it stays linear wherever the optimizer
+    moves it, as below a filter.
+    """
+
+    def counts(parts: Column) -> Column:
+        words, lines = parts["words"], parts["lines"]
+        joined = F.array_join(words, "")
+        lost = F.filter(lines, failed_line)
+        return F.struct(
+            F.size(words).cast("bigint").alias("n_words"),
+            F.length(joined).cast("bigint").alias("word_chars"),
+            count_of(joined, SYMBOLS).cast("bigint").alias("n_symbols"),
+            (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("n_dup_lines"),
+            repeated_words(words).cast("bigint").alias("n_repeat_words"),
+            F.regexp_count(F.array_join(lost, "\n"), F.lit(WORD)).cast("bigint").alias("n_lost_words"),
+        )
 
-def _fresh(docs: DataFrame, *names: str) -> list[str]:
-    """The names, lengthened until no column of ``docs`` has them."""
-    taken = {name.lower() for name in docs.columns}
-    found = []
-    for name in names:
-        while name in taken:
-            name = "_" + name
-        found.append(name)
-    return found
+    return _let(F.struct(split_words(text).alias("words"), lines_with_words(text).alias("lines")), counts)
 
 
 def base_failed(counts: Column) -> Column:
@@ -145,13 +139,9 @@ def passes(counts: Column) -> Column:
 
 def apply_quality_rules(docs: DataFrame) -> DataFrame:
     """doc_id, the counts, base_failed and kept of every document."""
-    rows = measured(docs.select("doc_id", "text"))
-    counts = F.col("quality")
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return rows.select(
-        "doc_id", *[counts[name].alias(name) for name in names], base_failed(counts).alias("base_failed"),
-        passes(counts).alias("kept"), counts["n_lost_words"].alias("n_lost_words"),
-    )
+    rows = docs.select("doc_id", counts_of(F.col("text")).alias("counts"))
+    counts = F.col("counts")
+    return rows.select("doc_id", "counts.*", base_failed(counts).alias("base_failed"), passes(counts).alias("kept"))
 
 
 def cleaned_text(text: Column) -> Column:
@@ -163,5 +153,4 @@ def cleaned_text(text: Column) -> Column:
 
 def passing_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass all rules, unchanged."""
-    (name,) = _fresh(docs, "quality")
-    return measured(docs).filter(passes(F.col(name))).drop(name)
+    return docs.filter(_let(counts_of(docs["text"]), passes))

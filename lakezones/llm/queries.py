@@ -157,10 +157,11 @@ def _line_sql(line: str) -> str:
     separators = count.format(line, quality_rules.SEPARATORS)
     letters = rf"length(regexp_replace({line}, '[\x20\x09-\x0D]+', '', 'g'))"
     closing = quality_rules.CLOSING.replace("'", "''")
+    last = rf"right(regexp_replace({line}, '[\x20\x09-\x0D]+\z', ''), 1)"
     return f"""(({separators} >= 2 AND {separators} * 4 >= {words})
     OR regexp_matches(lower({line}), '{"|".join(quality_rules.BOILERPLATE)}')
     OR {count.format(line, quality_rules.SYMBOLS)} * 100 > {letters} * {quality_rules.MAX_LINE_SYMBOLS}
-    OR (NOT regexp_matches(regexp_replace({line}, '[\\x20\\x09-\\x0D]+\\z', ''), '{closing}') AND {words} < {quality_rules.MIN_OPEN_WORDS}))"""
+    OR (NOT contains('{closing}', {last}) AND {words} < {quality_rules.MIN_OPEN_WORDS}))"""
 
 
 @query(rf"""

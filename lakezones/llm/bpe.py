@@ -32,14 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers.pre_tokenizers import ByteLevel
 
-from lakezones.llm.text import filesystem
+from lakezones.llm.text import Remembered, filesystem
 
 # Fixed value: the pattern that cuts a text before byte-level merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-# What a task remembers; both are emptied when they are full.
-REMEMBERED_PRETOKENS = 600_000
+# What a task remembers: pre-tokens (in each of two generations) and pairs (emptied when full).
+REMEMBERED_PRETOKENS = 400_000
 REMEMBERED_LENGTH = 64
 REMEMBERED_PAIRS = 1_000_000
 
@@ -96,7 +96,7 @@ class PrefixEncoder:
         self.late, self.unassigned = unassigned()
         self.own_cut = ByteLevel(add_prefix_space=False, use_regex=True, trim_offsets=False)
         self.at_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.known: dict[str, bytes] = {}
+        self.known = Remembered(REMEMBERED_PRETOKENS, REMEMBERED_LENGTH, self._packed)
         self.spines: dict[str, tuple[bool, list, list]] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
 
@@ -185,15 +185,7 @@ class PrefixEncoder:
         return ids[::-1]
 
     def _packed(self, pretoken: str) -> bytes:
-        packed = self.known.get(pretoken)
-        if packed is not None:
-            return packed
-        packed = np.array(self.pretoken(pretoken), "<u4").tobytes()
-        if len(pretoken) <= REMEMBERED_LENGTH:
-            if len(self.known) >= REMEMBERED_PRETOKENS:
-                self.known.clear()
-            self.known[pretoken] = packed
-        return packed
+        return np.array(self.pretoken(pretoken), "<u4").tobytes()
 
     def _cut(self, text: str) -> list[str]:
         """Pre-tokens. Characters newer than the tokenizer's tables are left to its own cutting."""
@@ -202,12 +194,7 @@ class PrefixEncoder:
         return [text[start:end] for _, (start, end) in self.own_cut.pre_tokenize_str(text)]
 
     def _ordinary(self, text: str) -> list[bytes]:
-        pieces = self._cut(text)
-        found = list(map(self.known.get, pieces))
-        if None in found:
-            packed = self._packed
-            found = [ids if ids is not None else packed(piece) for ids, piece in zip(found, pieces)]
-        return found
+        return self.known.all(self._cut(text))
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text as little-endian unsigned 32-bit integers."""

@@ -6,6 +6,8 @@ return). A null text counts as an empty one everywhere.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow.fs as pafs
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -53,6 +55,39 @@ def shingle_hashes(words: Column, width: int) -> Column:
     return F.when(F.size(words) == 0, empty).when(F.size(words) < width, short).otherwise(hashes)
 
 
+class Remembered:
+    """A bounded memory of packed ids by string, for one task after another in a worker.
+
+    Two generations: what is met again moves to the young one; when that is full it becomes the
+    old one, and what was not met since the last such change is forgotten.
+    """
+
+    def __init__(self, most: int, longest: int, pack: Callable[[str], bytes]):
+        self.most, self.longest, self.pack = most, longest, pack
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def all(self, keys: list[str]) -> list[bytes]:
+        """The packed ids of each string."""
+        found = list(map(self.young.get, keys))
+        if None in found:
+            found = [packed if packed is not None else self._one(key) for packed, key in zip(found, keys)]
+        return found
+
+    def _one(self, key: str) -> bytes:
+        packed = self.young.get(key)
+        if packed is not None:
+            return packed
+        packed = self.old.get(key)
+        if packed is None:
+            packed = self.pack(key)
+        if len(key) <= self.longest:
+            if len(self.young) >= self.most:
+                self.young, self.old = {}, self.young
+            self.young[key] = packed
+        return packed
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """The store and the path in it, for tasks that read and write files of their own format."""
     if ":/" not in uri:

@@ -37,14 +37,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lakezones.llm.text import filesystem, whole
+from lakezones.llm.text import Remembered, filesystem, whole
 from lakezones.session import scratch_path, stage
 
 END_ID = 2
 # ASCII white space, at which a text can be cut without changing its ids.
 WORDS = re.compile("[^ \t\n\x0b\x0c\r]+")
 
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 500_000
 REMEMBERED_LENGTH = 64
 
 PARTS = "part int, path string, documents bigint, ids bigint, width int"
@@ -62,26 +62,13 @@ class WordEncoder:
         self.tokenizer.no_padding()
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
+        self.known = Remembered(REMEMBERED_WORDS, REMEMBERED_LENGTH, self._packed)
 
     def _packed(self, word: str) -> bytes:
-        packed = self.known.get(word)
-        if packed is None:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-            packed = np.array(ids, self.dtype).tobytes()
-            if len(word) <= REMEMBERED_LENGTH:
-                if len(self.known) >= REMEMBERED_WORDS:
-                    self.known.clear()
-                self.known[word] = packed
-        return packed
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def encode(self, text: str) -> bytes:
-        words = WORDS.findall(text)
-        found = list(map(self.known.get, words))
-        if None in found:
-            packed = self._packed
-            found = [ids if ids is not None else packed(word) for ids, word in zip(found, words)]
-        return b"".join(found)
+        return b"".join(self.known.all(WORDS.findall(text)))
 
 
 @cache

@@ -486,4 +486,4 @@ def distinct_documents(docs: DataFrame, width: int = WIDTH, similarity: int = SI
     found = near_duplicates(docs, width, similarity)
     gone = stage(found.filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("gone")), "duplicates")
     small = gone.count() <= BROADCAST_NODES
-    return docs.join(F.broadcast(gone) if small else gone, docs["doc_id"] == F.col("gone"), "left_anti")
+    return docs.join(F.broadcast(gone) if small else gone, docs["doc_id"] == gone["gone"], "left_anti")

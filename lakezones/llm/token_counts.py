@@ -38,6 +38,7 @@ PRETOKEN = re.compile(f"{SPACE_MARK}+[^{SPACE_MARK}\n]*|\n+|[^{SPACE_MARK}\n]+")
 # The broadcast table has at most so many pre-tokens of at most so many characters.
 COMMON_PRETOKENS = 1 << 18
 COMMON_LENGTH = 24
+STEPS_PER_DOUBLING = 16
 
 # What a task counts before it passes the counts on, and rows in one batch of results.
 COUNTED_PRETOKENS = 300_000
@@ -164,12 +165,28 @@ def piece_table(docs: DataFrame, path: str) -> DataFrame:
     return stage(distinct.mapInArrow(CountPieces(path), "pretoken string, times bigint, pieces bigint"), "pieces")
 
 
+def common_pretokens(pieces: DataFrame, most: int) -> DataFrame:
+    """The short pre-tokens of the greatest frequencies, at most ``most`` of them.
+
+    They are cut off at a frequency, between steps of a logarithmic scale, so that nothing is sorted.
+    """
+    step = F.floor(F.log2("times") * STEPS_PER_DOUBLING)
+    short = pieces.filter(F.length("pretoken") <= COMMON_LENGTH).withColumn("step", step)
+    cut, total = None, 0
+    for row in sorted(short.groupBy("step").count().collect(), reverse=True):
+        total += row["count"]
+        if total > most:
+            break
+        cut = row["step"]
+    kept = short.filter(F.col("step") >= cut) if cut is not None else short.filter("false")
+    return kept.select("pretoken", "pieces")
+
+
 def count_tokens(docs: DataFrame, path: str, limit: int, common: int = COMMON_PRETOKENS) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit (more tokens than ``limit``) of every document."""
     spark = docs.sparkSession
     pieces = piece_table(docs, path)
-    short = pieces.filter(F.length("pretoken") <= COMMON_LENGTH)
-    rows = short.orderBy(F.desc("times"), "pretoken").limit(common).select("pretoken", "pieces").toArrow()
+    rows = common_pretokens(pieces, common).toArrow()
     table = dict(zip(rows.column("pretoken").to_pylist(), rows.column("pieces").to_pylist()))
     texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     parts = texts.mapInArrow(SumCommon(spark.sparkContext.broadcast(table)), PARTS)

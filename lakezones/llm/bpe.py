@@ -39,9 +39,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 
 
 # What a task remembers: pre-tokens (in each of two generations) and pairs (emptied when full).
-REMEMBERED_PRETOKENS = 400_000
+REMEMBERED_PRETOKENS = 150_000
 REMEMBERED_LENGTH = 64
-REMEMBERED_PAIRS = 1_000_000
+REMEMBERED_PAIRS = 200_000
 
 DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 

@@ -66,7 +66,7 @@ FEW_SETS = 12
 # Rows that name a text to be read again are broadcast up to this number (at most about 100 bytes each).
 BROADCAST_NODES = 300_000
 
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 150_000
 WORDS_AT_ONCE = 500_000
 
 _MASK = (1 << 64) - 1

@@ -44,6 +44,9 @@ END_ID = 2
 # ASCII white space, at which a text can be cut without changing its ids.
 WORDS = re.compile("[^ \t\n\x0b\x0c\r]+")
 
+# Marks that are never merged with letters before them.
+MARKS = ".,;:!?"
+
 REMEMBERED_WORDS = 500_000
 REMEMBERED_LENGTH = 64
 
@@ -65,6 +68,11 @@ class WordEncoder:
         self.known = Remembered(REMEMBERED_WORDS, REMEMBERED_LENGTH, self._packed)
 
     def _packed(self, word: str) -> bytes:
+        """Words that differ in capitals or in a mark behind them are encoded once."""
+        if word[-1] in MARKS and word[:-1].isalpha():
+            return b"".join(self.known.all([word[:-1], word[-1]]))
+        if word.isascii() and word.isalpha() and not word.islower():
+            return b"".join(self.known.all([word.lower()]))
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def encode(self, text: str) -> bytes:

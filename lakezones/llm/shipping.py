@@ -15,9 +15,18 @@ from lakezones.llm.text import filesystem
 from lakezones.session import scratch_path
 
 
+# Texts are long: batches for Python workers are bounded by fewer rows than usual, and in bytes.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
+
+
 def prepared(spark: SparkSession) -> SparkSession:
     """The session with the settings of the library and its code sent to the executors."""
     _send(spark.sparkContext.applicationId)
+    for name, value in BATCHES.items():
+        spark.conf.set(name, value)
     return prepare_session(spark)
 
 

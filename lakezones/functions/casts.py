@@ -11,6 +11,7 @@ from lakezones.fixed_values import TIMESTAMP_FORMAT, TIMESTAMP_TEXT
 # The shape is tested first because a failing cast is caught as an exception, which for a column
 # full of such values costs many times the cast itself.
 DIGITS = r"^\s*[+-]?\d+\s*$"
+FRACTION = r"^\s*[+-]?\d*\.\d*[1-9]\d*\s*$"
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
@@ -18,7 +19,8 @@ def numeric_key(value: Column) -> Column:
     """Text to a 64-bit key. ``1.0`` and ``1e3`` are whole numbers; ``1.5`` and text are null."""
     text = value.cast("string")
     number = text.try_cast("decimal(38,18)")
-    whole = F.when(number == F.floor(number), number.try_cast("bigint"))
+    # The decimal rounds after 18 places, the text does not.
+    whole = F.when((number == F.floor(number)) & ~text.rlike(FRACTION), number.try_cast("bigint"))
     return F.when(text.rlike(DIGITS), text.try_cast("bigint")).when(text.rlike(NUMBER), whole)
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakezones.fixed_values import EMAIL_LENGTH, NAME_LENGTH
+from lakezones.specs import quoted
 
 Path = tuple[str, ...]
 LIST = "[]"
@@ -29,9 +30,10 @@ class PayloadField(Protocol):
     def column(self, payload: Column) -> Column: ...
 
 
-def clean_text(value: Column, length: int) -> Column:
-    """Trimmed, cut to ``length`` characters, never null."""
-    return F.coalesce(F.left(F.trim(value), F.lit(length)), F.lit(""))
+def clean_text(value: Column, length: int | None) -> Column:
+    """Trimmed, cut to ``length`` characters if one is given, never null."""
+    trimmed = F.trim(value)
+    return F.coalesce(trimmed if length is None else F.left(trimmed, F.lit(length)), F.lit(""))
 
 
 def at(payload: Column, path: Path) -> Column:
@@ -42,11 +44,11 @@ def at(payload: Column, path: Path) -> Column:
 
 @dataclass(frozen=True)
 class TextField:
-    """One text at ``path``."""
+    """One text at ``path``, whole if ``length`` is None."""
 
     alias: str
     path: Path
-    length: int = NAME_LENGTH
+    length: int | None = NAME_LENGTH
 
     def paths(self) -> list[Path]:
         return [self.path]
@@ -127,5 +129,5 @@ def extract_fields(
     scratch = "_payload"
     while scratch in df.columns:
         scratch = "_" + scratch
-    parsed = df.withColumn(scratch, F.from_json(F.col(content), payload_schema(fields)))
-    return parsed.select(*kept, *[field.column(F.col(scratch)).alias(field.alias) for field in fields])
+    parsed = df.withColumn(scratch, F.from_json(F.col(quoted(content)), payload_schema(fields)))
+    return parsed.select(*map(quoted, kept), *[field.column(F.col(scratch)).alias(field.alias) for field in fields])

@@ -14,7 +14,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from lakezones.fixed_values import BACKFILL_END, BACKFILL_START, INITIAL_WATERMARK, ORDER_TIMESTAMP_COLUMNS
+from lakezones.fixed_values import BACKFILL_END, BACKFILL_START, ORDER_TIMESTAMP_COLUMNS
 from lakezones.operators.windows import worklist
 from lakezones.plans.backfill import backfill_orders, load_backfill
 from lakezones.plans.curated import load_curated
@@ -88,8 +88,7 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
         pages = read_pages(spark, args.landing, args.whole_files)
         log.info("pages: %s", page_completeness(pages).first().asDict())
         state = WatermarkStore(spark, args.state)
-        since = INITIAL_WATERMARK if args.full else None
-        log.info("%s", load_raw_customers(pages, args.table, state, now, provider=args.provider, since=since))
+        log.info("%s", load_raw_customers(pages, args.table, state, now, provider=args.provider, full=args.full))
     elif args.job == "raw-to-refined":
         load_refined_customers(spark, args.raw_table, args.refined_table, args.provider)
     elif args.job == "refined-to-curated":

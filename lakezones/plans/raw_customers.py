@@ -32,13 +32,18 @@ class RawLoad:
     rows: int
     null_keys: int
     watermark: str | None
+    without_time: int = 0
 
 
 def raw_records(pages: DataFrame, run_time: datetime, watermark: str | None = None) -> DataFrame:
-    """The typed records of the pages that changed since the watermark."""
+    """The typed records of the pages that changed since the watermark.
+
+    Records without a readable time of change are always among them.
+    """
     records = flatten_pages(pages)
     if watermark is not None:
-        records = records.filter(iso_timestamp(F.col("updated")) >= F.lit(watermark).cast("timestamp"))
+        updated = iso_timestamp(F.col("updated"))
+        records = records.filter((updated >= F.lit(watermark).cast("timestamp")) | updated.isNull())
     typed = records.withColumns(
         {KEY: numeric_key(F.col(KEY)), "created": iso_timestamp(F.col("created"))}
     )
@@ -69,28 +74,32 @@ def load_raw_customers(
     run_time: datetime,
     load: str = "customers",
     provider: str = "parquet",
-    since: str | None = None,
+    full: bool = False,
 ) -> RawLoad:
-    """Merge the records changed since the watermark, or ``since``, into ``table``; then advance it.
+    """Merge the records changed since the watermark, or all if ``full``, into ``table``; then advance it.
 
     The records are staged twice: as extracted, for the counts and the watermark over all of
     them, and once per customer, for numbering and merging, which mostly read the ids alone. If the load fails before its last step, the old
     watermark makes the next run read the same records again.
     """
     spark = pages.sparkSession
-    records = stage(raw_records(pages, run_time, since or state.read(load)), "raw-records")
+    records = stage(raw_records(pages, run_time, None if full else state.read(load)), "raw-records")
     report = RawLoad(
         *records.agg(
             F.count("*"),
             F.count_if(any_null([KEY])),
             watermark_text(F.max(iso_timestamp(F.col("updated")))),
+            F.count_if(iso_timestamp(F.col("updated")).isNull()),
         ).first()
     )
     if report.null_keys:
         log.warning("%d rows without %s are left out", report.null_keys, KEY)
+    if report.without_time:
+        log.warning("%d rows have no readable time of change", report.without_time)
     if report.rows > report.null_keys:
         latest = stage(latest_records(records), "raw-latest")
         keyed = project(with_customer_keys(latest, read_table(spark, table)), REFINED_INPUT_COLUMNS)
-        merge_or_create(keyed, table, [KEY], provider, staged=True)
+        # Written, as the merge reads it several times and it joins the target.
+        merge_or_create(stage(keyed, "raw-keyed"), table, [KEY], provider, staged=True)
     state.advance(load, report.watermark)
     return report

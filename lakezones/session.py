@@ -31,7 +31,7 @@ CLUSTER_SETTINGS = {
     "spark.sql.files.maxPartitionBytes": str(TARGET_FILE_BYTES),
     "spark.sql.parquet.compression.codec": "snappy",
 }
-SHUFFLE_PARTITIONS = (200, 65536)
+FEWEST_PARTITIONS = 200
 
 
 def prepare_session(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
@@ -43,8 +43,7 @@ def prepare_session(spark: SparkSession, shuffle_bytes: int | None = None) -> Sp
     """
     settings = RESULT_SETTINGS | PLAN_SETTINGS
     if shuffle_bytes is not None:
-        fewest, most = SHUFFLE_PARTITIONS
-        partitions = min(max(shuffle_bytes // TARGET_FILE_BYTES, fewest), most)
+        partitions = max(shuffle_bytes // TARGET_FILE_BYTES, FEWEST_PARTITIONS)
         settings = settings | CLUSTER_SETTINGS | {
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions)
         }

@@ -3,7 +3,8 @@
 Tables of a format with row-level operations are changed by that format. Plain Parquet tables
 cannot be changed in place, so their new content is written to a new folder first, and the
 catalog entry is moved to it last: readers see the old or the new content, and a failed write
-changes nothing. The old folder stays until the storage's life-cycle rule removes it.
+changes nothing. Partitions that are overwritten are the exception: they are replaced in place,
+one after another. The old folder stays until the storage's life-cycle rule removes it.
 """
 
 from __future__ import annotations
@@ -56,8 +57,10 @@ def merge_or_create(
             batch=align(batch, target.schema),
         )
         return
+    # Cast first: keys that differ as text may be equal in the target.
+    batch = align(batch, target.schema)
     if not staged:
-        batch = stage(align(batch, target.schema), "merge-batch")
+        batch = stage(batch, "merge-batch")
     partitions = _partition_columns(spark, table)
     if partitions:
         _merge_partitions(batch, target, table, keys, partitions)
@@ -74,7 +77,6 @@ def _merge_partitions(
     # A match has the same partition value, so no other partition can change. The list is as
     # long as the batch has partition values.
     column = F.col(quoted(partitions[0]))
-    batch = align(batch, target.schema)
     values = [row[0] for row in batch.select(column).distinct().collect()]
     touched = column.isin([value for value in values if value is not None])
     if None in values:
@@ -95,7 +97,7 @@ def overwrite_or_create(df: DataFrame, table: Name, provider: str = "parquet") -
     elif _partition_columns(spark, table):
         # The catalog knows each partition's folder, so these are replaced in place; the rows are
         # staged as they may come from the table itself.
-        stage(align(df, target.schema), "overwrite").write.insertInto(quoted_table(table), overwrite=True)
+        _insert_overwrite(stage(align(df, target.schema), "overwrite"), table, "static")
     else:
         _switch_content(align(df, target.schema), table)
 
@@ -155,10 +157,16 @@ def create_table(
         return
     writer = df.write.format("parquet").option("compression", "snappy")
     if partition_column:
+        writer = _by_partition(df, [partition_column]).write.format("parquet").option("compression", "snappy")
         writer = writer.partitionBy(partition_column)
     writer.option("path", _new_folder(df.sparkSession, table)).saveAsTable(name)
 
 
+def _by_partition(df: DataFrame, partitions: list[str]) -> DataFrame:
+    """The rows of a partition value together, so that it gets few files; many rows are split by size."""
+    return df.hint("rebalance", *[F.col(quoted(name)) for name in partitions])
+
+
 def _switch_content(df: DataFrame, table: Name) -> None:
     spark, name = df.sparkSession, quoted_table(table)
     folder = _new_folder(spark, table)
@@ -169,11 +177,17 @@ def _switch_content(df: DataFrame, table: Name) -> None:
 
 def _overwrite_partitions(df: DataFrame, table: Name) -> None:
     """Replace the partitions that ``df`` holds rows of; the others stay."""
+    _insert_overwrite(df, table, "dynamic")
+
+
+def _insert_overwrite(df: DataFrame, table: Name, kind: str) -> None:
+    """Overwrite all partitions (static) or those of the rows (dynamic), whatever the session says."""
     spark, setting = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
     mode = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
+    spark.conf.set(setting, kind)
     try:
-        df.write.insertInto(quoted_table(table), overwrite=True)
+        rows = _by_partition(df, _partition_columns(spark, table))
+        rows.write.insertInto(quoted_table(table), overwrite=True)
     finally:
         spark.conf.set(setting, mode)
 

@@ -63,9 +63,12 @@ def register_dataset(
     """Register the Parquet files below ``path`` as a table with the columns of all files combined.
 
     Run it again after files were added or removed: new columns and partitions appear,
-    partitions whose files are gone disappear, and the data itself is never touched.
+    partitions whose files are gone disappear, and the data itself is never touched. A managed
+    table is refused, as its data would go with its catalog entry.
     """
     table = quoted_table(name)
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "MANAGED":
+        raise ValueError(f"{table} is a managed table; register its files under another name")
     found = spark.read.option("mergeSchema", True).parquet(path)
     columns = ", ".join(
         f"{quoted_table((field.name,))} {field.dataType.simpleString()}" for field in found.schema

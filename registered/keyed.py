@@ -12,6 +12,7 @@ from lakezones.operators.keys import surrogate_key as numbered
 from lakezones.operators.measures import preview
 from lakezones.operators.merge import check_cardinality, merge_frames
 from lakezones.operators.windows import assign_window, windows_of, worklist
+from lakezones.session import stage
 from registered.registry import Tables, query
 
 
@@ -125,7 +126,7 @@ def merge_upsert_composite(t: Tables) -> DataFrame:
 
     first, second = first_and_second_load(t.lineitem, "l_shipdate")
     batch = latest(second).withColumn("l_quantity", F.col("l_quantity") + 1000)
-    return merge_frames(latest(first), batch, keys)
+    return merge_frames(stage(latest(first)), stage(batch), keys)
 
 
 @query("""

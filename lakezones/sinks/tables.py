@@ -74,8 +74,9 @@ def _merge_partitions(
 ) -> None:
     if len(partitions) != 1 or partitions[0].lower() not in (key.lower() for key in keys):
         raise ValueError(f"a partitioned Parquet table merges only if its one partition column is a key: {partitions}")
-    # A match has the same partition value, so no other partition can change. The list is as
-    # long as the batch has partition values.
+    # A match has the same partition value, so no other partition can change. The list has one
+    # value for each partition that is rewritten, which the commit reports to the catalog anyway,
+    # and as a literal it prunes the scan whatever the sizes are.
     column = F.col(quoted(partitions[0]))
     values = [row[0] for row in batch.select(column).distinct().collect()]
     touched = column.isin([value for value in values if value is not None])

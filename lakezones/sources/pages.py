@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 # Where a page keeps its records, and the record fields that become columns.
@@ -54,6 +54,16 @@ def flatten_pages(
     )
 
 
+class IncompleteLanding(ValueError):
+    """Fewer pages or records landed than the pages themselves state."""
+
+
+def require_complete(report: Row) -> None:
+    """Raise if the report of ``page_completeness`` lacks pages or records, or states that there are none."""
+    if not report.records_expected or report.pages_missing > 0 or report.records_missing > 0:
+        raise IncompleteLanding(f"the landed pages are not complete: {report.asDict()}")
+
+
 def page_completeness(pages: DataFrame, doc: str = "doc", path: tuple[str, ...] = RECORD_LIST) -> DataFrame:
     """Landed pages and records against the totals that the pages themselves state."""
     parsed = pages.select(F.from_json(F.col(doc), f"{_list_schema(path)}, {PAGE_TOTALS}").alias("_doc"))

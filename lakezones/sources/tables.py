@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from typing import TypeVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from lakezones.specs import quoted_table, sql_text
+from lakezones.specs import quoted, quoted_table, sql_text
 
 log = logging.getLogger(__name__)
 Found = TypeVar("Found")
@@ -63,19 +64,48 @@ def register_dataset(
     """Register the Parquet files below ``path`` as a table with the columns of all files combined.
 
     Run it again after files were added or removed: new columns and partitions appear,
-    partitions whose files are gone disappear, and the data itself is never touched. A managed
-    table is refused, as its data would go with its catalog entry.
+    partitions whose files are gone disappear, and the data itself is never touched. The entry
+    stays while it changes; only if the type of a column, the partitioning or the path is another
+    one, it is made anew. A managed table is refused, as its data would go with its entry.
     """
     table = quoted_table(name)
-    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "MANAGED":
-        raise ValueError(f"{table} is a managed table; register its files under another name")
     found = spark.read.option("mergeSchema", True).parquet(path)
-    columns = ", ".join(
-        f"{quoted_table((field.name,))} {field.dataType.simpleString()}" for field in found.schema
-    )
-    partitioned = f" PARTITIONED BY ({', '.join(quoted_table((c,)) for c in partition_columns)})" if partition_columns else ""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{partitioned} LOCATION {sql_text(path)}")
+    new = _new_fields(spark, table, found.schema, path, partition_columns)
+    if new is None:
+        partitioned = f" PARTITIONED BY ({', '.join(map(quoted, partition_columns))})" if partition_columns else ""
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"CREATE TABLE {table} ({_columns(found.schema)}) USING parquet{partitioned} LOCATION {sql_text(path)}")
+    elif new:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({_columns(new)})")
+    spark.catalog.refreshTable(table)
     if partition_columns:
         spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
     return spark.table(table)
+
+
+def _columns(fields: Iterable[T.StructField]) -> str:
+    return ", ".join(f"{quoted(field.name)} {field.dataType.simpleString()}" for field in fields)
+
+
+def _new_fields(
+    spark: SparkSession, table: str, schema: T.StructType, path: str, partition_columns: tuple[str, ...]
+) -> list[T.StructField] | None:
+    """The columns that the entry of ``table`` lacks; None if there is no entry or it cannot be kept."""
+    if not spark.catalog.tableExists(table):
+        return None
+    if spark.catalog.getTable(table).tableType == "MANAGED":
+        raise ValueError(f"{table} is a managed table; register its files under another name")
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    location = next((row["data_type"] for row in described if row["col_name"] == "Location"), "")
+    partitions = tuple(column.name for column in spark.catalog.listColumns(table) if column.isPartition)
+    if (_plain(location), partitions) != (_plain(path), tuple(partition_columns)):
+        return None
+    known = {field.name.lower(): field.dataType for field in spark.table(table).schema}
+    if any(known.get(field.name.lower(), field.dataType) != field.dataType for field in schema):
+        return None
+    return [field for field in schema if field.name.lower() not in known]
+
+
+def _plain(path: str) -> str:
+    """The path as one form of writing it; local paths may come with or without their scheme."""
+    return "/" + path.removeprefix("file:").strip("/") if path.startswith(("file:", "/")) else path.rstrip("/")

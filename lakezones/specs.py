@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 
@@ -24,6 +25,14 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def unused_name(columns: Iterable[str], name: str) -> str:
+    """``name``, with underscores before it until no column is called so."""
+    known = {column.lower() for column in columns}
+    while name.lower() in known:
+        name = "_" + name
+    return name
+
+
 def quoted_table(name: str | tuple[str, ...]) -> str:
     """Quote each part of a table name, so that names with hyphens or dots work.
 

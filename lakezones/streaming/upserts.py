@@ -41,13 +41,15 @@ def upsert_new_files(
     ties: Iterable[str] = (),
     file_format: str = "text",
     max_files: int | None = None,
+    provider: str = "parquet",
 ) -> StreamingQuery:
     """Merge everything that landed since the last run into ``table``, then stop.
 
     The checkpoint remembers which files were merged. A record replaces the one of the table only
     if it is at least as late, by ``order`` and then ``ties``. So the table does not depend on the
     order in which files land, on ``max_files``, which bounds the files of one batch when a backlog
-    is large, or on a batch that is repeated after a failure.
+    is large, or on a batch that is repeated after a failure. ``provider`` is the format of a table
+    that is created; one with row-level operations is not rewritten by every batch.
     """
     keys, ties = list(keys), list(ties)
 
@@ -58,7 +60,7 @@ def upsert_new_files(
         if target is not None:
             latest = stage(not_older(latest, target, keys, [order, *ties]), "stream-batch")
         if not latest.isEmpty():
-            merge_or_create(latest, table, keys, staged=True)
+            merge_or_create(latest, table, keys, provider, staged=True)
 
     reader = spark.readStream.format(file_format).schema(schema)
     if max_files is not None:

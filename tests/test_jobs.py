@@ -3,6 +3,7 @@ import json
 import pytest
 
 from lakezones.jobs import parser, run, table_spec
+from lakezones.sources.pages import IncompleteLanding
 from lakezones.sources.tables import read_table
 
 
@@ -49,6 +50,28 @@ def test_backfill_and_curated(spark, database, tmp_path, rows):
         spark.sql(f"DROP DATABASE {database}_c CASCADE")
 
 
+def test_stream_and_several_tables(spark, database, tmp_path, rows):
+    landing, checkpoint = tmp_path / "landing", str(tmp_path / "checkpoint")
+    landing.mkdir()
+    for number in (2, 1):
+        record = {"id": 5, "createdAt": "2024-01-01T00:00:00Z", "updatedAt": f"2024-01-0{number}T00:00:00Z"}
+        page = {"number": 1, "size": 1, "totalElements": 2, "totalPages": 2}
+        (landing / str(number)).write_text(json.dumps({"_embedded": {"customers": [record]}, "page": page}) + "\n")
+        run(spark, ["stream-customers", "--landing", str(landing), "--table", f"{database}.latest", "--checkpoint", checkpoint])
+    assert rows(read_table(spark, f"{database}.latest"), "customer_id", "updated") == [(5, "2024-01-02T00:00:00Z")]
+    with pytest.raises(IncompleteLanding):
+        run(spark, ["source-to-raw", "--landing", str(landing), "--table", f"{database}.customers", "--state",
+                    str(tmp_path / "state"), "--require-complete"])
+    assert read_table(spark, f"{database}.customers") is None
+    (tmp_path / "a.csv").write_text("id,at\n1,2024-01-01 08:00:00\n")
+    config = [{"name": name, "sources": [str(tmp_path / "a.csv")], "timestamp_columns": ["at"]} for name in ("x", "y")]
+    (tmp_path / "tables.json").write_text(json.dumps(config))
+    run(spark, ["backfill-tables", "--tables", str(tmp_path / "tables.json"), "--database", database, "--single-line"])
+    assert [read_table(spark, f"{database}.{name}").count() for name in ("x", "y")] == [1, 1]
+    with pytest.raises(ValueError, match="one refined table"):
+        run(spark, ["raw-to-refined", "--raw-table", "a.b", "--raw-table", "a.c", "--refined-table", "a.d"])
+
+
 def test_arguments():
     assert table_spec("t:a,b").primary_keys == ("a", "b")
     for text in ("t", ":a", "t:"):

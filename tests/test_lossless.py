@@ -1,17 +1,22 @@
 """Loads that must not lose rows or depend on the order of arrival."""
 
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from lakezones.functions.casts import numeric_key
 from lakezones.functions.payload import TextField, extract_fields
+from lakezones.operators.dedup import deduplicate_latest
 from lakezones.operators.filters import latest_day, since
-from lakezones.operators.merge import MergeCardinalityError
+from lakezones.operators.keys import surrogate_key
+from lakezones.operators.merge import MergeCardinalityError, merge_frames
+from lakezones.plans.backfill import backfill_orders, load_backfill, load_backfills
 from lakezones.plans.raw_customers import raw_records
 from lakezones.sinks.tables import create_table, merge_or_create, overwrite_or_create
+from lakezones.sources.pages import IncompleteLanding, page_completeness, require_complete
 from lakezones.sources.tables import read_table, register_dataset
+from lakezones.specs import TableSpec
 from lakezones.streaming.upserts import upsert_new_files
 
 
@@ -95,3 +100,85 @@ def test_a_partition_value_gets_few_files(spark, database):
     merge_or_create(rows.filter("id < 10000"), table, ["id", "p"], partition_column="p")
     found = read_table(spark, table)
     assert len(found.inputFiles()) == 20 and found.count() == 20_000
+
+
+def test_scratch_names_may_be_column_names(spark, rows):
+    names = "_matches int, _piece int, _copy int, _rows int"
+    old, new = [(1, 1, 1, 1), (1, 1, 2, 2), (2, 2, 2, 2)], [(1, 7, 7, 7), (3, 8, 8, 8)]
+    merged = merge_frames(spark.createDataFrame(old, names), spark.createDataFrame(new, names), ["_matches"])
+    assert rows(merged) == [(1, 7, 7, 7), (1, 7, 7, 7), (2, 2, 2, 2), (3, 8, 8, 8)]
+    tops = spark.createDataFrame([(1, 1, 1), (1, 2, 5)], "_key0 int, _top int, _rank int")
+    for method in ("row_number", "dense_rank"):
+        assert rows(deduplicate_latest(tops, "_key0", "_top", method)) == [(1, 2, 5)]
+    placed = spark.createDataFrame([(5, 1, 1), (4, 2, 2)], "_place int, _offset int, _partition int")
+    assert rows(surrogate_key(placed, ["_place"], "key"), "_place", "key") == [(4, 1), (5, 2)]
+
+
+def test_known_dataset_keeps_its_entry(spark, database, tmp_path, rows):
+    path, table = str(tmp_path / "data"), (database, "t")
+
+    def created():
+        found = spark.sql(f"DESCRIBE TABLE EXTENDED {database}.t").collect()
+        return next(row["data_type"] for row in found if row["col_name"] == "Location"), spark.sql(
+            f"SHOW TBLPROPERTIES {database}.t"
+        ).filter("key = 'mark'").count()
+
+    spark.range(2).write.parquet(f"{path}/day=2024-01-01")
+    register_dataset(spark, table, path, ("day",))
+    spark.sql(f"ALTER TABLE {database}.t SET TBLPROPERTIES ('mark' = '1')")
+    before = created()
+    (tmp_path / "data" / "day=2024-01-01").rename(tmp_path / "gone")
+    spark.range(5, 6).selectExpr("id", "'n' AS extra").write.parquet(f"{path}/day=2024-01-02")
+    assert rows(register_dataset(spark, table, path, ("day",)), "id", "extra") == [(5, "n")]
+    assert created() == before and before[1] == 1
+    spark.range(1).selectExpr("'a' AS id", "'n' AS extra").write.mode("overwrite").parquet(f"{path}/day=2024-01-02")
+    assert rows(register_dataset(spark, table, path, ("day",)), "id") == [("a",)]
+    assert created()[1] == 0
+
+
+def test_several_backfills_each_from_its_own_sources(spark, database, tmp_path, rows):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.csv").write_text(f"id,at\n{name},2024-01-01 08:00:00\n")
+    specs = [
+        TableSpec("first", (), ("at",), (str(tmp_path / "a.csv"),)),
+        TableSpec("lost", (), (), (str(tmp_path / "absent.csv"),)),
+        TableSpec("second", (), (), (str(tmp_path / "b.csv"),)),
+    ]
+    with pytest.raises(ExceptionGroup, match="1 tables failed"):
+        load_backfills(spark, specs, database, date(2024, 2, 1))
+    first, second = (read_table(spark, (database, name)) for name in ("first", "second"))
+    assert first.schema["at"].dataType.typeName() == "timestamp" and second.schema["at"].dataType.typeName() == "string"
+    assert rows(first, "id") == [("a",)] and rows(second, "id") == [("b",)]
+
+
+def test_backfill_of_single_lines_splits_a_file(spark, database, tmp_path):
+    path = str(tmp_path / "one.csv")
+    (tmp_path / "one.csv").write_text("id,v\n" + "".join(f"{i},{'x' * 20}\n" for i in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        split = backfill_orders(spark, [path], date(2024, 2, 1), [], multi_line=False)
+        whole = backfill_orders(spark, [path], date(2024, 2, 1), [])
+        tasks = [frame._jdf.queryExecution().toRdd().getNumPartitions() for frame in (split, whole)]
+        assert tasks[0] > 4 and tasks[1] == 1
+        assert load_backfill(split, (database, "t")) and read_table(spark, (database, "t")).count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_incomplete_landing(spark):
+    doc = '{"_embedded":{"customers":[{"id":1}]},"page":{"number":1,"size":1,"totalElements":%d,"totalPages":%d}}'
+    report = lambda *totals: page_completeness(spark.createDataFrame([(doc % totals,)], "doc string")).first()
+    require_complete(report(1, 1))
+    for totals in ((2, 2), (2, 1), (0, 0)):
+        with pytest.raises(IncompleteLanding):
+            require_complete(report(*totals))
+
+
+def test_merge_reads_each_side_few_times(spark, tmp_path):
+    for name in ("t", "s"):
+        spark.range(1000).selectExpr("id AS k", "id AS v").write.parquet(str(tmp_path / name))
+    target, batch = (spark.read.parquet(str(tmp_path / name)) for name in ("t", "s"))
+    plan = merge_frames(target, batch, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    # The target in full and for its keys; the batch for its keys, its rows and the rows without a key.
+    assert plan.count("Relation") == 5

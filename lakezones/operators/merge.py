@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,6 +90,30 @@ def _once_per_match(placed: DataFrame, keys: list[str], count: str) -> DataFrame
     return spread.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), left)))
 
 
+def not_older(
+    batch: DataFrame, target: DataFrame, keys: list[str], order: list[str], broadcast_keys: bool = False
+) -> DataFrame:
+    """The rows of ``batch`` (one per key) that no row of ``target`` with their key comes after.
+
+    A null in ``order`` comes before every value. With ``broadcast_keys``, for which
+    ``keys_fit_broadcast`` must hold, only target rows with a key of the batch are shuffled.
+    """
+    types = {field.name.lower(): field.dataType for field in target.schema}
+
+    def place(prefix: str) -> Column:
+        columns = [F.col(f"{prefix}.{quoted(name)}").cast(types[name.lower()]) for name in order]
+        return F.struct(*[part for column in columns for part in (column.isNotNull(), column)])
+
+    def typed(name: str) -> Column:
+        return F.col(quoted(name)).cast(types[name.lower()]).alias(name)
+
+    if broadcast_keys:
+        target = target.join(F.broadcast(batch.select(*map(typed, keys))), keys, "left_semi")
+    same = [F.col(f"b.{quoted(key)}").cast(types[key.lower()]) == F.col(f"t.{quoted(key)}") for key in keys]
+    later = place("t") > place("b")
+    return batch.alias("b").join(target.alias("t"), [*same, later], "left_anti")
+
+
 def check_cardinality(target: DataFrame, source: DataFrame, keys: Iterable[str]) -> None:
     """Raise when a key occurs twice in the batch and exists in the target.
 

@@ -16,6 +16,7 @@ from lakezones.operators.dedup import deduplicate_latest
 from lakezones.operators.filters import any_null, epoch_floor, reject_null_keys
 from lakezones.operators.keys import next_key, surrogate_key
 from lakezones.operators.measures import watermark_text
+from lakezones.operators.merge import keys_fit_broadcast, not_older
 from lakezones.session import stage
 from lakezones.sinks.tables import Name, merge_or_create
 from lakezones.sources.pages import flatten_pages
@@ -78,9 +79,12 @@ def load_raw_customers(
 ) -> RawLoad:
     """Merge the records changed since the watermark, or all if ``full``, into ``table``; then advance it.
 
-    The records are staged twice: as extracted, for the counts and the watermark over all of
-    them, and once per customer, for numbering and merging, which mostly read the ids alone. If the load fails before its last step, the old
-    watermark makes the next run read the same records again.
+    A record replaces the one of the table unless that has a later time of change: records without
+    a readable time are part of every load, and come before all others.
+
+    The records are staged as extracted, for the counts and the watermark over all of them, and
+    once per customer, for numbering and merging, which mostly read the ids alone. If the load
+    fails before its last step, the old watermark makes the next run read the same records again.
     """
     spark = pages.sparkSession
     records = stage(raw_records(pages, run_time, None if full else state.read(load)), "raw-records")
@@ -97,9 +101,13 @@ def load_raw_customers(
     if report.without_time:
         log.warning("%d rows have no readable time of change", report.without_time)
     if report.rows > report.null_keys:
-        latest = stage(latest_records(records), "raw-latest")
-        keyed = project(with_customer_keys(latest, read_table(spark, table)), REFINED_INPUT_COLUMNS)
-        # Written, as the merge reads it several times and it joins the target.
-        merge_or_create(stage(keyed, "raw-keyed"), table, [KEY], provider, staged=True)
+        latest, target = stage(latest_records(records), "raw-latest"), read_table(spark, table)
+        if target is not None:
+            newest = not_older(latest, target, [KEY], ["updated"], keys_fit_broadcast(latest, [KEY]))
+            latest = stage(newest, "raw-newest")
+        if not latest.isEmpty():
+            keyed = project(with_customer_keys(latest, target), REFINED_INPUT_COLUMNS)
+            # Written, as the merge reads it several times and it joins the target.
+            merge_or_create(stage(keyed, "raw-keyed"), table, [KEY], provider, staged=True)
     state.advance(load, report.watermark)
     return report

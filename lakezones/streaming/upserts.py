@@ -4,29 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from lakezones.operators.dedup import deduplicate_latest
 from lakezones.operators.filters import reject_null_keys
+from lakezones.operators.merge import keys_fit_broadcast, not_older
 from lakezones.session import stage
 from lakezones.sinks.tables import Name, merge_or_create
 from lakezones.sources.tables import read_table
-from lakezones.specs import quoted
-
-
-def not_older(batch: DataFrame, target: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The rows of ``batch`` (one per key) that no row of ``target`` with their key comes after."""
-    types = {field.name.lower(): field.dataType for field in target.schema}
-
-    def place(prefix: str) -> Column:
-        columns = [F.col(f"{prefix}.{quoted(name)}").cast(types[name.lower()]) for name in order]
-        return F.struct(*[part for column in columns for part in (column.isNotNull(), column)])
-
-    same = [F.col(f"b.{quoted(key)}").cast(types[key.lower()]) == F.col(f"t.{quoted(key)}") for key in keys]
-    later = place("t") > place("b")
-    return batch.alias("b").join(target.alias("t"), [*same, later], "left_anti")
 
 
 def upsert_new_files(
@@ -58,7 +44,7 @@ def upsert_new_files(
         latest = stage(deduplicate_latest(records, keys, order, ties=ties), "stream-batch")
         target = read_table(spark, table)
         if target is not None:
-            latest = stage(not_older(latest, target, keys, [order, *ties]), "stream-batch")
+            latest = stage(not_older(latest, target, keys, [order, *ties], keys_fit_broadcast(latest, keys)), "stream-batch")
         if not latest.isEmpty():
             merge_or_create(latest, table, keys, provider, staged=True)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakezones.operators.dedup import deduplicate_latest
 from lakezones.operators.filters import is_empty, since
 from lakezones.operators.measures import max_watermark
-from lakezones.plans.backfill import backfill_orders, load_backfill
+from lakezones.plans.backfill import backfill_orders, load_backfill, load_backfills
 from lakezones.plans.curated import load_curated
 from lakezones.plans.raw_customers import latest_records, load_raw_customers, raw_records
 from lakezones.plans.refined_customers import load_refined_customers
@@ -59,6 +59,31 @@ def raw_customers(t: Tables) -> DataFrame:
     return ntz(t.spark.table(".".join(table)), "created", "updated_on")
 
 
+# Changes of the lowest priority come without a time of change.
+TIMELESS = f"""
+SELECT o_orderkey, o_custkey, o_orderdate, customer_id, created,
+  CASE WHEN o_orderpriority <> '5-LOW' THEN updated END AS updated,
+  CASE WHEN o_orderpriority <> '5-LOW' THEN content ELSE replace(content, '"updatedAt"', '"changedAt"') END AS content
+FROM ({CHANGES}) AS changes
+"""
+
+
+@query(f"""
+SELECT row_number() OVER (ORDER BY created, customer_id) AS customer_key, customer_id, CAST(created AS timestamp) AS created,
+  updated, content, TIMESTAMP '2024-02-01 06:30:00' AS updated_on
+FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY updated DESC NULLS LAST, content DESC) AS r
+  FROM ({TIMELESS}) WHERE customer_id IS NOT NULL AND created >= DATE '1970-01-01') WHERE r = 1
+""")
+def raw_customers_full(t: Tables) -> DataFrame:
+    table, state = (t.database(), "customers"), WatermarkStore(t.spark, t.path("state"))
+    changes = t.sql(TIMELESS, "orders", "customer")
+    pages = read_pages(t.spark, landed(t, pages_of(changes, "o_orderkey", "content", t.orders)))
+    # A load since the watermark holds the records without a time, which replace no later ones.
+    for full in (False, False, True):
+        load_raw_customers(pages, table, state, RUN_TIME, full=full)
+    return ntz(t.spark.table(".".join(table)), "created", "updated_on")
+
+
 @query(f"SELECT * FROM ({REFINED})")
 def refined_table(t: Tables) -> DataFrame:
     zone = t.database()
@@ -120,6 +145,30 @@ def backfill_raw(t: Tables) -> DataFrame:
     return ntz(t.spark.table(".".join(table)), "order_date", "arrival_date")
 
 
+# Two tables, each from the extracts of its own centers and with its own time columns.
+@query("""
+SELECT 'orders' AS name, CAST(o_orderkey AS varchar) AS id, CAST(o_orderdate AS timestamp) AS day, '2024-02-01' AS "DT_PARTITION" FROM orders
+UNION ALL SELECT 'lines', CAST(l_orderkey AS varchar), CAST(l_shipdate AS timestamp), '2024-02-01' FROM lineitem
+""")
+def backfill_tables(t: Tables) -> DataFrame:
+    zone, specs = t.database(), []
+    for name, column, source in (("orders", "o", t.orders), ("lines", "l", t.lineitem)):
+        key, day = f"{column}_orderkey", "o_orderdate" if column == "o" else "l_shipdate"
+        extract = source.select(F.col(key).alias("id"), F.date_format(day, "yyyy-MM-dd HH:mm:ss").alias("day"))
+        early = F.col("day") < "1999"
+        paths = []
+        for part in (extract.filter(early), extract.filter(~early)):
+            paths.append(t.path("center"))
+            part.write.csv(paths[-1], header=True)
+        specs.append(TableSpec(name, timestamp_columns=("day",), sources=tuple(paths)))
+    load_backfills(t.spark, specs, zone, date(2024, 2, 1), multi_line=False)
+    orders, lines = (
+        read_table(t.spark, (zone, spec.name)).select(F.lit(spec.name).alias("name"), "id", "day", "DT_PARTITION")
+        for spec in specs
+    )
+    return ntz(orders.unionByName(lines), "day")
+
+
 @query(f"""
 SELECT customer_id, CAST(created AS timestamp) AS created, updated, content AS "Content",
   TIMESTAMP '2024-02-01 06:30:00' AS "Updated_On" FROM ({LATEST_CHANGES})

@@ -11,6 +11,7 @@ from lakezones.operators.columns import ingest_stamp, partition_stamp
 from lakezones.operators.keys import surrogate_key
 from lakezones.sinks.export import parquet_export
 from lakezones.sinks.tables import append_partitions, create_table, merge_or_create, overwrite_or_create
+from lakezones.sources.tables import read_table
 from registered.keyed import MERGED_ORDERS, order_loads
 from registered.registry import Tables, ntz, query
 from registered.scalars import RUN_TIME
@@ -41,6 +42,26 @@ def overwrite_table(t: Tables) -> DataFrame:
     return t.spark.table(".".join(table))
 
 
+# The session replaces only partitions with rows, as many do; a full overwrite takes the others as well.
+@query("""
+SELECT o_orderkey, o_totalprice * 2 AS o_totalprice, CAST(year(o_orderdate) AS int) AS order_year
+FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01'
+""")
+def overwrite_partitioned(t: Tables) -> DataFrame:
+    table, setting = (t.database(), "orders"), "spark.sql.sources.partitionOverwriteMode"
+    yearly = t.orders.withColumn("order_year", F.year("o_orderdate"))
+    first = yearly.select("o_orderkey", "o_totalprice", "order_year")
+    create_table(first, table, partition_column="order_year")
+    before = t.spark.conf.get(setting)
+    t.spark.conf.set(setting, "dynamic")
+    try:
+        later = first.filter(F.col("order_year") >= 1999)
+        overwrite_or_create(later.withColumn("o_totalprice", F.col("o_totalprice") * 2), table)
+    finally:
+        t.spark.conf.set(setting, before)
+    return read_table(t.spark, table)
+
+
 @query("""
 SELECT o_orderkey, o_totalprice, CAST(NULL AS varchar) AS priority, '2024-02-01' AS "DT_PARTITION" FROM orders
 UNION ALL

@@ -12,12 +12,13 @@ from lakezones.operators.filters import latest_day, since
 from lakezones.operators.keys import surrogate_key
 from lakezones.operators.merge import MergeCardinalityError, merge_frames
 from lakezones.plans.backfill import backfill_orders, load_backfill, load_backfills
-from lakezones.plans.raw_customers import raw_records
+from lakezones.plans.raw_customers import load_raw_customers, raw_records
 from lakezones.sinks.tables import create_table, merge_or_create, overwrite_or_create
 from lakezones.sources.pages import IncompleteLanding, page_completeness, require_complete
 from lakezones.sources.tables import read_table, register_dataset
 from lakezones.specs import TableSpec
 from lakezones.streaming.upserts import upsert_new_files
+from lakezones.streaming.watermark import WatermarkStore
 
 
 @pytest.mark.parametrize("max_files", [None, 1])
@@ -182,3 +183,16 @@ def test_merge_reads_each_side_few_times(spark, tmp_path):
     plan = merge_frames(target, batch, ["k"])._jdf.queryExecution().optimizedPlan().toString()
     # The target in full and for its keys; the batch for its keys, its rows and the rows without a key.
     assert plan.count("Relation") == 5
+
+
+def test_a_record_without_time_replaces_no_later_one(spark, database, tmp_path, rows):
+    customer = '{"id":%d,"createdAt":"2024-01-01T00:00:00Z"%s}'
+    timed = customer % (1, ',"updatedAt":"2024-01-02T00:00:00Z"')
+    records = [timed, customer % (1, ""), customer % (2, ',"updatedAt":"2024-01-09T00:00:00Z"')]
+    doc = '{"_embedded":{"customers":[%s]}}' % ",".join(records)
+    pages, state = spark.createDataFrame([(doc,)], "doc string"), WatermarkStore(spark, str(tmp_path / "state"))
+    for _ in range(2):
+        load_raw_customers(pages, (database, "t"), state, datetime(2024, 2, 1))
+        assert rows(read_table(spark, (database, "t")), "customer_key", "customer_id", "updated") == [
+            (1, 1, "2024-01-02T00:00:00Z"), (2, 2, "2024-01-09T00:00:00Z"),
+        ]

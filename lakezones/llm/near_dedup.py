@@ -130,37 +130,37 @@ def set_digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-SKETCHES = "doc_id bigint, digest binary, n_shingles bigint, signature binary"
+SKETCHES = "doc_id bigint, text_hash bigint, digest binary, n_shingles bigint, signature binary"
 
 
 @dataclass(frozen=True)
 class Sketch:
-    """doc_id, the digest and size of the shingle set, and its signature (null if it is empty)."""
+    """doc_id, text_hash, the digest and size of the shingle set, and its signature (null if it is empty)."""
 
     width: int
 
     def __call__(self, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc_ids, texts, at = batch.column("doc_id"), batch.column("text").to_pylist(), 0
+            named, texts, at = batch.select(["doc_id", "text_hash"]), batch.column("text").to_pylist(), 0
             sets: list[np.ndarray] = []
             size = 0
             for number, text in enumerate(texts, 1):
                 sets.append(shingle_set(text, self.width))
                 size += len(sets[-1])
                 if size >= WORDS_AT_ONCE or number == len(texts):
-                    yield self._rows(doc_ids.slice(at, len(sets)), sets)
+                    yield self._rows(named.slice(at, len(sets)), sets)
                     at, sets, size = number, [], 0
 
-    def _rows(self, doc_ids: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
+    def _rows(self, named: pa.RecordBatch, sets: list[np.ndarray]) -> pa.RecordBatch:
         filled = [s for s in sets if len(s)]
         rows = iter(signatures(filled)) if filled else iter(())
         columns = [
-            doc_ids,
+            *named.columns,
             pa.array([set_digest(s) for s in sets], pa.binary()),
             pa.array([len(s) for s in sets], pa.int64()),
             pa.array([next(rows).tobytes() if len(s) else None for s in sets], pa.binary()),
         ]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "n_shingles", "signature"])
+        return pa.RecordBatch.from_arrays(columns, [*named.schema.names, "digest", "n_shingles", "signature"])
 
 
 @dataclass(frozen=True)
@@ -185,18 +185,25 @@ def _signature_matrix(packed: Iterable[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(packed), np.uint64).reshape(-1, COORDINATES)
 
 
+def named_texts(docs: DataFrame) -> DataFrame:
+    """doc_id, text and a hash of the text, which tells rows apart that share an id or have none."""
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.withColumn("text_hash", F.xxhash64("text"))
+
+
 def classes(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     """Every row with the digest of its set, and one node for each distinct set. Both staged."""
-    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    rows = stage(texts.mapInArrow(Sketch(width), SKETCHES), "sketches")
+    rows = stage(named_texts(docs).mapInArrow(Sketch(width), SKETCHES), "sketches")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("without_id"), "doc_id", "text_hash"))
     nodes = (
         rows.filter("n_shingles > 0")
         .groupBy("digest")
         .agg(
-            F.min("doc_id").alias("doc_id"),
+            least.alias("least"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("signature").alias("signature"),
         )
+        .select("digest", "least.doc_id", "least.text_hash", "n_shingles", "signature")
         .withColumn("node", F.monotonically_increasing_id())
     )
     return rows, stage(nodes, "dedup-nodes")
@@ -281,12 +288,13 @@ def confirmed(blocks: DataFrame, docs: DataFrame, nodes: DataFrame, width: int,
 
     ``blocks``: block, node, part (0 and 1 meet, 2 meets all), component; staged.
     """
-    wanted = blocks.join(nodes.select("node", "digest", F.col("doc_id").alias("of")), "node")
+    named_nodes = nodes.select("node", "digest", F.col("doc_id").alias("of"), F.col("text_hash").alias("of_hash"))
+    wanted = blocks.join(named_nodes, "node")
     small = blocks.count() <= BROADCAST_NODES
     if not small:
-        wanted = wanted.repartition("of")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    named = texts.join(F.broadcast(wanted) if small else wanted, F.col("doc_id").eqNullSafe(F.col("of")))
+        wanted = wanted.repartition("of_hash")
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash"))
+    named = named_texts(docs).join(F.broadcast(wanted) if small else wanted, same)
     sets = named.select("block", "node", "part", "component", "digest", "text").mapInArrow(MakeSets(width), MEMBERS)
     confirm = Confirm(similarity)
     return sets.groupBy("block").applyInPandas(lambda block: confirm(block), "a bigint, b bigint")
@@ -310,7 +318,7 @@ class MakeSets:
                 if last[0] != text:
                     shingles = shingle_set(text, self.width)
                     last = (text, set_digest(shingles), shingles.tobytes())
-                # Another text under the same id is not the node's.
+                # Another text with the same id and hash is not the node's.
                 if last[1] == digest:
                     rows.append(row)
                     sets.append(last[2])

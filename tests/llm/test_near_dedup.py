@@ -80,6 +80,27 @@ def test_edge_rows(spark, docs, prose):
     assert near_dedup.near_duplicates(empty).collect() == [] and near_dedup.distinct_documents(empty).count() == 0
 
 
+def test_rows_that_share_an_id_or_have_none_are_told_apart_by_their_texts(docs, prose):
+    base = prose("shared", 120)
+    rows = [(9, edited(base, 0.01, i)) for i in range(30)] + [(None, edited(base, 0.01, 100 + i)) for i in range(30)]
+    rows += [(1, base), (9, prose("apart"))]
+    frame = docs(rows)
+    sketches, nodes = near_dedup.classes(frame, 5)
+    # Each node is one text, found again in one row.
+    texts = near_dedup.named_texts(frame).join(
+        nodes.select(nodes["doc_id"].alias("of"), "text_hash", "node"), "text_hash"
+    )
+    assert texts.filter("doc_id <=> of").count() == nodes.count() == sketches.select("digest").distinct().count()
+    found = near_dedup.near_duplicates(frame, 5, 80).collect()
+    # The same texts under ids of their own, and the least given id of each group.
+    members = groups([(place, text) for place, (_, text) in enumerate(rows)], 5, 80)
+    heads = {}
+    for place, group in members.items():
+        heads[group] = min(heads.get(group, 99), rows[place][0] or 99)
+    expected = [(rows[place][0], heads[group] if heads[group] < 99 else None) for place, group in members.items()]
+    assert sorted(map(str, ((r["doc_id"], r["component_id"]) for r in found))) == sorted(map(str, expected))
+
+
 def test_other_columns_do_not_clash(docs, prose):
     named = docs([(1, prose(1)), (2, prose(1))]).selectExpr("*", "1 AS node", "2 AS digest", "3 AS gone", "4 AS component")
     assert near_dedup.near_duplicates(named).count() == 2

@@ -22,7 +22,7 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that pass the quality rules."""
+    """The documents that pass the quality rules, without the lines that fail them."""
     prepared(spark)
     return quality_rules.passing_documents(docs)
 

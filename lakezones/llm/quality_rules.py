@@ -8,7 +8,7 @@ part of running text). A text that loses too large a part of its words with them
 
 Defined results: a null or empty text has no words, fails the base rules and is rejected; lines
 without a word are neither counted nor judged; rows are judged one by one, so that repeated rows
-agree and an empty table stays empty; other columns of the input are not touched. No limit on
+agree and an empty table stays empty; of other columns only n_chars is set anew. No limit on
 the length of a text; all work on a text is linear in it but for one sort of its windows.
 """
 
@@ -173,10 +173,28 @@ def apply_quality_rules(docs: DataFrame) -> DataFrame:
 
 def cleaned_text(text: Column) -> Column:
     """The text without the lines that fail; empty lines stay."""
-    lines = F.split(whole(text), "\n", -1)
-    return F.array_join(F.filter(lines, lambda line: ~(line.rlike(WORD) & failed_line(line))), "\n")
+
+    def cleaned(phrases: Column) -> Column:
+        lines = F.split(whole(text), "\n", -1)
+        return F.array_join(F.filter(lines, lambda line: ~(line.rlike(WORD) & failed_line(line, phrases))), "\n")
+
+    return _let(has_phrase(text), cleaned)
+
+
+def passing_text(text: Column) -> Column:
+    """The cleaned text, null where the text is rejected. One expression, as ``counts_of``."""
+
+    def passing(counts: Column) -> Column:
+        whole_text = F.when(counts["n_lost_words"] == 0, whole(text)).otherwise(cleaned_text(text))
+        return F.when(passes(counts), whole_text)
+
+    return _let(counts_of(text), passing)
 
 
 def passing_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass all rules, unchanged."""
-    return docs.filter(_let(counts_of(docs["text"]), passes))
+    """The rows of ``docs`` that pass all rules, with the cleaned text, and its length as ``n_chars`` if they have that."""
+    # A generator, as the text would be judged twice if a filter were moved below its projection.
+    passing = F.explode(F.filter(F.array(passing_text(F.col("row.text"))), lambda text: text.isNotNull()))
+    rows = docs.select(F.struct(*[docs[name] for name in docs.columns]).alias("row")).select("row", passing.alias("cleaned"))
+    changed = {"text": F.col("cleaned"), "n_chars": F.length("cleaned").cast("bigint")}
+    return rows.select(*[changed.get(name, F.col("row")[name]).alias(name) for name in docs.columns])

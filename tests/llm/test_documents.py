@@ -145,6 +145,22 @@ def test_cleaned_text_and_repeated_rows(docs, prose):
     assert len(set(map(str, (row[1:] for row in quality_rules.apply_quality_rules(frame).collect())))) == 1
 
 
+def test_kept_documents_lose_their_failed_lines(spark, docs, prose, by_id):
+    good, end = "\n".join(prose(i, 40) for i in range(5)), prose(9, 40)
+    rows = [(1, MENU + good + "\n\nAll rights reserved.\n" + end), (2, good), (3, MENU * 3 + prose(1, 10))]
+    named = docs(rows).selectExpr("*", "1 AS row", "2 AS cleaned")
+    found = by_id(quality_rules.passing_documents(named))
+    assert {i: row["text"] for i, row in found.items()} == {1: good + "\n\n" + end, 2: good}
+    assert all(row["n_chars"] == len(row["text"]) and (row["row"], row["cleaned"]) == (1, 2) for row in found.values())
+    texts = by_id(corpus_pipeline.clean(spark, docs(rows), ""))
+    assert {i: row["text"] for i, row in texts.items()} == {i: row["text"] for i, row in found.items()}
+
+
+def test_texts_are_judged_once(docs):
+    plan = quality_rules.passing_documents(docs([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate explode(") == 1 and "Filter" not in plan
+
+
 def test_rules_run_no_python(docs):
     plan = quality_rules.passing_documents(docs([(1, "a")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan.split("Repartition")[0]

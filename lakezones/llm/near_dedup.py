@@ -26,7 +26,7 @@ Defined results: a text without words has an empty set and is linked to nothing;
 fewer words than a shingle has one shingle, the whole sequence; null texts count as empty; rows
 with a null id belong to groups, but never stand for one (their group's id is null if it has no
 other); rows that repeat an id share a group with equal texts only, and are kept or not like any
-other; an empty table gives an empty result; other columns are not read.
+other (``one_of_each_group`` keeps a single row of each group instead); an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -475,23 +475,61 @@ def components_of(docs: DataFrame, nodes: DataFrame, width: int, similarity: int
     return groups if more.isEmpty() else stage(connected_components(links.unionByName(more)), "groups")
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY) -> DataFrame:
-    """doc_id, n_shingles, component_id (least id of the group) and kept of every document."""
+def judged(docs: DataFrame, width: int, similarity: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id and kept of every document, and whether its text stands for the group.
+
+    Of a group, ``stands`` is true for the rows of its least id (none comes last) and text hash.
+    """
     rows, nodes = classes(docs, width)
     groups = components_of(docs, nodes, width, similarity)
     grouped = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    heads = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = grouped.join(heads, "component").select(F.col("digest").alias("of"), "component_id")
-    joined = rows.select("doc_id", "digest", "n_shingles").join(named, F.col("digest") == F.col("of"), "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("without_id"), "doc_id", "text_hash")).alias("least")
+    heads = grouped.groupBy("component").agg(least)
+    named = grouped.join(heads, "component").select(F.col("digest").alias("of"), "least")
+    joined = rows.select("doc_id", "text_hash", "digest", "n_shingles").join(named, F.col("digest") == F.col("of"), "left")
+    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least.doc_id"))
+    kept = F.col("doc_id").eqNullSafe(component)
+    stands = (F.col("n_shingles") == 0) | (kept & (F.col("text_hash") == F.col("least.text_hash")))
     return joined.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        "doc_id", "text_hash", "n_shingles", component.alias("component_id"), kept.alias("kept"), stands.alias("stands")
     )
 
 
+def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY) -> DataFrame:
+    """doc_id, n_shingles, component_id (least id of the group) and kept of every document."""
+    return judged(docs, width, similarity).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def rows_named(docs: DataFrame, keys: DataFrame, kind: str) -> DataFrame:
+    """The rows of ``docs`` whose id and text are among ``keys`` (doc_id, text_hash; staged), or are not: a semi or anti join."""
+    keys = keys.select(F.col("doc_id").alias("of"), F.col("text_hash").alias("of_hash"))
+    same_id = docs["doc_id"].cast("bigint").eqNullSafe(keys["of"])
+    same_text = F.xxhash64(docs["text"].cast("string")) == keys["of_hash"]
+    small = keys.count() <= BROADCAST_NODES
+    return docs.join(F.broadcast(keys) if small else keys, same_id & same_text, kind)
+
+
 def distinct_documents(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` that stand for their group, unchanged; rows without an id stay."""
-    found = near_duplicates(docs, width, similarity)
-    gone = stage(found.filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("gone")), "duplicates")
-    small = gone.count() <= BROADCAST_NODES
-    return docs.join(F.broadcast(gone) if small else gone, docs["doc_id"] == gone["gone"], "left_anti")
+    """The rows of ``docs`` that have the least id of their group, unchanged; rows without an id stay."""
+    found = judged(docs, width, similarity).filter("NOT kept AND doc_id IS NOT NULL")
+    return rows_named(docs, stage(found.select("doc_id", "text_hash").distinct(), "duplicates"), "left_anti")
+
+
+def one_of_each_group(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY) -> DataFrame:
+    """One row of ``docs`` for each group, unchanged, also of rows that share an id or have none.
+
+    It is the one of the least id (none comes last) and text hash; of rows that repeat both, one
+    of the least hash over all columns. Rows without words are linked to nothing, and all stay.
+    """
+    found = judged(docs, width, similarity).filter("n_shingles > 0")
+    keys = found.groupBy("doc_id", "text_hash").agg(F.bool_and("stands").alias("stands"), F.count("*").alias("rows"))
+    listed = stage(keys.filter("NOT stands OR rows > 1"), "duplicates")
+    single = rows_named(docs, listed, "left_anti")
+    repeated = listed.filter("stands")
+    if repeated.isEmpty():
+        return single
+    # Each task first cuts the rows of a key to one, so that a key of many rows is no group in one task.
+    rows = rows_named(docs, repeated, "left_semi").select(F.struct("*").alias("row"))
+    key = [F.col("row.doc_id").alias("id"), F.xxhash64(F.col("row.text").cast("string")).alias("hash")]
+    firsts = rows.groupBy(*key).agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return single.unionByName(firsts.select("row.*"))

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from lakezones.llm import near_dedup
 from lakezones.llm.components import connected_components
 
@@ -101,6 +102,38 @@ def test_rows_that_share_an_id_or_have_none_are_told_apart_by_their_texts(docs,
     assert sorted(map(str, ((r["doc_id"], r["component_id"]) for r in found))) == sorted(map(str, expected))
 
 
+def test_no_text_goes_with_another_one_of_its_id(docs, prose):
+    a, b = prose("a"), prose("b")
+    rows = [(5, a), (5, b), (3, b)]
+    for reduced in (near_dedup.distinct_documents, near_dedup.one_of_each_group):
+        assert sorted((r["doc_id"], r["text"]) for r in reduced(docs(rows)).collect()) == sorted([(5, a), (3, b)])
+
+
+@pytest.mark.parametrize("broadcast", [0, 1000])
+def test_one_row_of_each_group(docs, prose, monkeypatch, broadcast):
+    monkeypatch.setattr(near_dedup, "BROADCAST_NODES", broadcast)
+    a, b, c, d = (prose(name) for name in "abcd")
+    rows = [(5, a), (5, b), (3, b), (3, b), (None, b)]
+    rows += [(None, c)] * 20 + [(None, edited(c, 0.005, i)) for i in range(4)]
+    rows += [(8, d), (8, edited(d, 0.005, 1)), (8, d), (9, d), (6, ""), (7, None), (None, "")]
+    named = docs(rows).selectExpr("*", "1 AS row", "2 AS of", "3 AS id", "4 AS hash", "5 AS stands", "6 AS rows")
+    kept = near_dedup.one_of_each_group(named)
+    assert kept.columns == named.columns and dict(kept.dtypes) == dict(named.dtypes)
+    found = kept.collect()
+    assert sorted(str(r["doc_id"]) for r in found) == sorted(map(str, [5, 3, None, 8, 6, 7, None]))
+    texts = {r["doc_id"]: r["text"] for r in found if r["doc_id"]}
+    assert (texts[5], texts[3], texts[6], texts[7]) == (a, b, "", None)
+    again = near_dedup.one_of_each_group(named.repartition(7)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, found))
+    assert near_dedup.one_of_each_group(named.filter("false")).count() == 0
+
+
+def test_the_pipeline_keeps_one_row_of_each_group(spark, docs, prose):
+    rows = [(5, prose("a")), (5, prose("b")), (3, prose("b"))] + [(None, prose("c"))] * 5
+    found = corpus_pipeline.deduplicate(spark, docs(rows), "").collect()
+    assert sorted(str(r["doc_id"]) for r in found) == ["3", "5", "None"]
+
+
 def test_other_columns_do_not_clash(docs, prose):
     named = docs([(1, prose(1)), (2, prose(1))]).selectExpr("*", "1 AS node", "2 AS digest", "3 AS gone", "4 AS component")
     assert near_dedup.near_duplicates(named).count() == 2

@@ -10,10 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakezones.llm import (
     bpe,
     fingerprints,
+    hard_negatives,
+    license_scans,
+    manifest,
     mixing,
     near_dedup,
     quality_classifier,
@@ -226,3 +230,114 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' EL
 """)
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages"))
+
+
+@query(f"""
+WITH used AS (SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS bigint) AS label,
+  list_transform(embedding, lambda x: floor({hard_negatives.SCALE} * CAST(x AS double))) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS bigint) AS score
+  FROM used a JOIN used b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= {hard_negatives.POSITIVES})
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS int) AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND {hard_negatives.LOW} * positive_score <= 100 * score AND 100 * score <= {hard_negatives.HIGH} * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+QUALIFY row_number() OVER best <= {hard_negatives.NEGATIVES}
+""")
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    items = table(spark, folder, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(items.withColumn("label", shifted), F.col("vec_id") % 100 == 0)
+
+
+def _license_sql() -> str:
+    """Every text block against every template, by counting the words that they share."""
+    between, width = license_scans.BETWEEN, license_scans.block_width(license_scans.TEMPLATES)
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = f"list_filter(string_split_regex({{0}}, '{between}+'), lambda w: w <> '')"
+    phrases = "|".join(license_scans.PHRASES)
+    templates = ", ".join(
+        f"('{label}', {sorted(set(license_scans.template_words(text)))})" for label, text in license_scans.TEMPLATES
+    )
+    joined = "' ' || array_to_string(w, '  ') || ' '"
+    place = "len(string_split({0}, '  ')) - 1"
+    step = width // 2
+    return f"""
+WITH texts AS (SELECT doc_id, row_number() OVER () AS r, {lower} AS t FROM documents),
+listed AS (SELECT *, {words.format("t")} AS w FROM texts),
+spaced AS (SELECT *, {joined} AS s FROM listed),
+based AS (SELECT r, doc_id, CAST(len(w) AS bigint) AS n_words, list_filter(range(1, len(w) + 1), lambda i:
+    {" OR ".join("(" + " AND ".join(f"w[i + {k}] = '{word}'" for k, word in enumerate(phrase.split())) + ")" for phrase in license_scans.PHRASES)}) AS places,
+  list_filter([{", ".join(f"CASE WHEN contains(s, ' {phrase.replace(' ', '  ')} ') THEN '{label}' END" for phrase, label in license_scans.PHRASES.items())}],
+    lambda l: l IS NOT NULL) AS base FROM spaced),
+paragraphs AS (SELECT r, unnest(string_split_regex(t, '{license_scans.PARAGRAPH_END}')) AS p FROM texts),
+long AS (SELECT r, {words.format("p")} AS w FROM paragraphs),
+blocks AS (SELECT r, list_distinct(w[i * {step} + 1 : i * {step} + {width}]) AS b
+  FROM (SELECT r, w, unnest(range(CAST(greatest(1, ceil((len(w) - {width}) / {step}) + 1) AS bigint))) AS i FROM long)),
+templates(label, words) AS (VALUES {templates}),
+held AS (SELECT r, label, len(list_intersect(b, words)) AS shared, len(words) AS size FROM blocks, templates),
+found AS (SELECT r, list(DISTINCT label) AS method, max(shared / size) AS share FROM held
+  WHERE shared * 100 >= size * {license_scans.CONTAINMENT} GROUP BY r),
+labelled AS (SELECT *, list_sort(list_distinct(base)) AS b, list_sort(coalesce(method, [])) AS m FROM based LEFT JOIN found USING (r))
+SELECT doc_id, n_words, CAST(len(places) AS bigint) AS n_base, CAST(list_min(places) - 1 AS bigint) AS first_word,
+  CAST(list_max(places) - 1 AS bigint) AS last_word, array_to_string(b, ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(b, m))), ',') AS labels,
+  CAST(CASE WHEN len(places) > 0 THEN 1 ELSE coalesce(share, 0) END AS double) AS score, array_to_string(m, ',') AS method_labels
+FROM labelled"""
+
+
+@query(_license_sql())
+def op12_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scans.scan_licenses(table(spark, folder, "documents"))
+
+
+_FIELD_SQL = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS varchar)) || ':' || {0} END"
+_LEAF_SQL = "sha256(" + " || ".join(_FIELD_SQL.format(name) for name in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+_CRC_SQL = (
+    "xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(doc_id AS varchar), ''),"
+    " lambda c: [ord(c), -1, -1, -1, -1, -1, -1, -1, -1]))),"
+    " lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a // 2, (a % 2) * 3988292384) END), 4294967295)"
+)
+
+
+@query(f"""
+WITH RECURSIVE
+hashed AS (SELECT lang, doc_id, {_LEAF_SQL.replace("{text}", "text")} AS leaf,
+  CASE WHEN {_CRC_SQL} % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS found,
+  source, n_chars FROM documents),
+leaves AS (SELECT lang, doc_id, leaf, {_LEAF_SQL.replace("{text}", "found")} AS tampered,
+  row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY lang) AS n FROM hashed),
+inner_nodes AS (SELECT lang, 0 AS level, place, leaf AS node, n FROM leaves
+  UNION ALL SELECT lang, level + 1, place // 8, sha256(string_agg(node, '' ORDER BY place)), (n + 7) // 8 FROM inner_nodes
+    WHERE n > 1 GROUP BY lang, level, place // 8, n),
+subroots AS (SELECT lang, node AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM inner_nodes WHERE n = 1),
+top_nodes AS (SELECT 0 AS level, place, subroot AS node, n FROM subroots
+  UNION ALL SELECT level + 1, place // 8, sha256(string_agg(node, '' ORDER BY place)), (n + 7) // 8 FROM top_nodes
+    WHERE n > 1 GROUP BY level, place // 8, n),
+inner_steps AS (SELECT l.lang, l.place, m.level,
+    coalesce(string_agg(m.node, '' ORDER BY m.place) FILTER (m.place < l.place // CAST(pow(8, m.level) AS bigint)), '') AS before,
+    coalesce(string_agg(m.node, '' ORDER BY m.place) FILTER (m.place > l.place // CAST(pow(8, m.level) AS bigint)), '') AS behind
+  FROM leaves l JOIN inner_nodes m ON l.lang IS NOT DISTINCT FROM m.lang AND m.n > 1
+    AND m.place // 8 = l.place // CAST(pow(8, m.level + 1) AS bigint) GROUP BY ALL),
+top_steps AS (SELECT l.lang, m.level,
+    coalesce(string_agg(m.node, '' ORDER BY m.place) FILTER (m.place < l.place // CAST(pow(8, m.level) AS bigint)), '') AS before,
+    coalesce(string_agg(m.node, '' ORDER BY m.place) FILTER (m.place > l.place // CAST(pow(8, m.level) AS bigint)), '') AS behind
+  FROM subroots l JOIN top_nodes m ON m.n > 1 AND m.place // 8 = l.place // CAST(pow(8, m.level + 1) AS bigint) GROUP BY l.lang, l.place, m.level),
+steps AS (SELECT lang, place, level, before, behind FROM inner_steps
+  UNION ALL SELECT l.lang, l.place, 100 + t.level, t.before, t.behind FROM leaves l JOIN top_steps t ON l.lang IS NOT DISTINCT FROM t.lang),
+paths AS (SELECT lang, place, sha256(string_agg(before || behind, '' ORDER BY level)) AS proof_sha256,
+  list({{'before': before, 'behind': behind}} ORDER BY level) AS path FROM steps GROUP BY lang, place),
+folds AS (SELECT l.lang, l.place, tampered AS node, coalesce(path, []) AS path, 1 AS step FROM leaves l
+    LEFT JOIN paths p ON l.lang IS NOT DISTINCT FROM p.lang AND l.place = p.place
+  UNION ALL SELECT lang, place, sha256(path[step].before || node || path[step].behind), path, step + 1 FROM folds WHERE step <= len(path))
+SELECT l.lang, l.doc_id, l.place AS position, leaf, subroot, t.node AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+  f.node AS folded_root, f.node = t.node AS verified
+FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang JOIN top_nodes t ON t.n = 1
+JOIN folds f ON f.lang IS NOT DISTINCT FROM l.lang AND f.place = l.place AND f.step = len(f.path) + 1
+LEFT JOIN paths p ON l.lang IS NOT DISTINCT FROM p.lang AND l.place = p.place
+""")
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return manifest.manifest(docs, manifest.lower_cased(docs))

@@ -1,0 +1,148 @@
+"""License scans against a plain Python version."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakezones.llm import license_scans as L
+
+COLUMNS = [
+    "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "method_labels",
+]
+
+
+def words_of(text):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+
+
+def plain(text, phrases=L.PHRASES, templates=L.TEMPLATES, containment=L.CONTAINMENT):
+    """All columns but the id, with every block compared to every template."""
+    words = words_of(text)
+    places, base = [], set()
+    for phrase, label in phrases.items():
+        parts = phrase.split()
+        for i in range(len(words)):
+            if words[i : i + len(parts)] == parts:
+                places.append(i)
+                base.add(label)
+    width = 2 * max(len(words_of(t)) for _, t in templates)
+    paragraphs, lines = [], []
+    for line in (text or "").split("\n"):
+        if words_of(line):
+            lines.append(line)
+        else:
+            paragraphs.append("\n".join(lines))
+            lines = []
+    paragraphs.append("\n".join(lines))
+    method, best = set(), 0.0
+    for paragraph in paragraphs:
+        own, at = words_of(paragraph), 0
+        while True:
+            block = set(own[at : at + width])
+            for label, template in templates:
+                wanted = set(words_of(template))
+                if 100 * len(block & wanted) >= containment * len(wanted):
+                    method.add(label)
+                    best = max(best, len(block & wanted) / len(wanted))
+            if at + width >= len(own):
+                break
+            at += width // 2
+    return (
+        len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)),
+        ",".join(sorted(base | method)), 1.0 if places else best, ",".join(sorted(method)),
+    )
+
+
+def scanned(df, **options):
+    result = L.scan_licenses(df, **options)
+    assert result.columns == COLUMNS
+    return sorted(map(tuple, result.collect()), key=str)
+
+
+def damaged(text, share, seed):
+    rnd = random.Random(seed)
+    return " ".join("xx" if rnd.random() < share else word for word in text.split())
+
+
+@pytest.fixture(scope="module")
+def texts(prose):
+    """Notices whole, damaged, wrapped, in comments and deep inside long paragraphs, and none."""
+    made = [None, "", " \n\t ", "MIT License", "cc by cc by-nc", "the gnu general public licenses", "Apache\nLicense"]
+    for number, (_, notice) in enumerate(L.TEMPLATES):
+        made += [notice, notice.upper(), damaged(notice, 0.1, number), damaged(notice, 0.25, number)]
+        words = notice.split()
+        wrapped = "\n".join("# " + " ".join(words[i : i + 7]) for i in range(0, len(words), 7))
+        made += [f"#!/bin/sh\n#\n{wrapped}\n#\nmore", "\n\n".join(words)]
+        before = prose(number, 100 + 37 * number).replace("\n", " ")
+        made += [f"{before} {notice} {prose(number + 50, 400)}", prose(number + 80, 700), f"{before}\n\n{notice}\n\n{before}"]
+    made.append(" ".join(notice for _, notice in L.TEMPLATES))
+    made.append(" ".join(prose(seed, 300) for seed in range(60)) + L.TEMPLATES[0][1] + prose(9, 900))
+    made += ["Licensed under CC BY-NC 4.0.", "Zürich MIT License", "mit license mit license", "a\x00mit\x1flicense"]
+    return made
+
+
+def test_against_plain_version(docs, texts):
+    rows = [(i, text) for i, text in enumerate(texts)]
+    expected = sorted(((i, *plain(text)) for i, text in rows), key=str)
+    found = scanned(docs(rows))
+    assert found == expected
+    assert {label for row in found for label in row[-1].split(",")} >= {"mit", "apache", "gpl", "bsd", "isc", "mpl"}
+
+
+@pytest.mark.parametrize("containment", [30, 55, 100])
+def test_other_thresholds(docs, texts, containment):
+    rows = [(i, text) for i, text in enumerate(texts)]
+    expected = sorted(((i, *plain(text, containment=containment)) for i, text in rows), key=str)
+    assert scanned(docs(rows), containment=containment) == expected
+
+
+def test_other_templates_and_phrases(docs):
+    rnd = random.Random(4)
+    names = [f"w{i}" for i in range(40)]
+    templates = [(f"t{i}", " ".join(rnd.choices(names, k=rnd.randint(1, 15)))) for i in range(12)]
+    phrases = {"w1 w2": "a", "w2 w1": "b", "w3": "c", "w3 w3": "d"}
+    rows = []
+    for i in range(150):
+        text = "".join(rnd.choice(names) + rnd.choice([" ", " ", "\n", "\n\n", ". "]) for _ in range(rnd.randint(0, 120)))
+        rows.append((i, text))
+    expected = sorted(((i, *plain(text, phrases, templates, 70)) for i, text in rows), key=str)
+    assert scanned(docs(rows), phrases=phrases, templates=templates, containment=70) == expected
+
+
+def test_rows_that_repeat_or_have_no_id(docs):
+    notice = L.TEMPLATES[0][1]
+    rows = [(1, notice), (1, notice), (1, "MIT License"), (None, notice), (None, None), (None, "cc by")]
+    assert scanned(docs(rows)) == sorted(((i, *plain(text)) for i, text in rows), key=str)
+
+
+def test_clashing_names_and_empty_table(docs):
+    rows = [(1, L.TEMPLATES[1][1]), (2, "x")]
+    names = ["row_id", "blocks", "words", "word", "label", "size", "a.b", "lower", "base", "found", "held"]
+    clashing = docs(rows).withColumns({name: F.lit("z") for name in names})
+    assert scanned(clashing) == sorted(((i, *plain(text)) for i, text in rows), key=str)
+    assert scanned(docs(rows).limit(0)) == []
+
+
+def test_no_usable_template(docs):
+    assert scanned(docs([(1, "the mit license")]), templates=[("x", "...")]) == [
+        (1, 3, 1, 1, 1, "mit", "mit", 1.0, ""),
+    ]
+
+
+def test_each_pair_once(docs, spark):
+    """Prefix, length and position spare pairs, and no pair is met twice."""
+    sets = [("a", set("abcdefghij")), ("b", set("hijklmnopq")), ("c", set("a"))]
+    rnd = random.Random(2)
+    rows = [(i, rnd.sample("abcdefghijklmnopq", rnd.randint(1, 17))) for i in range(200)]
+    blocks = spark.createDataFrame(rows, "row_id bigint, words array<string>")
+    found = sorted((row.row_id, row.template, row.shared, row.size) for row in L.matching_blocks(blocks, sets, 60).collect())
+    expected = sorted(
+        (i, number, len(words & set(block)), len(words))
+        for i, block in rows
+        for number, (_, words) in enumerate(sets)
+        if len(words & set(block)) * 100 >= 60 * len(words)
+    )
+    assert found == expected

@@ -26,7 +26,7 @@ def test_against_sql(spark, folder, name):
 
 def test_all_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 

@@ -24,7 +24,7 @@ from lakezones.plans.refined_customers import load_refined_customers
 from lakezones.plans.runner import run_tables
 from lakezones.session import prepare_session
 from lakezones.sources.delimited import read_text_csv
-from lakezones.sources.pages import page_completeness, read_pages, require_complete
+from lakezones.sources.pages import page_completeness, pages_until_end, read_pages, require_complete
 from lakezones.specs import TableSpec
 from lakezones.streaming.upserts import upsert_new_files
 from lakezones.streaming.watermark import WatermarkStore
@@ -44,6 +44,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--state", required=True, help="folder of the watermark")
     job.add_argument("--full", action="store_true", help="read everything, whatever the watermark")
     job.add_argument("--require-complete", action="store_true", help="fail if pages or records are missing")
+    job.add_argument("--until-end", action="store_true", help="leave out pages beyond the first gap, empty or last page")
     job.add_argument("--provider", default="parquet")
 
     job = jobs.add_parser("stream-customers", help="merge newly landed pages into a table of the latest records")
@@ -75,6 +76,8 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--shipdate-to", type=date.fromisoformat)
     job.add_argument("--replace", action="store_true", help="replace the rows of an earlier run of the day")
     job.add_argument("--single-line", action="store_true", help="no line breaks inside quotes: large files are split")
+    job.add_argument("--rejects-table", help="takes the rows that do not fit the header of their extract")
+    job.add_argument("--most-rejects", type=int, help="fail before anything is written if more rows do not fit")
     job.add_argument("--provider", default="parquet")
 
     job = jobs.add_parser("backfill-tables", help="the backfill of several tables")
@@ -83,6 +86,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--run-day", type=date.fromisoformat, default=None)
     job.add_argument("--replace", action="store_true", help="replace the rows of an earlier run of the day")
     job.add_argument("--single-line", action="store_true", help="no line breaks inside quotes: large files are split")
+    job.add_argument("--most-rejects", type=int, help="fail before anything is written if more rows do not fit")
     job.add_argument("--provider", default="parquet")
 
     job = jobs.add_parser("worklist", help="write the extracts of a backfill, one row per center and window")
@@ -114,6 +118,8 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
     now = datetime.now(timezone.utc)
     if args.job == "source-to-raw":
         pages = read_pages(spark, args.landing, args.whole_files)
+        if args.until_end:
+            pages = pages_until_end(pages)
         report = page_completeness(pages).first()
         log.info("pages: %s", report.asDict())
         if args.require_complete:
@@ -130,7 +136,7 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
     elif args.job == "stream-customers":
         upsert_new_files(
             spark, args.landing, "doc string", lambda pages: raw_records(pages, now), args.table, [KEY], "updated",
-            args.checkpoint, ties=["Content"], max_files=args.max_files, provider=args.provider,
+            args.checkpoint, ties=["Content"], times=["updated"], max_files=args.max_files, provider=args.provider,
         ).awaitTermination()
     elif args.job == "refined-to-curated":
         run_tables(
@@ -142,13 +148,13 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
     elif args.job == "backfill":
         orders = backfill_orders(
             spark, args.source, args.run_day or now.date(), args.timestamp_column or ORDER_TIMESTAMP_COLUMNS,
-            args.ship_date_column, args.shipdate_from, args.shipdate_to, multi_line=not args.single_line,
+            args.ship_date_column, args.shipdate_from, args.shipdate_to, multi_line=not args.single_line, rejects=True,
         )
-        load_backfill(orders, args.table, args.replace, args.provider)
+        load_backfill(orders, args.table, args.replace, args.provider, args.rejects_table, args.most_rejects)
     elif args.job == "backfill-tables":
         load_backfills(
             spark, table_specs(spark, args.tables), args.database, args.run_day or now.date(), args.replace,
-            args.provider, multi_line=not args.single_line,
+            args.provider, multi_line=not args.single_line, most_rejects=args.most_rejects,
         )
     else:
         centers = read_text_csv(spark, args.centers)

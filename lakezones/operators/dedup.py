@@ -6,7 +6,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lakezones.functions.casts import iso_timestamp
 from lakezones.specs import quoted, unused_name
 
 METHODS = ("row_number", "dense_rank")
@@ -18,11 +20,13 @@ def deduplicate_latest(
     order: str,
     method: str = "row_number",
     ties: Iterable[str] = (),
+    times: Iterable[str] = (),
 ) -> DataFrame:
     """Per key, the row (``row_number``) or all rows (``dense_rank``) with the greatest order value.
 
     Null keys form one group, null order values come last. ``ties`` names further columns,
-    greatest first, that settle which of several latest rows ``row_number`` keeps.
+    greatest first, that settle which of several latest rows ``row_number`` keeps. Columns named in
+    ``times`` are compared as times where they are text, and a text that names no time counts as null.
     """
     keys = [key] if isinstance(key, str) else list(key)
     ties = list(ties)
@@ -32,9 +36,16 @@ def deduplicate_latest(
         raise ValueError(f"missing columns: {missing}")
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}, choose one of {METHODS}")
+    as_text = {name.lower() for name in times} & {f.name.lower() for f in df.schema if isinstance(f.dataType, T.StringType)}
+    parsed = {
+        name: unused_name(df.columns, f"_time{i}") for i, name in enumerate([order, *ties]) if name.lower() in as_text
+    }
+    timed = df.withColumns({scratch: iso_timestamp(F.col(quoted(name))) for name, scratch in parsed.items()}) if parsed else df
     if method == "row_number":
-        return _first_row(df, keys, [order, *ties])
-    return _all_latest(df, keys, order)
+        latest = _first_row(timed, keys, [parsed.get(name, name) for name in [order, *ties]])
+    else:
+        latest = _all_latest(timed, keys, parsed.get(order, order))
+    return latest.drop(*parsed.values())
 
 
 def _first_row(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -6,8 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakezones.fixed_values import MINIMUM_ROWS, PREVIEW_ROWS, WATERMARK_FORMAT
+from lakezones.functions.casts import iso_timestamp
 from lakezones.operators.filters import any_null
 from lakezones.specs import quoted
 
@@ -27,8 +29,11 @@ def watermark_text(latest: Column) -> Column:
 
 
 def max_watermark(df: DataFrame, column: str = "updated") -> DataFrame:
-    """The watermark after loading ``df``; null when no row holds a time."""
-    return df.agg(watermark_text(F.max(F.col(quoted(column)).cast("timestamp"))).alias("watermark"))
+    """The watermark after loading ``df``; null when no row holds a time. Texts that name no time are left out."""
+    value = F.col(quoted(column))
+    text = isinstance(df.select(value).schema[0].dataType, T.StringType)
+    time = iso_timestamp(value) if text else value.cast("timestamp")
+    return df.agg(watermark_text(F.max(time)).alias("watermark"))
 
 
 def null_key_count(df: DataFrame, keys: list[str]) -> DataFrame:

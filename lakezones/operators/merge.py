@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakezones.functions.casts import iso_timestamp
 from lakezones.operators.filters import any_null, reject_null_keys
 from lakezones.specs import quoted, unused_name
 
@@ -90,18 +91,36 @@ def _once_per_match(placed: DataFrame, keys: list[str], count: str) -> DataFrame
     return spread.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), left)))
 
 
+def time_of(column: Column, data_type: T.DataType) -> Column:
+    """The column as a time; text is parsed, and null where it names none."""
+    return iso_timestamp(column) if isinstance(data_type, T.StringType) else column
+
+
 def not_older(
-    batch: DataFrame, target: DataFrame, keys: list[str], order: list[str], broadcast_keys: bool = False
+    batch: DataFrame,
+    target: DataFrame,
+    keys: list[str],
+    order: list[str],
+    broadcast_keys: bool = False,
+    times: Iterable[str] = (),
+    level: bool = True,
 ) -> DataFrame:
     """The rows of ``batch`` (one per key) that no row of ``target`` with their key comes after.
 
-    A null in ``order`` comes before every value. With ``broadcast_keys``, for which
-    ``keys_fit_broadcast`` must hold, only target rows with a key of the batch are shuffled.
+    Without ``level``, rows that a row of the target is level with are left out too. A null in ``order`` comes before every value. Columns named in ``times`` are compared as times
+    even where they are text, and a text that names no time counts as null. With
+    ``broadcast_keys``, for which ``keys_fit_broadcast`` must hold, only target rows with a key of
+    the batch are shuffled.
     """
     types = {field.name.lower(): field.dataType for field in target.schema}
+    times = {name.lower() for name in times}
 
     def place(prefix: str) -> Column:
-        columns = [F.col(f"{prefix}.{quoted(name)}").cast(types[name.lower()]) for name in order]
+        columns = []
+        for name in order:
+            data_type = types[name.lower()]
+            column = F.col(f"{prefix}.{quoted(name)}").cast(data_type)
+            columns.append(time_of(column, data_type) if name.lower() in times else column)
         return F.struct(*[part for column in columns for part in (column.isNotNull(), column)])
 
     def typed(name: str) -> Column:
@@ -110,7 +129,7 @@ def not_older(
     if broadcast_keys:
         target = target.join(F.broadcast(batch.select(*map(typed, keys))), keys, "left_semi")
     same = [F.col(f"b.{quoted(key)}").cast(types[key.lower()]) == F.col(f"t.{quoted(key)}") for key in keys]
-    later = place("t") > place("b")
+    later = place("t") > place("b") if level else place("t") >= place("b")
     return batch.alias("b").join(target.alias("t"), [*same, later], "left_anti")
 
 

@@ -6,7 +6,7 @@ import logging
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakezones.fixed_values import REFINED_INPUT_COLUMNS
@@ -14,9 +14,9 @@ from lakezones.functions.casts import iso_timestamp, numeric_key
 from lakezones.operators.columns import ingest_stamp, project
 from lakezones.operators.dedup import deduplicate_latest
 from lakezones.operators.filters import any_null, epoch_floor, reject_null_keys
-from lakezones.operators.keys import next_key, surrogate_key
+from lakezones.operators.keys import surrogate_key
 from lakezones.operators.measures import watermark_text
-from lakezones.operators.merge import keys_fit_broadcast, not_older
+from lakezones.operators.merge import keys_fit_broadcast
 from lakezones.session import stage
 from lakezones.sinks.tables import Name, merge_or_create
 from lakezones.sources.pages import flatten_pages
@@ -52,20 +52,44 @@ def raw_records(pages: DataFrame, run_time: datetime, watermark: str | None = No
 
 
 def latest_records(records: DataFrame) -> DataFrame:
-    """The latest record per customer. Equal update times are settled by the record text."""
-    return deduplicate_latest(reject_null_keys(records, [KEY]), KEY, "updated", ties=["Content"])
+    """The latest record per customer by the time of change; equal times are settled by the record text."""
+    kept = reject_null_keys(records, [KEY])
+    return deduplicate_latest(kept, KEY, "updated", ties=["Content"], times=["updated"])
+
+
+def place_in_time(content: str = "content") -> Column:
+    """What orders two records of a customer: the time of change, none first, then the record text."""
+    time = iso_timestamp(F.col("updated"))
+    return F.struct(time.isNotNull(), time, F.col(content).isNotNull(), F.col(content))
 
 
 def with_customer_keys(latest: DataFrame, target: DataFrame | None) -> DataFrame:
-    """Customers that the target knows keep their key; the others are numbered after its last key."""
+    """The records that no record of the target comes after, with their customer keys.
+
+    Customers that the target knows keep their key; the others are numbered after its last key.
+    The target is read once: of the customers at hand their key and latest record, and of all rows
+    the greatest key.
+    """
     if target is None:
-        numbers = surrogate_key(latest.select(KEY, "created"), ["created", KEY])
-        return latest.join(numbers.select(KEY, "customer_key"), KEY)
-    matched = target.join(latest.select(KEY), KEY, "left_semi")
-    known = matched.groupBy(KEY).agg(F.min("customer_key").alias("customer_key"))
-    new = latest.select(KEY, "created").join(known, KEY, "left_anti")
-    numbers = surrogate_key(new, ["created", KEY], start_key=next_key(target))
-    return latest.join(known.unionByName(numbers.select(KEY, "customer_key")), KEY)
+        return surrogate_key(latest, ["created", KEY])
+    last_key = Observation()
+    place = place_in_time().alias("_place")
+    held = target.select(F.col(KEY).alias("_held"), "customer_key", place)
+    held = held.observe(last_key, F.max("customer_key").alias("last"))
+    wanted = latest.select(F.col(KEY).alias("_held"))
+    if keys_fit_broadcast(latest, [KEY]):
+        wanted = F.broadcast(wanted)
+    known = held.join(wanted, "_held", "left_semi").groupBy("_held").agg(
+        F.min("customer_key").alias("customer_key"), F.max("_place").alias("_place")
+    )
+    found = stage(latest.join(known, F.col(KEY) == F.col("_held"), "left").drop("_held"), "raw-known")
+    new = surrogate_key(
+        found.filter("customer_key IS NULL").drop("customer_key", "_place"),
+        ["created", KEY],
+        start_key=(last_key.get["last"] or 0) + 1,
+    )
+    newer = F.col("_place").isNull() | (place_in_time("Content") >= F.col("_place"))
+    return found.filter(F.col("customer_key").isNotNull() & newer).drop("_place").unionByName(new)
 
 
 def load_raw_customers(
@@ -79,35 +103,34 @@ def load_raw_customers(
 ) -> RawLoad:
     """Merge the records changed since the watermark, or all if ``full``, into ``table``; then advance it.
 
-    A record replaces the one of the table unless that has a later time of change: records without
-    a readable time are part of every load, and come before all others.
+    A record replaces the one of the table unless that comes later, by the time of change and then
+    by the record text. Records without a readable time are part of every load and come before all
+    others. So the table depends neither on the order in which records arrive nor on how they are
+    split into loads.
 
-    The records are staged as extracted, for the counts and the watermark over all of them, and
-    once per customer, for numbering and merging, which mostly read the ids alone. If the load
-    fails before its last step, the old watermark makes the next run read the same records again.
+    The pages are read once: the latest record per customer is staged, and the job that does so
+    also counts all records and finds the watermark. If the load fails before its last step, the old
+    watermark makes the next run read the same records again.
     """
-    spark = pages.sparkSession
-    records = stage(raw_records(pages, run_time, None if full else state.read(load)), "raw-records")
-    report = RawLoad(
-        *records.agg(
-            F.count("*"),
-            F.count_if(any_null([KEY])),
-            watermark_text(F.max(iso_timestamp(F.col("updated")))),
-            F.count_if(iso_timestamp(F.col("updated")).isNull()),
-        ).first()
+    spark, seen = pages.sparkSession, Observation()
+    updated = iso_timestamp(F.col("updated"))
+    records = raw_records(pages, run_time, None if full else state.read(load)).observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(any_null([KEY])).alias("null_keys"),
+        watermark_text(F.max(updated)).alias("watermark"),
+        F.count_if(updated.isNull()).alias("without_time"),
     )
+    latest = stage(latest_records(records), "raw-latest")
+    report = RawLoad(**seen.get)
     if report.null_keys:
         log.warning("%d rows without %s are left out", report.null_keys, KEY)
     if report.without_time:
         log.warning("%d rows have no readable time of change", report.without_time)
     if report.rows > report.null_keys:
-        latest, target = stage(latest_records(records), "raw-latest"), read_table(spark, table)
-        if target is not None:
-            newest = not_older(latest, target, [KEY], ["updated"], keys_fit_broadcast(latest, [KEY]))
-            latest = stage(newest, "raw-newest")
-        if not latest.isEmpty():
-            keyed = project(with_customer_keys(latest, target), REFINED_INPUT_COLUMNS)
-            # Written, as the merge reads it several times and it joins the target.
-            merge_or_create(stage(keyed, "raw-keyed"), table, [KEY], provider, staged=True)
+        keyed = project(with_customer_keys(latest, read_table(spark, table)), REFINED_INPUT_COLUMNS)
+        if not keyed.isEmpty():
+            # Cheap to read again: staged records and one offset per partition.
+            merge_or_create(keyed, table, [KEY], provider, staged=True, unique=True)
     state.advance(load, report.watermark)
     return report

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,8 @@ from lakezones.functions.payload import JoinedField, ListField, TextField, extra
 from lakezones.operators.columns import default_column, project
 from lakezones.operators.measures import LoadReport
 from lakezones.session import stage
-from lakezones.sinks.tables import Name, overwrite_or_create
+from lakezones.sinks.audit import Check, audited_overwrite
+from lakezones.sinks.tables import ROW_LEVEL_FORMATS, Name, overwrite_or_create
 from lakezones.sources.tables import read_table, table_row_count
 
 log = logging.getLogger(__name__)
@@ -54,19 +56,28 @@ def refined_customers(raw: DataFrame) -> DataFrame:
 
 
 def load_refined_customers(
-    spark: SparkSession, raw_table: Name, refined_table: Name, provider: str = "parquet"
+    spark: SparkSession, raw_table: Name, refined_table: Name, provider: str = "parquet", checks: Iterable[Check] = ()
 ) -> LoadReport | None:
     """Rebuild the refined table; None if there is no raw table.
 
+    With ``checks`` the new content is published only if it passes them.
+
     A global sort runs its input twice, the first time to find the bounds of its partitions. The
     refined columns are staged before it, so that the much larger payloads are read and parsed once.
     """
     raw = read_table(spark, raw_table)
     if raw is None:
         return None
-    before = table_row_count(spark, refined_table)
     refined = stage(customer_columns(raw), "refined-customers").orderBy(*SORT_COLUMNS)
-    overwrite_or_create(refined, refined_table, provider)
-    report = LoadReport(str(refined_table), before, table_row_count(spark, refined_table))
+    checks = list(checks)
+    if checks and provider in ROW_LEVEL_FORMATS:
+        raise ValueError(f"{provider} tables are not audited before they are published")
+    if checks:
+        audit = audited_overwrite(refined, refined_table, checks)
+        report = LoadReport(str(refined_table), audit.rows_before, audit.rows_after)
+    else:
+        before = table_row_count(spark, refined_table)
+        overwrite_or_create(refined, refined_table, provider)
+        report = LoadReport(str(refined_table), before, table_row_count(spark, refined_table))
     log.info(report.message())
     return report

@@ -20,10 +20,13 @@ from lakezones.fixed_values import PARTITION_COLUMN, TARGET_FILE_BYTES
 from lakezones.operators.merge import align, check_cardinality, keys_fit_broadcast, merge_frames
 from lakezones.session import stage
 from lakezones.sources.tables import read_table
-from lakezones.specs import merge_condition, quoted, quoted_table, sql_text
+from lakezones.specs import merge_condition, quoted, quoted_table, sql_text, unused_name
 
 log = logging.getLogger(__name__)
 
+# Partition values that a merge lists to prune its scan.
+LISTED_PARTITIONS = 10_000
+
 Name = str | tuple[str, ...]
 
 # Formats whose tables take MERGE and overwrite by themselves. Their jars are not part of Spark,
@@ -38,11 +41,13 @@ def merge_or_create(
     provider: str = "parquet",
     partition_column: str | None = None,
     staged: bool = False,
+    unique: bool = False,
 ) -> None:
     """Upsert ``batch`` into ``table`` on ``keys``; create the table when it is missing.
 
     ``staged`` says that the batch is cheap to read several times, as a table is; otherwise it
-    is written once to the shared folder first. A Parquet table that is partitioned by one of
+    is written once to the shared folder first. ``unique`` says that no key repeats in the batch, as
+    after a deduplication, so that this is not checked again. A Parquet table that is partitioned by one of
     its keys only has the partitions rewritten that the batch touches.
     """
     spark, keys = batch.sparkSession, list(keys)
@@ -61,32 +66,43 @@ def merge_or_create(
     batch = align(batch, target.schema)
     if not staged:
         batch = stage(batch, "merge-batch")
-    partitions = _partition_columns(spark, table)
+    partitions = partition_columns(spark, table)
     if partitions:
-        _merge_partitions(batch, target, table, keys, partitions)
+        _merge_partitions(batch, target, table, keys, partitions, unique)
         return
-    check_cardinality(target, batch, keys)
+    if not unique:
+        check_cardinality(target, batch, keys)
     _switch_content(merge_frames(target, batch, keys, keys_fit_broadcast(batch, keys)), table)
 
 
 def _merge_partitions(
-    batch: DataFrame, target: DataFrame, table: Name, keys: list[str], partitions: list[str]
+    batch: DataFrame, target: DataFrame, table: Name, keys: list[str], partitions: list[str], unique: bool
 ) -> None:
     if len(partitions) != 1 or partitions[0].lower() not in (key.lower() for key in keys):
         raise ValueError(f"a partitioned Parquet table merges only if its one partition column is a key: {partitions}")
-    # A match has the same partition value, so no other partition can change. The list has one
-    # value for each partition that is rewritten, which the commit reports to the catalog anyway,
-    # and as a literal it prunes the scan whatever the sizes are.
-    column = F.col(quoted(partitions[0]))
-    values = [row[0] for row in batch.select(column).distinct().collect()]
-    touched = column.isin([value for value in values if value is not None])
-    if None in values:
-        touched = touched | column.isNull()
-    current = target.filter(touched)
-    check_cardinality(current, batch, keys)
+    # A match has the same partition value, so no other partition can change.
+    current = _touched(target, batch, partitions[0])
+    if not unique:
+        check_cardinality(current, batch, keys)
     _overwrite_partitions(merge_frames(current, batch, keys, keys_fit_broadcast(batch, keys)), table)
 
 
+def _touched(target: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
+    """The rows of the partitions that the batch has rows of.
+
+    Up to ``LISTED_PARTITIONS`` values become a literal list, which prunes the scan whatever the
+    sizes are; with more the values are joined, and Spark prunes by them as it runs.
+    """
+    column = F.col(quoted(partition))
+    values = batch.select(column).distinct()
+    listed = [row[0] for row in values.limit(LISTED_PARTITIONS + 1).collect()]
+    if len(listed) <= LISTED_PARTITIONS:
+        touched = column.isin([value for value in listed if value is not None])
+        return target.filter(touched | column.isNull() if None in listed else touched)
+    name = unused_name(target.columns, "_partition")
+    return target.join(values.withColumnRenamed(partition, name), column.eqNullSafe(F.col(name)), "left_semi")
+
+
 def overwrite_or_create(df: DataFrame, table: Name, provider: str = "parquet") -> None:
     """Replace all rows of ``table``; create it when it is missing."""
     spark = df.sparkSession
@@ -95,7 +111,7 @@ def overwrite_or_create(df: DataFrame, table: Name, provider: str = "parquet") -
         create_table(df, table, provider)
     elif _provider(spark, table) in ROW_LEVEL_FORMATS:
         df.writeTo(quoted_table(table)).overwrite(F.lit(True))
-    elif _partition_columns(spark, table):
+    elif partition_columns(spark, table):
         # The catalog knows each partition's folder, so these are replaced in place; the rows are
         # staged as they may come from the table itself.
         _insert_overwrite(stage(align(df, target.schema), "overwrite"), table, "static")
@@ -109,14 +125,17 @@ def append_partitions(
     partition_column: str = PARTITION_COLUMN,
     replace: bool = False,
     provider: str = "parquet",
+    empty: bool | None = None,
 ) -> bool:
     """Append under the partition of the rows; new columns and partitions enter the catalog.
 
-    Nothing is written for an empty frame. ``replace`` overwrites the partitions that the
-    frame holds, so that a second run of the same day does not double its rows.
+    Nothing is written for an empty frame; ``empty`` says so where it is known. ``replace``
+    overwrites the partitions that the frame holds, so that a second run of the same day does not
+    double its rows. The rows of a partition are brought together first, and cut into files of
+    about the target size.
     """
     spark = df.sparkSession
-    if not df.columns or df.isEmpty():
+    if not df.columns or (df.isEmpty() if empty is None else empty):
         return False
     target = read_table(spark, table)
     if target is None:
@@ -137,7 +156,8 @@ def append_partitions(
     elif replace:
         _overwrite_partitions(rows, table)
     else:
-        rows.write.insertInto(quoted_table(table))
+        partitions = partition_columns(spark, table)
+        (_by_partition(rows, partitions) if partitions else rows).write.insertInto(quoted_table(table))
     return True
 
 
@@ -160,7 +180,7 @@ def create_table(
     if partition_column:
         writer = _by_partition(df, [partition_column]).write.format("parquet").option("compression", "snappy")
         writer = writer.partitionBy(partition_column)
-    writer.option("path", _new_folder(df.sparkSession, table)).saveAsTable(name)
+    writer.option("path", new_folder(df.sparkSession, table)).saveAsTable(name)
 
 
 def _by_partition(df: DataFrame, partitions: list[str]) -> DataFrame:
@@ -169,11 +189,16 @@ def _by_partition(df: DataFrame, partitions: list[str]) -> DataFrame:
 
 
 def _switch_content(df: DataFrame, table: Name) -> None:
-    spark, name = df.sparkSession, quoted_table(table)
-    folder = _new_folder(spark, table)
+    """Write the whole content to a new folder and move the table to it."""
+    folder = new_folder(df.sparkSession, table)
     df.write.option("compression", "snappy").parquet(folder)
-    spark.sql(f"ALTER TABLE {name} SET LOCATION {sql_text(folder)}")
-    spark.catalog.refreshTable(name)
+    set_location(df.sparkSession, table, folder)
+
+
+def set_location(spark: SparkSession, table: Name, folder: str) -> None:
+    """Move the catalog entry of a table to another folder."""
+    spark.sql(f"ALTER TABLE {quoted_table(table)} SET LOCATION {sql_text(folder)}")
+    spark.catalog.refreshTable(quoted_table(table))
 
 
 def _overwrite_partitions(df: DataFrame, table: Name) -> None:
@@ -187,30 +212,38 @@ def _insert_overwrite(df: DataFrame, table: Name, kind: str) -> None:
     mode = spark.conf.get(setting)
     spark.conf.set(setting, kind)
     try:
-        rows = _by_partition(df, _partition_columns(spark, table))
+        rows = _by_partition(df, partition_columns(spark, table))
         rows.write.insertInto(quoted_table(table), overwrite=True)
     finally:
         spark.conf.set(setting, mode)
 
 
-def _new_folder(spark: SparkSession, table: Name) -> str:
+def new_folder(spark: SparkSession, table: Name) -> str:
+    """A folder for new content of ``table``, below the location of its database."""
     parts = table.split(".") if isinstance(table, str) else list(table)
     database = parts[-2].strip("`") if len(parts) > 1 else spark.catalog.currentDatabase()
     location = spark.catalog.getDatabase(quoted(database)).locationUri.rstrip("/")
     return f"{location}/{parts[-1].strip('`')}/content-{uuid.uuid4().hex}"
 
 
-def _description(spark: SparkSession, table: Name) -> list[tuple[str, str]]:
+def table_description(spark: SparkSession, table: Name) -> list[tuple[str, str]]:
+    """What the catalog says of ``table``, as pairs of name and value."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted_table(table)}").collect()
     return [(row["col_name"], row["data_type"]) for row in rows]
 
 
+def table_location(spark: SparkSession, table: Name) -> str:
+    """The folder that holds the content of ``table`` now."""
+    return next(value for name, value in table_description(spark, table) if name == "Location")
+
+
 def _provider(spark: SparkSession, table: Name) -> str:
-    return next((value.lower() for name, value in _description(spark, table) if name == "Provider"), "")
+    return next((value.lower() for name, value in table_description(spark, table) if name == "Provider"), "")
 
 
-def _partition_columns(spark: SparkSession, table: Name) -> list[str]:
-    names = [name for name, _ in _description(spark, table)]
+def partition_columns(spark: SparkSession, table: Name) -> list[str]:
+    """The columns that ``table`` is partitioned by."""
+    names = [name for name, _ in table_description(spark, table)]
     if "# Partition Information" not in names:
         return []
     start = names.index("# Partition Information") + 2

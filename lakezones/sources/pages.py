@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from lakezones.session import stage
+
 # Where a page keeps its records, and the record fields that become columns.
 RECORD_LIST = ("_embedded", "customers")
 RECORD_FIELDS = {"customer_id": "id", "created": "createdAt", "updated": "updatedAt"}
@@ -54,6 +56,76 @@ def flatten_pages(
     )
 
 
+# Page numbers, or full runs of them, that are looked at together when the first gap is searched.
+RUN_OF_PAGES = 10_000
+
+
+def pages_until_end(
+    pages: DataFrame,
+    doc: str = "doc",
+    path: tuple[str, ...] = RECORD_LIST,
+    first: int = 1,
+    run: int = RUN_OF_PAGES,
+) -> DataFrame:
+    """The pages that a reader meets who starts at page ``first`` and goes on page by page.
+
+    Such a reader stops behind a page whose number reaches the total that it states (1 where it
+    states none), at a page without records, and before a page that never landed. Pages beyond that
+    place, before the first one or without a number are left out; pages that landed several times
+    all stay, and count as empty only if each of them is.
+    """
+    number = _page_number(F.col(doc))
+    end = last_page(pages, doc, path, first, run)
+    return pages.filter(number.between(first, end))
+
+
+def _page_number(doc: Column) -> Column:
+    return F.from_json(doc, PAGE_TOTALS)["page"]["number"]
+
+
+def last_page(
+    pages: DataFrame, doc: str = "doc", path: tuple[str, ...] = RECORD_LIST, first: int = 1, run: int = RUN_OF_PAGES
+) -> int:
+    """The number of the last page of ``pages_until_end``; ``first - 1`` if the first page is missing.
+
+    The first gap is found without bringing the numbers into one order: they are counted in runs
+    of ``run``, full runs are counted the same way until few are left, and then only the first
+    run that is not full is looked into, level by level. The driver sees at most ``run`` numbers.
+    """
+    parsed = pages.select(F.from_json(F.col(doc), f"{_list_schema(path)}, {PAGE_TOTALS}").alias("_doc"))
+    landed = parsed.select(
+        F.col("_doc.page.number").alias("number"),
+        F.coalesce(F.size(_record_list(F.col("_doc"), path)), F.lit(0)).alias("records"),
+        F.coalesce(F.col("_doc.page.totalPages"), F.lit(1)).alias("total"),
+    ).filter(F.col("number") >= first)
+    # Read once; one small row per page.
+    numbered = stage(landed.groupBy("number").agg(F.max("records").alias("records"), F.max("total").alias("total")), "pages")
+    stops = numbered.agg(
+        F.min(F.when(F.col("records") <= 0, F.col("number"))).alias("empty"),
+        F.min(F.when(F.col("number") >= F.col("total"), F.col("number"))).alias("last"),
+    ).first()
+    gap = first + _first_missing(numbered.select((F.col("number") - first).alias("number")), run)
+    return min([gap - 1, *(stop for stop in stops if stop is not None)])
+
+
+def _first_missing(numbers: DataFrame, run: int) -> int:
+    """The least number from 0 that is not among the distinct ``numbers``."""
+    levels = [numbers]
+    while levels[-1].count() > run:
+        full = levels[-1].groupBy(F.floor(F.col("number") / run).cast("bigint").alias("number")).agg(F.count("*").alias("rows"))
+        levels.append(full.filter(F.col("rows") == run).select("number"))
+    missing = 0
+    for level, present in enumerate(reversed(levels)):
+        if level > 0:
+            # All runs before this one are full.
+            present = present.filter((F.col("number") >= missing * run) & (F.col("number") < (missing + 1) * run))
+            missing *= run
+        held = {row.number for row in present.collect()}
+        while missing in held:
+            missing += 1
+    return missing
+
+
 class IncompleteLanding(ValueError):
     """Fewer pages or records landed than the pages themselves state."""
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable, Iterable
 from typing import TypeVar
 
@@ -59,22 +60,27 @@ def parquet_row_count(spark: SparkSession, path: str) -> int:
 
 
 def register_dataset(
-    spark: SparkSession, name: str | tuple[str, ...], path: str, partition_columns: tuple[str, ...] = ()
+    spark: SparkSession,
+    name: str | tuple[str, ...],
+    path: str,
+    partition_columns: tuple[str, ...] = (),
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Register the Parquet files below ``path`` as a table with the columns of all files combined.
 
     Run it again after files were added or removed: new columns and partitions appear,
     partitions whose files are gone disappear, and the data itself is never touched. The entry
     stays while it changes; only if the type of a column, the partitioning or the path is another
-    one, it is made anew. A managed table is refused, as its data would go with its entry.
+    one, a new one is made, and takes the place of the old one when it is complete. A managed table
+    is refused, as its data would go with its entry. ``schema`` states the columns where they are
+    known; files may hold narrower types.
     """
     table = quoted_table(name)
-    found = spark.read.option("mergeSchema", True).parquet(path)
-    new = _new_fields(spark, table, found.schema, path, partition_columns)
+    if schema is None:
+        schema = spark.read.option("mergeSchema", True).parquet(path).schema
+    new = _new_fields(spark, table, schema, path, partition_columns)
     if new is None:
-        partitioned = f" PARTITIONED BY ({', '.join(map(quoted, partition_columns))})" if partition_columns else ""
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.sql(f"CREATE TABLE {table} ({_columns(found.schema)}) USING parquet{partitioned} LOCATION {sql_text(path)}")
+        _create_external(spark, name, schema, path, partition_columns)
     elif new:
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({_columns(new)})")
     spark.catalog.refreshTable(table)
@@ -83,8 +89,30 @@ def register_dataset(
     return spark.table(table)
 
 
+def _create_external(
+    spark: SparkSession, name: str | tuple[str, ...], schema: T.StructType, path: str, partition_columns: tuple[str, ...]
+) -> None:
+    table, parts = quoted_table(name), [part.strip("`") for part in (name.split(".") if isinstance(name, str) else name)]
+    partitioned = f" PARTITIONED BY ({', '.join(map(quoted, partition_columns))})" if partition_columns else ""
+    made = quoted_table((*parts[:-1], f"{parts[-1]}_{uuid.uuid4().hex}"))
+    spark.sql(f"CREATE TABLE {made} ({_columns(schema)}) USING parquet{partitioned} LOCATION {sql_text(path)}")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {made} RENAME TO {table}")
+
+
 def _columns(fields: Iterable[T.StructField]) -> str:
-    return ", ".join(f"{quoted(field.name)} {field.dataType.simpleString()}" for field in fields)
+    return ", ".join(f"{quoted(field.name)} {type_text(field.dataType)}" for field in fields)
+
+
+def type_text(data_type: T.DataType) -> str:
+    """The type as SQL, with quoted names of fields."""
+    if isinstance(data_type, T.StructType):
+        return f"struct<{', '.join(f'{quoted(field.name)}: {type_text(field.dataType)}' for field in data_type)}>"
+    if isinstance(data_type, T.ArrayType):
+        return f"array<{type_text(data_type.elementType)}>"
+    if isinstance(data_type, T.MapType):
+        return f"map<{type_text(data_type.keyType)}, {type_text(data_type.valueType)}>"
+    return data_type.simpleString()
 
 
 def _new_fields(
@@ -98,14 +126,14 @@ def _new_fields(
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
     location = next((row["data_type"] for row in described if row["col_name"] == "Location"), "")
     partitions = tuple(column.name for column in spark.catalog.listColumns(table) if column.isPartition)
-    if (_plain(location), partitions) != (_plain(path), tuple(partition_columns)):
+    if (plain_path(location), partitions) != (plain_path(path), tuple(partition_columns)):
         return None
     known = {field.name.lower(): field.dataType for field in spark.table(table).schema}
-    if any(known.get(field.name.lower(), field.dataType) != field.dataType for field in schema):
+    if any(type_text(known.get(field.name.lower(), field.dataType)) != type_text(field.dataType) for field in schema):
         return None
     return [field for field in schema if field.name.lower() not in known]
 
 
-def _plain(path: str) -> str:
+def plain_path(path: str) -> str:
     """The path as one form of writing it; local paths may come with or without their scheme."""
     return "/" + path.removeprefix("file:").strip("/") if path.startswith(("file:", "/")) else path.rstrip("/")

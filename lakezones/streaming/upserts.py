@@ -28,25 +28,28 @@ def upsert_new_files(
     file_format: str = "text",
     max_files: int | None = None,
     provider: str = "parquet",
+    times: Iterable[str] = (),
 ) -> StreamingQuery:
     """Merge everything that landed since the last run into ``table``, then stop.
 
     The checkpoint remembers which files were merged. A record replaces the one of the table only
     if it is at least as late, by ``order`` and then ``ties``. So the table does not depend on the
     order in which files land, on ``max_files``, which bounds the files of one batch when a backlog
-    is large, or on a batch that is repeated after a failure. ``provider`` is the format of a table
+    is large, or on a batch that is repeated after a failure. Text columns named in ``times`` are
+    compared as times, unreadable ones as none. ``provider`` is the format of a table
     that is created; one with row-level operations is not rewritten by every batch.
     """
-    keys, ties = list(keys), list(ties)
+    keys, ties, times = list(keys), list(ties), list(times)
 
     def merge_batch(batch: DataFrame, _batch_id: int) -> None:
         records = reject_null_keys(transform(batch), keys)
-        latest = stage(deduplicate_latest(records, keys, order, ties=ties), "stream-batch")
+        latest = stage(deduplicate_latest(records, keys, order, ties=ties, times=times), "stream-batch")
         target = read_table(spark, table)
         if target is not None:
-            latest = stage(not_older(latest, target, keys, [order, *ties], keys_fit_broadcast(latest, keys)), "stream-batch")
+            small = keys_fit_broadcast(latest, keys)
+            latest = stage(not_older(latest, target, keys, [order, *ties], small, times), "stream-batch")
         if not latest.isEmpty():
-            merge_or_create(latest, table, keys, provider, staged=True)
+            merge_or_create(latest, table, keys, provider, staged=True, unique=True)
 
     reader = spark.readStream.format(file_format).schema(schema)
     if max_files is not None:

@@ -5,14 +5,18 @@ The SQL texts run unchanged on Spark and on the checking engine.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakezones.operators.columns import rename_columns, stringify_all
 from lakezones.operators.filters import since
+from lakezones.plans.backfill import backfill_orders, load_backfill
 from lakezones.sources.delimited import read_text_csv, union_by_name
-from lakezones.sources.pages import flatten_pages, page_completeness, read_pages
-from lakezones.sources.tables import parquet_row_count, read_table, register_dataset
+from lakezones.sources.discovery import FOUND_BELOW, discover_tables
+from lakezones.sources.pages import flatten_pages, last_page, page_completeness, pages_until_end, read_pages
+from lakezones.sources.tables import parquet_row_count, plain_path, read_table, register_dataset
 from registered.registry import Tables, query
 
 PAGE_SIZE = 50
@@ -145,6 +149,100 @@ def csv_all_string(t: Tables) -> DataFrame:
     return read_text_csv(t.spark, path)
 
 
+# One file per center. Some rows have one field too many, some one too few, some a separator inside quotes.
+DAMAGED = """
+SELECT l_orderkey, l_linenumber, l_returnflag, CASE WHEN l_linenumber = 2 THEN 'sent, ' || l_shipmode ELSE l_shipmode END AS mode,
+  l_linenumber = 3 AS long, l_linenumber = 4 AS short FROM (
+    SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus AS l_shipmode FROM lineitem)
+"""
+
+
+@query(f"""
+WITH lines AS ({DAMAGED}),
+written AS (SELECT *, CAST(l_orderkey AS varchar) AS id, CAST(l_linenumber AS varchar) AS line,
+  l_orderkey || ',' || l_linenumber || ',' || l_returnflag || ',' || CASE WHEN contains(mode, ',') THEN '"' || mode || '"' ELSE mode END AS text FROM lines)
+SELECT id, line, l_returnflag AS flag, CASE WHEN NOT short THEN mode END AS mode, CAST(NULL AS varchar) AS rejected,
+  CAST(NULL AS int) AS expected, CAST(NULL AS int) AS found, '2024-02-01' AS "DT_PARTITION" FROM written WHERE NOT long
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, text || ',EXTRA', 4, 5, '2024-02-01' FROM written WHERE long
+""")
+def csv_rejects(t: Tables) -> DataFrame:
+    quoted_mode = F.when(F.contains("mode", F.lit(",")), F.concat(F.lit('"'), "mode", F.lit('"'))).otherwise(F.col("mode"))
+    fields = [F.col(name).cast("string") for name in ("l_orderkey", "l_linenumber", "l_returnflag")]
+    row = F.when(F.col("short"), F.array(*fields)).otherwise(F.array(*fields, quoted_mode))
+    line = F.concat(F.array_join(row, ","), F.when(F.col("long"), F.lit(",EXTRA")).otherwise(F.lit("")))
+    lines = t.sql(DAMAGED, "lineitem")
+    paths = []
+    for flag in "ANR":
+        paths.append(t.path("center"))
+        # The whole line is one column, which no separator or quote is added to.
+        text = lines.filter(F.col("l_returnflag") == flag).select(line.alias("id,line,flag,mode"))
+        text.write.options(header=True, sep="\x01", quote="\x02").csv(paths[-1])
+    zone = t.database()
+    orders = backfill_orders(t.spark, paths, date(2024, 2, 1), (), multi_line=False, rejects=True)
+    report = load_backfill(orders, (zone, "lines"), rejects_table=(zone, "lines_rejects"))
+    good, bad = read_table(t.spark, (zone, "lines")), read_table(t.spark, (zone, "lines_rejects"))
+    assert report.rejected == bad.count()
+    bad = bad.withColumnRenamed("text", "rejected").drop("source")
+    return union_by_name([good, bad])
+
+
+# Pages of 50 orders. One page never landed, a later one is empty, and some landed twice.
+@query("""
+SELECT o_orderkey, CAST(2 + (SELECT max(o_orderkey) FROM orders) // 150 AS bigint) AS last_page
+FROM orders, (SELECT 1 AS copy UNION ALL SELECT 2) AS copies
+WHERE o_orderkey // 50 < 2 + (SELECT max(o_orderkey) FROM orders) // 150 AND (copy = 1 OR (o_orderkey // 50) % 7 = 0)
+""", name="pages_until_end")
+def pages_until_gap(t: Tables) -> DataFrame:
+    record = F.to_json(F.struct(F.col("o_orderkey").alias("id")))
+    pages = pages_of(t.orders.select("o_orderkey", record.alias("record")), "o_orderkey", "record", t.orders)
+    number = F.get_json_object("doc", "$.page.number").cast("bigint")
+    # Orders have gaps of their own, which an empty page would stand for.
+    missing = t.orders.agg((F.floor(F.max("o_orderkey") / 150) + 3).cast("bigint")).scalar()
+    kept = pages.filter(number != missing)
+    again = kept.filter((number - 1) % 7 == 0)
+    ended = read_pages(t.spark, landed(t, kept.unionByName(again)))
+    last = last_page(ended, run=16)
+    records = flatten_pages(pages_until_end(ended, run=16), fields={"o_orderkey": "id"}, content="content")
+    return records.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.lit(last).cast("bigint").alias("last_page"))
+
+
+# Three tables below one location, whose files hold a column in several types; one of them vanishes.
+@query("""
+SELECT 'orders' AS name, o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN floor(o_totalprice) ELSE o_totalprice END AS amount,
+  CAST(CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS varchar) AS note, o_orderstatus AS part, 2 AS tables FROM orders
+UNION ALL
+SELECT 'lines', l_orderkey, l_extendedprice, NULL, l_linestatus, 2 FROM lineitem
+""", name="discover_tables")
+def discovered(t: Tables) -> DataFrame:
+    lake, zone = t.path("lake"), t.database()
+    done = F.col("o_orderstatus") == "F"
+    orders, lines = t.orders, t.lineitem
+    orders.filter(done).select(F.col("o_orderkey").cast("int").alias("id"), F.floor("o_totalprice").cast("int").alias("amount")).write.parquet(
+        f"{lake}/orders/part=F"
+    )
+    for status in ("O", "P"):
+        orders.filter(F.col("o_orderstatus") == status).select(
+            F.col("o_orderkey").alias("id"), F.col("o_totalprice").cast("decimal(12,2)").alias("amount"),
+            F.col("o_orderpriority").alias("note"),
+        ).write.parquet(f"{lake}/orders/part={status}")
+    for status in ("F", "O"):
+        lines.filter(F.col("l_linestatus") == status).select(
+            F.col("l_orderkey").alias("id"), F.col("l_extendedprice").cast("decimal(14,2)").alias("amount")
+        ).write.parquet(f"{lake}/lines/part={status}")
+    # Of the same location, with an entry from an earlier run; its files are gone now.
+    t.region.write.parquet(f"{lake}-earlier/regions")
+    register_dataset(t.spark, (zone, "regions"), f"{lake}-earlier/regions")
+    t.spark.sql(f"ALTER TABLE {zone}.regions SET TBLPROPERTIES ('{FOUND_BELOW}' = '{plain_path(lake)}')")
+    discover_tables(t.spark, lake, zone)
+    tables = t.spark.sql(f"SHOW TABLES IN {zone}").count()
+    frames = [
+        read_table(t.spark, (zone, name)).withColumns({"name": F.lit(name), "tables": F.lit(tables)}) for name in ("orders", "lines")
+    ]
+    both = union_by_name(frames)
+    return both.withColumns({"amount": F.col("amount").cast("double"), "part": F.col("part").cast("string")})
+
+
 @query("SELECT (SELECT count(*) FROM lineitem) AS found_rows, 0 AS missing_rows", name="parquet_row_count")
 def parquet_row_counts(t: Tables) -> DataFrame:
     found = parquet_row_count(t.spark, f"{t.folder}/lineitem.parquet")

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakezones.operators import dedup
+from lakezones.operators.compare import table_diff
+from lakezones.operators.intervals import join_windows
 from lakezones.operators.keys import surrogate_key as numbered
 from lakezones.operators.measures import preview
 from lakezones.operators.merge import check_cardinality, merge_frames
@@ -169,3 +171,46 @@ def backfill_worklist(t: Tables) -> DataFrame:
     first = t.lineitem.agg(F.min("l_shipdate")).scalar()
     last = t.lineitem.agg(F.max("l_shipdate")).scalar()
     return worklist(t.nation.select("n_nationkey", "n_name"), first, last)
+
+
+# Promotions of one to sixty days, and one of all times, for each priority: they overlap and leave gaps.
+PROMOTIONS = """
+SELECT c_custkey AS promotion, DATE '1995-01-01' + CAST(c_custkey * 17 % 2500 AS int) AS first_day,
+  DATE '1995-01-01' + CAST(c_custkey * 17 % 2500 + c_nationkey * 3 % 60 AS int) AS last_day FROM customer WHERE c_custkey % 5 = 0
+UNION ALL SELECT -1, DATE '1900-01-01', DATE '2100-01-01'
+UNION ALL SELECT -2, DATE '2000-01-01', DATE '1999-01-01'
+UNION ALL SELECT -3, NULL, DATE '2000-01-01'
+"""
+
+
+@query(f"""
+SELECT o_orderkey, o_orderdate, promotion, first_day, last_day FROM orders
+JOIN ({PROMOTIONS}) ON CAST(o_orderdate AS date) BETWEEN first_day AND last_day
+""")
+def events_in_windows(t: Tables) -> DataFrame:
+    return join_windows(
+        t.orders.select("o_orderkey", "o_orderdate"), "o_orderdate", t.sql(PROMOTIONS, "customer"), "first_day", "last_day"
+    )
+
+
+# Of a later state some orders are gone, some have another price, and some are new.
+LATER_ORDERS = """
+SELECT CASE WHEN o_orderkey % 101 = 0 THEN -o_orderkey - 1 ELSE o_orderkey END AS o_orderkey, o_custkey,
+  CASE WHEN o_orderkey % 211 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+  CASE WHEN o_orderkey % 307 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus
+FROM orders WHERE o_orderkey % 97 <> 0
+"""
+
+
+@query(f"""
+WITH before AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders), after AS ({LATER_ORDERS})
+SELECT coalesce(b.o_orderkey, a.o_orderkey) AS o_orderkey,
+  CASE WHEN b.o_orderkey IS NULL THEN 'inserted' WHEN a.o_orderkey IS NULL THEN 'deleted' ELSE 'updated' END AS status,
+  CASE WHEN b.o_orderkey IS NULL THEN 0 ELSE 1 END AS rows_before, CASE WHEN a.o_orderkey IS NULL THEN 0 ELSE 1 END AS rows_after
+FROM before b FULL JOIN after a ON b.o_orderkey = a.o_orderkey
+WHERE b.o_orderkey IS NULL OR a.o_orderkey IS NULL OR (b.o_custkey, b.o_totalprice, b.o_orderstatus) IS DISTINCT FROM
+  (a.o_custkey, a.o_totalprice, a.o_orderstatus)
+""", name="table_diff")
+def changed_orders(t: Tables) -> DataFrame:
+    before = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    return table_diff(before, t.sql(LATER_ORDERS, "orders"), ["o_orderkey"]).changes

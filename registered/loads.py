@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakezones.operators.dedup import deduplicate_latest
 from lakezones.operators.filters import is_empty, since
+from lakezones.operators.keys import surrogate_key
 from lakezones.operators.measures import max_watermark
 from lakezones.plans.backfill import backfill_orders, load_backfill, load_backfills
 from lakezones.plans.curated import load_curated
@@ -16,10 +18,11 @@ from lakezones.plans.raw_customers import latest_records, load_raw_customers, ra
 from lakezones.plans.refined_customers import load_refined_customers
 from lakezones.plans.runner import run_tables
 from lakezones.session import stage
-from lakezones.sinks.tables import append_partitions, create_table, merge_or_create
+from lakezones.sinks.tables import append_partitions, create_table, merge_or_create, table_location
 from lakezones.sources.pages import read_pages
 from lakezones.sources.tables import read_table
 from lakezones.specs import TableSpec
+from lakezones.streaming.latest import latest_by_state
 from lakezones.streaming.upserts import upsert_new_files
 from lakezones.streaming.watermark import WatermarkStore
 from registered.inputs import CHANGES, change_pages, landed, pages_of
@@ -177,6 +180,78 @@ def latest_customer_records(t: Tables) -> DataFrame:
     return ntz(latest_records(raw_records(change_pages(t), RUN_TIME)), "created", "Updated_On")
 
 
+# Times of change in several forms: with fractions and offsets, tied, or none at all.
+TIMED = f"""
+SELECT o_orderkey, o_custkey, o_orderdate, customer_id, created,
+  CASE WHEN o_orderpriority = '5-LOW' THEN 'unknown'
+       WHEN o_orderpriority = '4-NOT SPECIFIED' THEN substr(updated, 1, 10) || 'T00:00:00.500Z'
+       WHEN o_orderpriority = '3-MEDIUM' THEN substr(updated, 1, 10) || 'T02:00:00+02:00'
+       ELSE updated END AS updated,
+  CAST(o_orderdate AS timestamp) + CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN INTERVAL '0.5' SECOND ELSE INTERVAL '0' SECOND END AS time,
+  o_orderpriority, content
+FROM (SELECT o.*, o_orderpriority AS p FROM ({CHANGES}) AS o) AS changes
+"""
+TIMED_RECORDS = f"""
+SELECT *, '{{"id":' || CAST(customer_id AS string) || ',"createdAt":"' || CAST(created AS string) || 'T00:00:00Z","updatedAt":"' || updated
+  || '","lastOrder":' || CAST(o_orderkey AS string) || '}}' AS record FROM ({TIMED}) AS timed WHERE customer_id IS NOT NULL
+"""
+
+
+@query(f"""
+SELECT row_number() OVER (ORDER BY created, customer_id) AS customer_key, customer_id, CAST(created AS timestamp) AS created, updated,
+  record AS content, TIMESTAMP '2024-02-01 06:30:00' AS updated_on, CAST(2 AS bigint) AS orders_of_arrival
+FROM (SELECT *, row_number() OVER (PARTITION BY customer_id
+    ORDER BY CASE WHEN updated <> 'unknown' THEN time END DESC NULLS LAST, record DESC) AS r
+  FROM ({TIMED_RECORDS}) WHERE created >= DATE '1970-01-01') WHERE r = 1
+""")
+def raw_customers_times(t: Tables) -> DataFrame:
+    """The records arrive in two loads, in either order, and again: the tables are the same."""
+    records = stage(t.sql(TIMED_RECORDS, "orders", "customer").select("o_orderkey", "record"), "timed")
+    odd = F.col("o_orderkey") % 2 == 1
+    found = []
+    for loads in ((records.filter(odd), records.filter(~odd), records), (records.filter(~odd), records.filter(odd))):
+        table, state = (t.database(), "customers"), WatermarkStore(t.spark, t.path("state"))
+        for load in loads:
+            pages = read_pages(t.spark, landed(t, pages_of(load, "o_orderkey", "record", t.orders)))
+            load_raw_customers(pages, table, state, RUN_TIME, full=True)
+        found.append(t.spark.table(".".join(table)))
+    # Customers are numbered as they come, so that only their numbers tell the orders of arrival apart.
+    rest = [name for name in found[0].columns if name != "customer_key"]
+    both = found[0].select(rest).unionByName(found[1].select(rest)).groupBy(rest).agg(F.count("*").alias("orders_of_arrival"))
+    numbered = surrogate_key(both, ["created", "customer_id"])
+    return ntz(numbered, "created", "updated_on")
+
+
+# Old orders of the lowest priority land late, and some orders land again.
+@query("""
+WITH landed AS (SELECT *, o_orderpriority = '5-LOW' OR o_orderdate >= TIMESTAMP '1999-01-01' AS second FROM orders),
+latest AS (SELECT * EXCLUDE (r, second) FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r
+  FROM landed) WHERE r = 1),
+bound AS (SELECT max(o_orderdate) - INTERVAL 30 DAY AS day FROM landed WHERE NOT second)
+SELECT *, (SELECT count(*) FROM landed, bound WHERE second AND o_orderdate < day)
+  + (SELECT count(*) FROM landed, bound WHERE NOT second AND o_orderkey % 3 = 0 AND o_orderdate < day) AS late, CAST(2 AS bigint) AS writes FROM latest
+""")
+def stream_latest_state(t: Tables) -> DataFrame:
+    table, landing, checkpoint = (t.database(), "latest_orders"), t.path("landing"), t.path("checkpoint")
+    state, late = WatermarkStore(t.spark, t.path("state")), 0
+    second = (F.col("o_orderpriority") == "5-LOW") | (F.col("o_orderdate") >= F.lit(date(1999, 1, 1)))
+    again = ~second & (F.col("o_orderkey") % 3 == 0)
+    writes = set()
+    # The third run finds nothing new, the fourth only what has landed before: neither writes the table.
+    for arrived in (t.orders.filter(~second), t.orders.filter(second | again), None, t.orders.filter(second)):
+        if arrived is not None:
+            arrived.write.mode("append").parquet(landing)
+        report = latest_by_state(
+            t.spark, landing, t.orders.schema, lambda rows: rows, table, ["o_custkey"], "o_orderdate", checkpoint,
+            state, "orders", ties=["o_orderkey"], delay="30 days", file_format="parquet",
+        )
+        late += report.late if len(writes) < 2 else 0
+        writes.add(table_location(t.spark, table))
+    return read_table(t.spark, table).withColumns(
+        {"late": F.lit(late).cast("bigint"), "writes": F.lit(len(writes)).cast("bigint")}
+    )
+
+
 # The newest changes land first, one file to a batch.
 @query("""
 SELECT * EXCLUDE r FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders)
@@ -206,7 +281,7 @@ def stream_upserts(t: Tables) -> DataFrame:
         pages_of(arrived, "o_orderkey", "content", t.orders).write.mode("append").text(landing)
         upsert_new_files(
             t.spark, landing, "doc string", lambda pages: raw_records(pages, RUN_TIME), table, ["customer_id"],
-            "updated", checkpoint, ties=["Content"],
+            "updated", checkpoint, ties=["Content"], times=["updated"],
         ).awaitTermination()
     return ntz(read_table(t.spark, table), "created", "Updated_On")
 
@@ -253,3 +328,37 @@ def run_several_tables(t: Tables) -> DataFrame:
         for name in ("customer", "supplier")
     ]
     return counts[0].unionByName(counts[1])
+
+
+# Two tables at once: one fails the first time, one always, and one whose jobs would take too long is cancelled.
+@query("""
+SELECT 'customer' AS name, count(*) AS "rows", 2 AS tries, 'TableTimeout,ValueError' AS failures FROM customer
+UNION ALL SELECT 'supplier', count(*), 1, 'TableTimeout,ValueError' FROM supplier
+""")
+def run_tables_at_once(t: Tables) -> DataFrame:
+    zone, tries = t.database(), Counter()
+
+    def load(spec: TableSpec) -> None:
+        tries[spec.name] += 1
+        if spec.name == "part" or (spec.name == "customer" and tries[spec.name] == 1):
+            raise ValueError("the source does not answer")
+        if spec.name == "orders":
+            # Every task of this job sleeps; it ends as it is cancelled.
+            slow = F.reflect(F.lit("java.lang.Thread"), F.lit("sleep"), F.lit(100).cast("bigint"))
+            t.orders.select(slow.alias("slept")).write.format("noop").mode("overwrite").save()
+        create_table(getattr(t, spec.name), (zone, spec.name))
+
+    specs = [TableSpec(name) for name in ("orders", "customer", "part", "supplier")]
+    failures = []
+    try:
+        run_tables(specs, load, at_most=2, retries=1, first_wait=0.1, timeout=20)
+    except ExceptionGroup as group:
+        failures = sorted(type(error).__name__ for error in group.exceptions)
+    counts = [
+        read_table(t.spark, (zone, name)).agg(
+            F.lit(name).alias("name"), F.count("*").alias("rows"), F.lit(tries[name]).alias("tries"),
+            F.lit(",".join(failures)).alias("failures"),
+        )
+        for name in ("customer", "supplier")
+    ]
+    return counts[0].unionByName(counts[1])

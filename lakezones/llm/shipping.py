@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 import lakezones
 from lakezones import prepare_session
-from lakezones.llm.text import filesystem
+from lakezones.llm.text import filesystem, shared_folder
 from lakezones.session import scratch_path
 
 
@@ -39,7 +39,7 @@ def _send(application: str) -> None:
     with zipfile.ZipFile(packed, "w") as archive:
         for path in sorted(root.rglob("*.py")):
             archive.write(path, path.relative_to(root.parent))
-    folder = scratch_path(spark, "code")
+    folder = shared_folder(spark, scratch_path(spark, "code"))
     store, name = filesystem(folder)
     store.create_dir(name, recursive=True)
     with store.open_output_stream(f"{name}/lakezones.zip", compression=None) as out:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pyarrow.fs as pafs
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # The ASCII white space that separates words, as characters and as a pattern.
@@ -88,6 +88,18 @@ class Remembered:
         return packed
 
 
+def shared_folder(spark: SparkSession, folder: str) -> str:
+    """``folder`` with the scheme of its store.
+
+    Spark takes a path without scheme to be in its default store, a task that opens files by itself
+    takes it to be on its own disk; with the scheme both mean the same place.
+    """
+    if ":/" in folder:
+        return folder
+    store = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+    return folder if store.startswith("file:") else store.rstrip("/") + "/" + folder.lstrip("/")
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """The store and the path in it, for tasks that read and write files of their own format."""
     if ":/" not in uri:

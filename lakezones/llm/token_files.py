@@ -7,7 +7,7 @@ and the ids of the documents (``.docs``, signed 64-bit, with the smallest one fo
 little-endian. Documents are in ascending order of doc_id within and across parts.
 
 Each task writes one part and reports its sizes; prefix sums over the reports, one number per
-part, give the place of every part in the whole. The files that count are those of the staged
+part, give the place of every part in the whole. Parts are read back in pieces, by as many tasks. The files that count are those of the staged
 report, so that a second attempt of a task does no harm.
 
 Ids come from the tokenizer library, which is run once for each distinct word of a task: it
@@ -28,16 +28,17 @@ import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
+from string import ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lakezones.llm.text import Remembered, filesystem, whole
+from lakezones.llm.text import Remembered, filesystem, shared_folder, whole
 from lakezones.session import scratch_path, stage
 
 END_ID = 2
@@ -47,6 +48,12 @@ WORDS = re.compile("[^ \t\n\x0b\x0c\r]+")
 # Marks that are never merged with letters before them.
 MARKS = ".,;:!?"
 
+# Documents, or ids, that one task reads back.
+PIECE_DOCUMENTS = 1 << 16
+PIECE_IDS = 1 << 24
+# Read tasks at most; beyond, a task reads several pieces.
+MOST_TASKS = 100_000
+
 REMEMBERED_WORDS = 500_000
 REMEMBERED_LENGTH = 64
 
@@ -65,15 +72,20 @@ class WordEncoder:
         self.tokenizer.no_padding()
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        # Only where capitals make no difference are words that differ in them the same.
+        self.folds = all(self._ids(letter) == self._ids(letter.lower()) for letter in ascii_uppercase)
         self.known = Remembered(REMEMBERED_WORDS, REMEMBERED_LENGTH, self._packed)
 
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
     def _packed(self, word: str) -> bytes:
         """Words that differ in capitals or in a mark behind them are encoded once."""
         if word[-1] in MARKS and word[:-1].isalpha():
             return b"".join(self.known.all([word[:-1], word[-1]]))
-        if word.isascii() and word.isalpha() and not word.islower():
+        if self.folds and word.isascii() and word.isalpha() and not word.islower():
             return b"".join(self.known.all([word.lower()]))
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.dtype).tobytes()
+        return np.array(self._ids(word), self.dtype).tobytes()
 
     def encode(self, text: str) -> bytes:
         return b"".join(self.known.all(WORDS.findall(text)))
@@ -172,17 +184,17 @@ class _Mapped:
 
 
 def read_parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each document of the parts: its id, where its ids start, their number and checksum."""
+    """A row for each document of the pieces: its id, where its ids start, their number and checksum."""
     number, place = np.dtype("<i8"), np.dtype("<u8")
     names = [part.split()[0] for part in ROWS.split(", ")]
     for batch in batches:
         for part in batch.to_pylist():
-            dtype = np.dtype(f"<u{part['width']}")
+            dtype, stop = np.dtype(f"<u{part['width']}"), part["first"] + part["count"]
             with _Mapped(part["path"] + ".ids") as ids, _Mapped(part["path"] + ".offsets") as offsets, _Mapped(
                 part["path"] + ".docs"
             ) as docs:
-                for at in range(0, part["documents"], BATCH_ROWS):
-                    last = min(at + BATCH_ROWS, part["documents"])
+                for at in range(part["first"], stop, BATCH_ROWS):
+                    last = min(at + BATCH_ROWS, stop)
                     doc_ids = docs.values(number, at, last)
                     places = offsets.values(place, at, last + 1).astype("i8")
                     sums = [
@@ -198,12 +210,40 @@ def read_parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     )
 
 
-def read_token_files(parts: DataFrame) -> DataFrame:
-    """doc_id, start (ids of all documents before it), n_tokens and ids_crc32, from the files."""
-    return parts.repartition("part").mapInArrow(read_parts, ROWS)
+def pieces_of(parts: DataFrame, documents: int = PIECE_DOCUMENTS, ids: int = PIECE_IDS) -> DataFrame:
+    """The parts cut into pieces of about equal numbers of documents: ``first``, ``count`` and the number of the piece."""
+    number = F.greatest(
+        F.ceil(F.col("documents") / documents), F.least(F.ceil(F.col("ids") / ids), F.col("documents"))
+    ).cast("bigint")
+    # One row per part, at most spark.sql.shuffle.partitions of them.
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counted = parts.withColumn("pieces", number).withColumn("earlier", F.coalesce(F.sum("pieces").over(before), F.lit(0)))
+    cut = counted.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1)))
+
+    def start(piece: Column) -> Column:
+        return F.floor(F.col("documents") * piece / F.col("pieces")).cast("bigint")
+
+    return cut.select(
+        "path", "width", "base", (F.col("earlier") + F.col("piece")).alias("number"), start(F.col("piece")).alias("first"),
+        (start(F.col("piece") + 1) - start(F.col("piece"))).alias("count"),
+    )
+
+
+def read_token_files(parts: DataFrame, documents: int = PIECE_DOCUMENTS, ids: int = PIECE_IDS) -> DataFrame:
+    """doc_id, start (ids of all documents before it), n_tokens and ids_crc32, from the files.
+
+    Each piece is read by a task of its own: the tasks are numbered, as adaptive execution would merge
+    the few small rows that name them.
+    """
+    pieces = pieces_of(parts, documents, ids)
+    tasks = min(pieces.count(), MOST_TASKS)
+    if not tasks:
+        return parts.sparkSession.createDataFrame([], ROWS)
+    dealt = pieces.repartitionById(tasks, (F.col("number") % tasks).cast("int"))
+    return dealt.mapInArrow(read_parts, ROWS)
 
 
 def round_trip(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """Write the token files in the shared folder and read them back."""
-    folder = scratch_path(docs.sparkSession, "token-files")
+    folder = shared_folder(docs.sparkSession, scratch_path(docs.sparkSession, "token-files"))
     return read_token_files(write_token_files(docs, folder, path, end_id))

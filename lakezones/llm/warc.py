@@ -5,9 +5,9 @@ is stored once, by the row with the smallest id; the others become revisit recor
 it. A record whose block is longer than a segment goes on in continuation records, and response
 bodies are framed as HTTP chunks. Each task streams its rows to a file of its own in the shared
 folder and reports the file; the files that count are those of the staged report, so that a
-second attempt of a task does no harm.
+second attempt of a task does no harm. Files are listed in stretches of whole records.
 
-Reading: files are streamed record by record. Complete records are decoded where they are read;
+Reading: each stretch is streamed record by record, by a task of its own. Complete records are decoded where they are read;
 segments are grouped by the identifier of their origin record, put in order by segment number,
 and checked against the total length before the chunks are decoded. A task holds one record at
 a time.
@@ -27,12 +27,11 @@ import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakezones.llm.text import filesystem, whole
+from lakezones.llm.text import filesystem, shared_folder, whole
 from lakezones.session import scratch_path, stage
 
 MIN_SHARED = 100
@@ -41,6 +40,9 @@ MIN_SHARED = 100
 SEGMENT_BYTES = 32 << 10
 CHUNK_BYTES = 8 << 10
 FILE_BYTES = 1 << 30
+# Bytes of a file that one task reads, and read tasks at most.
+STRETCH_BYTES = 64 << 20
+MOST_TASKS = 100_000
 
 # Row identifiers up to this number are broadcast (at most about 120 bytes each).
 BROADCAST_ROWS = 200_000
@@ -51,7 +53,7 @@ DATE = "2024-01-01T00:00:00Z"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-FILES = "path string, records bigint"
+FILES = "path string, start bigint, length bigint, records bigint"
 RECORDS = (
     "origin string, segment int, total_length bigint, record_type string, page_id bigint, refers_to bigint, "
     "payload_bytes bigint, payload_digest string, block binary"
@@ -168,11 +170,12 @@ def members(record_id: str, page_id, url, payload: bytes, digest: str, refers_to
 
 @dataclass(frozen=True)
 class Writer:
-    """Writes the rows of a task to files below ``folder`` and yields one row per file."""
+    """Writes the rows of a task to files below ``folder`` and yields one row for each stretch of a file."""
 
     folder: str
     segment_bytes: int = SEGMENT_BYTES
     file_bytes: int = FILE_BYTES
+    stretch_bytes: int = STRETCH_BYTES
 
     def __call__(self, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, folder = filesystem(self.folder)
@@ -180,24 +183,48 @@ class Writer:
         rows = (row for batch in batches for row in batch.to_pylist())
         row = next(rows, None)
         while row is not None:
-            name, records, size = f"{uuid.uuid4()}.warc.gz", 0, 0
+            name, stretches, size = f"{uuid.uuid4()}.warc.gz", [[0, 0, 0]], 0
             with store.open_output_stream(f"{folder}/{name}", compression=None) as out:
                 while row is not None and size < self.file_bytes:
+                    if stretches[-1][1] >= self.stretch_bytes:
+                        stretches.append([size, 0, 0])
                     for member in members(
                         str(uuid.uuid4()), row["page_id"], row["url"], row["payload"], row["digest"],
                         row["refers_to"], self.segment_bytes,
                     ):
                         out.write(member)
                         size += len(member)
-                    records += 1
+                    stretches[-1][1] = size - stretches[-1][0]
+                    stretches[-1][2] += 1
                     row = next(rows, None)
-            yield pa.RecordBatch.from_pylist([{"path": f"{self.folder}/{name}", "records": records}])
+            named = [dict(zip(("start", "length", "records"), one), path=f"{self.folder}/{name}") for one in stretches]
+            yield pa.RecordBatch.from_pylist(named, _arrow_schema(FILES))
+
+
+def write_warc(
+    rows: DataFrame,
+    folder: str,
+    segment_bytes: int = SEGMENT_BYTES,
+    file_bytes: int = FILE_BYTES,
+    stretch_bytes: int = STRETCH_BYTES,
+) -> DataFrame:
+    """Write what ``with_storage`` gives; the staged list of files, cut into stretches of whole records."""
+    rows = rows.select("page_id", "url", "payload", "digest", "refers_to")
+    writer = Writer(shared_folder(rows.sparkSession, folder), segment_bytes, file_bytes, stretch_bytes)
+    return stage(rows.mapInArrow(writer, FILES), "warc-files")
 
 
-def write_warc(rows: DataFrame, folder: str, segment_bytes: int = SEGMENT_BYTES, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Write what ``with_storage`` gives; the staged list of files."""
-    rows = rows.select("page_id", "url", "payload", "digest", "refers_to")
-    return stage(rows.mapInArrow(Writer(folder, segment_bytes, file_bytes), FILES), "warc-files")
+class _Stretch:
+    """The bytes of a file from ``start`` on, ``length`` of them."""
+
+    def __init__(self, file, start: int, length: int):
+        self.file, self.left = file, length
+        file.seek(start)
+
+    def read(self, size: int) -> bytes:
+        data = self.file.read(min(size, self.left))
+        self.left -= len(data)
+        return data
 
 
 class _Unpacked:
@@ -294,20 +321,20 @@ def _checked(payload: bytes, digest: str) -> dict:
     return {"payload_bytes": len(payload), "payload_digest": found}
 
 
-def _arrow_schema() -> pa.Schema:
+def _arrow_schema(columns: str) -> pa.Schema:
     types = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
-    return pa.schema([(name, types[kind]) for name, kind in (part.split() for part in RECORDS.split(", "))])
+    return pa.schema([(name, types[kind]) for name, kind in (part.split() for part in columns.split(", "))])
 
 
 def read_files(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The records of the files named in ``path``."""
-    schema = _arrow_schema()
+    """The records of the stretches of files."""
+    schema = _arrow_schema(RECORDS)
     for batch in batches:
-        for path in batch.column("path").to_pylist():
-            store, name = filesystem(path)
+        for listed in batch.to_pylist():
+            store, name = filesystem(listed["path"])
             rows, size = [], 0
-            with store.open_input_stream(name, compression=None) as stream:
-                for headers, block in records_of(stream):
+            with store.open_input_file(name) as file:
+                for headers, block in records_of(_Stretch(file, listed["start"], listed["length"])):
                     row = _described(headers, block)
                     rows.append(row)
                     size += 300 + len(row["block"] or b"")
@@ -318,36 +345,42 @@ def read_files(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
 
-def reassembled(segments: pd.DataFrame) -> pd.DataFrame:
+RESULT = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
+COLUMNS = [part.split()[0] for part in RESULT.split(", ")]
+
+
+def reassembled(segments: pa.Table) -> pa.Table:
     """One record from the segments of one origin."""
-    segments = segments.sort_values("segment")
-    numbers, first, last = segments["segment"].tolist(), segments.iloc[0], segments.iloc[-1]
+    rows = segments.sort_by("segment").to_pylist()
+    numbers, first, last = [row["segment"] for row in rows], rows[0], rows[-1]
     if numbers != list(range(1, len(numbers) + 1)):
         raise BrokenRecordError(f"record {first['origin']} has the segments {numbers[:20]}")
-    block = b"".join(segments["block"])
-    if pd.isna(last["total_length"]) or len(block) != last["total_length"]:
+    block = b"".join(row["block"] for row in rows)
+    if last["total_length"] is None or len(block) != last["total_length"]:
         raise BrokenRecordError(f"record {first['origin']} has {len(block)} bytes, not {last['total_length']}")
-    row = {name: first[name] for name in ("record_type", "page_id", "refers_to")}
-    return pd.DataFrame([row | _checked(payload_of(block), first["payload_digest"])])
-
-
-RESULT = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    row = first | _checked(payload_of(block), first["payload_digest"])
+    return pa.Table.from_pylist([{name: row[name] for name in COLUMNS}], _arrow_schema(RESULT))
 
 
 def read_warc(files: DataFrame) -> DataFrame:
-    """Every record of the listed files: page_id, payload_bytes, payload_digest, record_type, refers_to."""
-    records = files.select("path").repartition("path").mapInArrow(read_files, RECORDS)
-    complete = records.filter("segment IS NULL").select(*RESULT)
-    parts = records.filter("segment IS NOT NULL").select("origin", "segment", "total_length", *RESULT, "block")
-    schema = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
-    return complete.unionByName(parts.groupBy("origin").applyInPandas(_in_order, schema))
-
-
-def _in_order(segments: pd.DataFrame) -> pd.DataFrame:
-    return reassembled(segments)[RESULT].astype({"page_id": "Int64", "refers_to": "Int64"})
+    """Every record of the listed files: page_id, payload_bytes, payload_digest, record_type, refers_to.
+
+    Each stretch is read by a task of its own: the tasks are numbered, as adaptive execution would
+    merge the few small rows that name them. Ids are never taken for floating point numbers.
+    """
+    tasks = min(files.count(), MOST_TASKS)
+    if not tasks:
+        return files.sparkSession.createDataFrame([], RESULT)
+    # One row per stretch.
+    number = F.row_number().over(Window.orderBy("path", "start")) - 1
+    numbered = files.select("path", "start", "length", (number % tasks).cast("int").alias("task"))
+    records = numbered.repartitionById(tasks, F.col("task")).mapInArrow(read_files, RECORDS)
+    complete = records.filter("segment IS NULL").select(*COLUMNS)
+    parts = records.filter("segment IS NOT NULL").select("origin", "segment", "total_length", *COLUMNS, "block")
+    return complete.unionByName(parts.groupBy("origin").applyInArrow(lambda segments: reassembled(segments), RESULT))
 
 
 def round_trip(pages: DataFrame, segment_bytes: int = SEGMENT_BYTES, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write the pages to archives in the shared folder and read these back."""
-    folder = scratch_path(pages.sparkSession, "warc")
+    folder = shared_folder(pages.sparkSession, scratch_path(pages.sparkSession, "warc"))
     return read_warc(write_warc(with_storage(pages), folder, segment_bytes, file_bytes))

@@ -4,6 +4,7 @@ import hashlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakezones.llm import url_filters, warc
 from lakezones.llm.queries import RULES
@@ -125,6 +126,30 @@ def test_shuffled_revisits_agree(pages, monkeypatch):
     assert sorted(map(str, map(tuple, warc.round_trip(pages(rows)).collect()))) == expected_records(rows)
 
 
+def test_ids_beyond_floating_point_survive_segments(pages):
+    rows = [(2**53 + 1, "u", "x" * 50_000), (2**53 + 3, "u", "x" * 50_000), (2**62 + 1, "u", "y" * 50_000), (None, "u", "z" * 50_000)]
+    found = warc.round_trip(pages(rows), 1000).collect()
+    assert sorted(map(str, map(tuple, found))) == expected_records(rows)
+    assert {row.refers_to for row in found} == {None, 2**53 + 1}
+
+
+def tasks_of(df):
+    """The number of tasks that give rows."""
+    return df.select(F.spark_partition_id().alias("task")).distinct().count()
+
+
+def test_files_are_read_by_many_tasks(pages, tmp_path):
+    rows = [(i, "u", f"{i} " * 400) for i in range(64)]
+    files = warc.write_warc(warc.with_storage(pages(rows).repartition(8)), str(tmp_path / "out"), 1 << 20, 1)
+    assert files.count() == 64 and tasks_of(warc.read_warc(files)) == 64
+    # One file is read in stretches.
+    one = warc.write_warc(warc.with_storage(pages(rows).coalesce(1)), str(tmp_path / "one"), 1 << 20, 1 << 30, 1000)
+    assert one.select("path").distinct().count() == 1 and one.count() > 8
+    found = warc.read_warc(one)
+    assert tasks_of(found) == one.count()
+    assert sorted(map(str, map(tuple, found.collect()))) == expected_records(rows)
+
+
 def test_files_hold_standard_records(pages, tmp_path):
     rows = [(1, "http://x/1", "p" * 3000), (2, "http://x/2", "p" * 3000), (3, "http://x/3", "q")]
     files = warc.write_warc(warc.with_storage(pages(rows)), str(tmp_path / "out"), 1000)
@@ -157,20 +182,21 @@ def test_broken_chunks(body):
 
 
 def test_broken_segments_and_files():
-    import pandas as pd
+    import pyarrow as pa
 
     block = warc.HTTP_HEAD + warc.chunked(b"abc")
     digest = hashlib.sha256(b"abc").hexdigest()
 
     def parts(numbers, total):
         size = -(-len(block) // 3)
-        return pd.DataFrame(
+        return pa.Table.from_pylist(
             [{"origin": "o", "segment": n, "total_length": total if n == 3 else None, "record_type": "response" if n == 1 else "continuation",
               "page_id": 1 if n == 1 else None, "refers_to": None, "payload_digest": digest, "block": block[(n - 1) * size : n * size]}
-             for n in numbers]
+             for n in numbers],
+            warc._arrow_schema(warc.RECORDS),
         )
 
-    assert warc.reassembled(parts([3, 1, 2], len(block)))["payload_bytes"].tolist() == [3]
+    assert warc.reassembled(parts([3, 1, 2], len(block)))["payload_bytes"].to_pylist() == [3]
     for broken in (parts([1, 3], len(block)), parts([1, 2], None), parts([2, 3], len(block)), parts([1, 2, 3], len(block) + 1)):
         with pytest.raises(warc.BrokenRecordError):
             warc.reassembled(broken)

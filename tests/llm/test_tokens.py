@@ -6,6 +6,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lakezones.llm import bpe, token_counts, token_files
@@ -144,3 +145,24 @@ def test_file_layout(spark, docs, tmp_path):
 def test_only_the_most_common_pretokens_are_broadcast(spark, docs):
     pieces = token_counts.piece_table(docs([(1, "a b a\nc"), (2, "a")]), PIECE)
     assert {row["pretoken"]: row["times"] for row in pieces.collect()} == {"▁a": 3, "▁b": 1, "\n": 1, "c": 1}
+
+
+def test_token_files_are_read_by_many_tasks(docs, tmp_path):
+    rows = [(i, f"Text number {i} " * (i % 7)) for i in range(300)]
+    parts = token_files.write_token_files(docs(rows), str(tmp_path / "files"), WORD)
+    whole = sorted(map(tuple, token_files.read_token_files(parts).collect()))
+    cut = token_files.read_token_files(parts, documents=4)
+    assert sorted(map(tuple, cut.collect())) == whole
+    assert cut.select(F.spark_partition_id().alias("task")).distinct().count() >= 64
+    # A few long documents are cut by their ids.
+    assert sorted(map(tuple, token_files.read_token_files(parts, ids=10).collect())) == whole
+
+
+def test_capitals_count_where_the_vocabulary_says_so():
+    from tokenizers import Tokenizer, models, normalizers
+
+    library = Tokenizer(models.WordLevel({"Ab": 0, "ab": 1, "A": 2, "a": 3, "[UNK]": 4}, unk_token="[UNK]"))
+    library.normalizer = normalizers.Replace("x", "x")
+    words = token_files.WordEncoder(library.to_str())
+    assert not words.folds and words.encode("Ab ab") != words.encode("ab ab")
+    assert token_files.encoder(WORD).folds

@@ -6,10 +6,10 @@ Groups are the connected components of all links.
 1. A task turns each text into its set of shingle hashes, and that into a signature: for each of
    ``COORDINATES`` hash functions the least value over the set. Equal sets become one node.
 2. A node is posted under each pair of coordinate and value. Postings of one node alone are
-   dropped. A link has at least ``LEAST_MATCHES`` common postings but for a chance of about one in
-   50,000 at the threshold, so nodes with fewer shared postings are dropped too, and of the
+   dropped. A link has at least ``least_matches`` common postings but for the chance ``MISS`` at
+   the threshold, whatever the threshold is, so nodes with fewer shared postings are dropped too, and of the
    others only a prefix is looked at: with the postings ordered by how common they are, rare
-   ones first, two nodes with so many in common share one among the first ``n - LEAST_MATCHES + 1``.
+   ones first, two nodes with so many in common share one among the first ``n - least_matches + 1``.
 3. In each posting list, every node is paired with the least one. Of these pairs, those of
    compatible size with enough matching coordinates are confirmed on the full sets, and joined to
    first components. In a group of copies that is nearly all the work, and it is linear.
@@ -50,7 +50,8 @@ WIDTH = 5
 SIMILARITY = 80  # per cent
 
 COORDINATES = 64
-LEAST_MATCHES = 37
+# The chance that a pair exactly at the threshold has fewer matches than asked for.
+MISS = 2e-5
 SEED = 11
 
 # Nodes in one part of a posting list, and of a hub with many candidates.
@@ -69,7 +70,23 @@ BROADCAST_NODES = 300_000
 REMEMBERED_WORDS = 150_000
 WORDS_AT_ONCE = 500_000
 
-_MASK = (1 << 64) - 1
+def least_matches(similarity: int) -> int:
+    """The number of matching coordinates that a pair of this similarity (per cent) reaches but for ``MISS``.
+
+    Coordinates match independently with the similarity as their chance; 37 of 64 for 80 per cent.
+    """
+    if not 1 <= similarity <= 100:
+        raise ValueError("the similarity is a percentage from 1 to 100")
+    share, missed = similarity / 100, 0.0
+    for matches in range(COORDINATES + 1):
+        missed += math.comb(COORDINATES, matches) * share**matches * (1 - share) ** (COORDINATES - matches)
+        if missed > MISS:
+            if matches == 0:
+                break
+            return matches
+    if similarity == 100:
+        return COORDINATES
+    raise ValueError(f"{COORDINATES} coordinates do not tell pairs of similarity {similarity} apart")
 
 
 class _WordHashes(dict):
@@ -209,7 +226,7 @@ def classes(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     return rows, stage(nodes, "dedup-nodes")
 
 
-def prefixes(nodes: DataFrame) -> DataFrame:
+def prefixes(nodes: DataFrame, similarity: int) -> DataFrame:
     """posting, node, coordinate of the prefix of every node that can have a link. Staged."""
     postings = nodes.select("node", "signature").mapInArrow(Post(), "posting bigint, node bigint, coordinate int")
     common = postings.groupBy("posting").agg(F.count("*").alias("nodes")).filter("nodes > 1")
@@ -217,7 +234,7 @@ def prefixes(nodes: DataFrame) -> DataFrame:
     entry = F.struct("nodes", "posting", "coordinate")
     # At most COORDINATES entries of a node.
     ordered = shared.groupBy("node").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-    length = F.size("entries") - (LEAST_MATCHES - 1)
+    length = F.size("entries") - (least_matches(similarity) - 1)
     kept = ordered.filter(length > 0).select("node", F.explode(F.slice("entries", 1, length)).alias("entry"))
     return stage(kept.select("entry.posting", "node", "entry.coordinate"), "prefixes")
 
@@ -231,7 +248,7 @@ def star_pairs(postings: DataFrame, nodes: DataFrame, similarity: int) -> DataFr
     """Each node with the least one of its posting lists: ``a``, ``b``, if size and matches allow."""
     least = postings.groupBy("posting").agg(F.min("node").alias("b"))
     pairs = postings.join(least, "posting").filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
-    return with_matches(pairs, nodes, similarity).filter(F.col("matches") >= LEAST_MATCHES).select("a", "b")
+    return with_matches(pairs, nodes, similarity).filter(F.col("matches") >= least_matches(similarity)).select("a", "b")
 
 
 def with_matches(pairs: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
@@ -283,10 +300,13 @@ def family_blocks(members: DataFrame) -> DataFrame:
     return meeting.select(block.alias("block"), "node", side.alias("part"), "component")
 
 
-def confirmed(blocks: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, similarity: int) -> DataFrame:
+def confirmed(
+    blocks: DataFrame, docs: DataFrame, nodes: DataFrame, repeated: DataFrame, width: int, similarity: int
+) -> DataFrame:
     """Links ``a``, ``b`` that join all nodes of different components with similar full sets in each block.
 
-    ``blocks``: block, node, part (0 and 1 meet, 2 meets all), component; staged.
+    ``blocks``: block, node, part (0 and 1 meet, 2 meets all), component; staged. ``repeated``: the
+    doc_id and text_hash that several rows share; staged.
     """
     named_nodes = nodes.select("node", "digest", F.col("doc_id").alias("of"), F.col("text_hash").alias("of_hash"))
     wanted = blocks.join(named_nodes, "node")
@@ -294,7 +314,14 @@ def confirmed(blocks: DataFrame, docs: DataFrame, nodes: DataFrame, width: int,
     if not small:
         wanted = wanted.repartition("of_hash")
     same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash"))
-    named = named_texts(docs).join(F.broadcast(wanted) if small else wanted, same)
+    # Of rows that share id and text one is enough. Each task first cuts them to one.
+    often = repeated.withColumns({"of": F.col("doc_id"), "of_hash": F.col("text_hash")}).select("of", "of_hash")
+    texts = named_texts(docs)
+    if not often.isEmpty():
+        single = texts.join(often, same, "left_anti")
+        once = texts.join(often, same, "left_semi").groupBy("doc_id", "text_hash", F.sha2("text", 256)).agg(F.first("text").alias("text"))
+        texts = single.unionByName(once.select("doc_id", "text", "text_hash"))
+    named = texts.join(F.broadcast(wanted) if small else wanted, same)
     sets = named.select("block", "node", "part", "component", "digest", "text").mapInArrow(MakeSets(width), MEMBERS)
     confirm = Confirm(similarity)
     return sets.groupBy("block").applyInPandas(lambda block: confirm(block), "a bigint, b bigint")
@@ -385,13 +412,14 @@ def common_sizes(sets: list[np.ndarray]) -> np.ndarray:
     _, element = np.unique(element, return_inverse=True)
     order = np.argsort(element, kind="stable")
     owner, element = owner[order], element[order]
-    total = np.zeros((len(sets), len(sets)), np.float32)
+    total = np.zeros((len(sets), len(sets)), np.int64)
     for first in range(0, int(element[-1]) + 1 if len(element) else 0, SLAB):
         low, high = np.searchsorted(element, [first, first + SLAB])
         members = np.zeros((len(sets), SLAB), np.float32)
         members[owner[low:high], element[low:high] - first] = 1
-        total += members @ members.T
-    return total.astype(np.int64)
+        # A slab counts at most SLAB, which is exact.
+        total += (members @ members.T).astype(np.int64)
+    return total
 
 
 def similar(a: np.ndarray, b: np.ndarray, similarity: int) -> bool:
@@ -411,7 +439,7 @@ class CompareBlock:
 
     def __call__(self, rows: pd.DataFrame) -> pd.DataFrame:
         node, component, leader = rows["node"].to_numpy(), rows["component"].to_numpy(), rows["leader"].iloc[0]
-        size, side = rows["n_shingles"].to_numpy(), rows["side"].to_numpy()
+        size, side, least = rows["n_shingles"].to_numpy(), rows["side"].to_numpy(), least_matches(self.similarity)
         sign = _signature_matrix(rows["signature"])
         group = pd.factorize(component)[0]
         found = []
@@ -422,7 +450,7 @@ class CompareBlock:
             others = others[np.minimum(size[others], size[i]) * 100 >= np.maximum(size[others], size[i]) * self.similarity]
             if node[i] == leader or not len(others):
                 continue
-            others = others[(sign[others] == sign[i]).sum(1) >= LEAST_MATCHES]
+            others = others[(sign[others] == sign[i]).sum(1) >= least]
             if len(others):
                 _, firsts = np.unique(group[others], return_index=True)
                 found.extend((component[i], component[others[k]]) for k in firsts)
@@ -459,12 +487,18 @@ def open_families(postings: DataFrame, nodes: DataFrame, groups: DataFrame, simi
     return stage(members.join(nodes.select("node", "n_shingles"), "node"), "families")
 
 
-def components_of(docs: DataFrame, nodes: DataFrame, width: int, similarity: int) -> DataFrame:
+def repeated_rows(rows: DataFrame) -> DataFrame:
+    """The doc_id and text_hash of nodes' rows that several rows share. Staged."""
+    counted = rows.filter("n_shingles > 0").groupBy("doc_id", "text_hash").agg(F.count("*").alias("rows"))
+    return stage(counted.filter("rows > 1").select("doc_id", "text_hash"), "repeated-rows")
+
+
+def components_of(docs: DataFrame, rows: DataFrame, nodes: DataFrame, width: int, similarity: int) -> DataFrame:
     """node and component of every node that has a link. Staged."""
-    postings = prefixes(nodes)
+    postings, repeated = prefixes(nodes, similarity), repeated_rows(rows)
 
     def confirm(blocks: DataFrame) -> DataFrame:
-        return stage(confirmed(stage(blocks, "dedup-blocks"), docs, nodes, width, similarity), "links")
+        return stage(confirmed(stage(blocks, "dedup-blocks"), docs, nodes, repeated, width, similarity), "links")
 
     links = confirm(star_blocks(stage(star_pairs(postings, nodes, similarity), "star-pairs")))
     groups = stage(connected_components(links), "groups")
@@ -481,7 +515,7 @@ def judged(docs: DataFrame, width: int, similarity: int) -> DataFrame:
     Of a group, ``stands`` is true for the rows of its least id (none comes last) and text hash.
     """
     rows, nodes = classes(docs, width)
-    groups = components_of(docs, nodes, width, similarity)
+    groups = components_of(docs, rows, nodes, width, similarity)
     grouped = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("without_id"), "doc_id", "text_hash")).alias("least")
     heads = grouped.groupBy("component").agg(least)

@@ -47,6 +47,17 @@ SUMS = 32
 # Ids of labelled documents up to this number are broadcast (at most about 40 bytes each).
 BROADCAST_IDS = 500_000
 
+# Inputs, directions, features and weights are multiples of these, so that every product and sum of
+# them is exact and no result depends on the order of the rows: of at most 2 ** 21 rows the
+# products of two features, multiples of 2 ** -32, add up within 53 bits.
+INPUT_STEP = 2.0**-12
+FEATURE_STEP = 2.0**-16
+WEIGHT_STEP = 2.0**-20
+# Statistics are far below this; their squares are summed in two halves.
+GREATEST_STATISTIC = 256.0
+STATISTIC_STEP = 2.0**-20
+HALF = 1 << 28
+
 # Rows of a batch in one matrix.
 BLOCK = 4096
 
@@ -128,9 +139,10 @@ class Model:
     scores: np.ndarray
 
     def features(self, values: np.ndarray) -> np.ndarray:
-        standard = np.clip((values - self.mean) / self.scale, -8, 8)
+        """Cosines and the constant 1, in whole steps of ``FEATURE_STEP``."""
+        standard = _in_steps(np.clip((values - self.mean) / self.scale, -8, 8), INPUT_STEP)
         cosines = np.cos(standard @ self.directions + self.phases) * np.sqrt(2 / len(self.phases))
-        return np.hstack([cosines, np.ones((len(values), 1))])
+        return np.hstack([_in_steps(cosines, FEATURE_STEP), np.ones((len(values), 1))])
 
     def raw(self, values: np.ndarray) -> np.ndarray:
         return self.features(values) @ self.weights
@@ -151,6 +163,11 @@ class Constant:
         return np.full(len(values), self.value)
 
 
+def _in_steps(values: np.ndarray, step: float) -> np.ndarray:
+    """The nearest multiples of ``step``."""
+    return np.round(values / step) * step
+
+
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("statistics").flatten().to_numpy().reshape(batch.num_rows, len(STATISTICS))
 
@@ -161,13 +178,15 @@ def _row(**values) -> pa.RecordBatch:
 
 @dataclass(frozen=True)
 class Moments:
-    """Number, sum and sum of squares of a task's statistics."""
+    """Number, sum and sum of squares (in two halves) of a task's statistics, in whole steps and so exact."""
 
     def __call__(self, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((3, len(STATISTICS)))
+        total = np.zeros((4, len(STATISTICS)))
         for batch in batches:
-            values = _matrix(batch)
-            total += [np.full(len(STATISTICS), len(values)), values.sum(0), (values**2).sum(0)]
+            values = np.clip(_matrix(batch), -GREATEST_STATISTIC, GREATEST_STATISTIC)
+            steps = np.round(values / STATISTIC_STEP).astype(np.int64)
+            high, low = np.divmod(steps * steps, HALF)
+            total += [np.full(len(STATISTICS), len(values)), steps.sum(0), high.sum(0), low.sum(0)]
         yield _row(sums=total.tobytes())
 
 
@@ -219,7 +238,7 @@ def _added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def summed(rows: DataFrame, sums) -> np.ndarray:
-    """The sums of all tasks added up: first in ``SUMS`` tasks, then here."""
+    """The sums of all tasks added up: first in ``SUMS`` tasks, then here. All are exact, in whatever order."""
     partial = rows.mapInArrow(sums, "sums binary").repartition(SUMS).mapInArrow(_added, "sums binary")
     return np.sum([np.frombuffer(row["sums"]) for row in partial.collect()], axis=0)
 
@@ -253,14 +272,15 @@ def train(rows: DataFrame, features: int = FEATURES, ridge: float = RIDGE, most:
         return Constant(float(least))
     if count > most:
         rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < int((1 << 32) * most / count))
-    number, total, squares = summed(rows, Moments()).reshape(3, -1)
-    mean = total / number
+    number, total, high, low = summed(rows, Moments()).reshape(4, -1)
+    mean = total * STATISTIC_STEP / number
+    squares = (high * HALF + low) * STATISTIC_STEP**2
     deviation = np.sqrt(np.maximum(squares / number - mean**2, 0))
     random = np.random.default_rng(SEED)
     model = Model(
         mean,
         np.where(deviation > 1e-9, deviation, 1.0),
-        random.normal(size=(len(STATISTICS), features)) / np.sqrt(len(STATISTICS)),
+        _in_steps(random.normal(size=(len(STATISTICS), features)) / np.sqrt(len(STATISTICS)), INPUT_STEP),
         random.uniform(0, 2 * np.pi, features),
         np.zeros(features + 1),
         np.zeros(1),
@@ -272,6 +292,7 @@ def train(rows: DataFrame, features: int = FEATURES, ridge: float = RIDGE, most:
     penalty[-1, -1] = 0
     # The constant is not shrunk; least squares also solves a system without full rank.
     weights = np.linalg.lstsq(equations[:, :size] / number[0] + penalty / number[0], equations[:, size] / number[0], rcond=None)[0]
+    weights = _in_steps(weights, WEIGHT_STEP)
     fitted = Model(model.mean, model.scale, model.directions, model.phases, weights, model.steps, model.scores)
     numbers, sums = summed(rows, Steps(fitted)).reshape(2, STEPS)
     used = numbers > 0
@@ -303,14 +324,15 @@ class Score:
 
 @dataclass(frozen=True)
 class Keep:
-    """Keeps the rows whose text reaches the threshold, with all their columns."""
+    """Keeps the rows whose text, in column ``place``, reaches the threshold, with all their columns."""
 
     model: Model | Constant
     threshold: float
+    place: int
 
     def __call__(self, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            texts = batch.column(self.place).to_pylist()
             values = np.array([statistics(text) for text in texts]).reshape(len(texts), len(STATISTICS))
             yield batch.filter(pa.array(self.model.score(values) >= self.threshold))
 
@@ -346,4 +368,7 @@ def accepted_documents(docs: DataFrame, labels: DataFrame, threshold: float = TH
         ids = F.broadcast(ids)
     labelled = docs.select("doc_id", "text").filter(~held_out(F.col("doc_id"))).join(ids, "doc_id", "left_semi")
     model = train(training_rows(described(labelled), labels, F.lit(True)))
-    return docs.mapInArrow(Keep(model, threshold), docs.schema)
+    # Columns pass through under plain names, as Spark takes a dot in one for a field.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    kept = plain.mapInArrow(Keep(model, threshold, docs.columns.index("text")), plain.schema)
+    return kept.toDF(*docs.columns)

@@ -11,7 +11,8 @@ that is left, documents are taken in the order of a seeded hash until the words
 it. That needs no sort of a source: words are summed for each source and leading part of the
 hash, and only the one part in which the fraction ends is sorted.
 
-Defined results: a null text has size 0; rows with equal ids share their fate; a source without
+Defined results: a null text has size 0; rows with equal ids share their fate, and so do rows
+without id if their texts are equal, while other rows without id are ordered by their texts; a source without
 words has target 0; a null source is one source, the last; an empty table gives an empty mix.
 Other columns of the input are not read.
 """
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from lakezones.llm.text import WORD, whole
 from lakezones.operators.keys import surrogate_key
 from lakezones.session import stage
+from lakezones.specs import quoted
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -39,9 +41,10 @@ BROADCAST_SOURCES = 100_000
 SALTS = 64
 
 
-def document_key(doc_id: Column, seed: str) -> Column:
-    """The place of a document in the seeded order of its source."""
-    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+def document_key(doc_id: Column, text: Column, seed: str) -> Column:
+    """The place of a document in the seeded order of its source: by its id, or by its text if it has none."""
+    named = F.coalesce(doc_id.cast("string"), F.concat(F.lit("null:"), F.md5(whole(text))))
+    return F.md5(F.concat(F.lit(seed + ":"), named))
 
 
 def measured(docs: DataFrame, seed: str = SEED) -> DataFrame:
@@ -50,7 +53,7 @@ def measured(docs: DataFrame, seed: str = SEED) -> DataFrame:
         "doc_id",
         "source",
         F.regexp_count(whole(F.col("text")), F.lit(WORD)).cast("bigint").alias("size"),
-        document_key(F.col("doc_id"), seed).alias("key"),
+        document_key(F.col("doc_id"), F.col("text"), seed).alias("key"),
     )
 
 
@@ -128,7 +131,7 @@ def mix_plan(
         .agg(F.max(F.when(F.col("taken"), F.col("key"))).alias("last"))
         .select("source", F.coalesce("last", "part").alias("cut"))
     )
-    columns = ["source", "source_size", "target", "whole"]
+    columns = ["source", "source_size", "target", "whole", "need"]
     # No cut: nothing is left to take, and no key is below the empty text.
     return _with_source(targets.select(*columns), cuts, "left").select(*columns, F.coalesce("cut", F.lit("")).alias("cut"))
 
@@ -145,7 +148,9 @@ def repetitions(rows: DataFrame, plan: DataFrame) -> DataFrame:
     The plan has one row per source. It is broadcast up to a measured number of sources; beyond,
     it is repeated for each of ``SALTS`` parts of a source, so that no task gets a whole one.
     """
-    copies = (F.col("whole") + (F.col("key") <= F.col("cut")).cast("bigint")).alias("copies")
+    # Where nothing is left to take, documents without words are not taken once more either.
+    more = (F.col("need") > 0) & (F.col("key") <= F.col("cut"))
+    copies = (F.col("whole") + more.cast("bigint")).alias("copies")
     if plan.count() <= BROADCAST_SOURCES:
         joined = _with_source(rows, F.broadcast(plan))
     else:
@@ -154,7 +159,7 @@ def repetitions(rows: DataFrame, plan: DataFrame) -> DataFrame:
         rows = rows.withColumn("_part", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
         on = F.col("source").eqNullSafe(F.col("_source")) & (F.col("_part") == F.col("_salt"))
         joined = rows.join(salted, on).drop("_source", "_salt", "_part")
-    return joined.select("*", copies).drop("whole", "cut")
+    return joined.select("*", copies).drop("whole", "need", "cut")
 
 
 def mix_sources(
@@ -174,7 +179,7 @@ def mixed_documents(
     """The documents of the mix, with the columns of ``docs``, each row as often as it is taken."""
     sizes = stage(measured(docs, seed), "mix-sizes")
     plan = stage(mix_plan(sizes, weights, max_epochs), "mix-plan")
-    columns = F.struct(*[docs[f"`{name}`"] for name in docs.columns])
-    rows = docs.select(columns.alias("row"), docs["source"], document_key(docs["doc_id"], seed).alias("key"))
+    columns = F.struct(*[docs[quoted(name)] for name in docs.columns])
+    rows = docs.select(columns.alias("row"), docs["source"], document_key(docs["doc_id"], docs["text"], seed).alias("key"))
     repeated = repetitions(rows, plan).filter("copies > 0")
     return repeated.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")

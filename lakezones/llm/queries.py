@@ -196,7 +196,7 @@ def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""
 WITH RECURSIVE
 sizes AS (SELECT doc_id, source, CAST(len({WORDS_SQL}) AS bigint) AS size,
-  md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS varchar), 'null')) AS key FROM documents),
+  md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS varchar), 'null:' || md5(coalesce(text, '')))) AS key FROM documents),
 sources AS (SELECT source, CAST(sum(size) AS bigint) AS source_size,
   [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight FROM sizes GROUP BY source),
 levels AS (SELECT 0 AS round, CAST(0 AS double) AS level UNION ALL

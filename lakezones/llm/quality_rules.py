@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakezones.llm.text import SPACE_RUN, SPACES, WORD, indices, split_words, whole
+from lakezones.specs import quoted
 
 SYMBOLS = "#*$%&|<>"
 
@@ -195,6 +196,6 @@ def passing_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass all rules, with the cleaned text, and its length as ``n_chars`` if they have that."""
     # A generator, as the text would be judged twice if a filter were moved below its projection.
     passing = F.explode(F.filter(F.array(passing_text(F.col("row.text"))), lambda text: text.isNotNull()))
-    rows = docs.select(F.struct(*[docs[name] for name in docs.columns]).alias("row")).select("row", passing.alias("cleaned"))
+    rows = docs.select(F.struct(*[F.col(quoted(name)) for name in docs.columns]).alias("row")).select("row", passing.alias("cleaned"))
     changed = {"text": F.col("cleaned"), "n_chars": F.length("cleaned").cast("bigint")}
     return rows.select(*[changed.get(name, F.col("row")[name]).alias(name) for name in docs.columns])

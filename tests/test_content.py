@@ -1,0 +1,244 @@
+"""Bucketed merges, compaction, audited overwrites and comparisons of tables."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakezones.operators.compare import table_diff
+from lakezones.operators.merge import MergeCardinalityError, merge_frames
+from lakezones.session import stage
+from lakezones.sinks.audit import AuditFailed, at_least, audited_overwrite, keeps, no_null_keys
+from lakezones.sinks.bucketed import bucketing, create_bucketed, has_hot_bucket, merge_bucketed, merged_by_bucket
+from lakezones.sinks.compaction import compact_table, packing, partition_values
+from lakezones.sinks.tables import append_partitions, create_table, merge_or_create, table_location
+from lakezones.sources.tables import read_table
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+# -- Buckets -------------------------------------------------------------------------------------
+
+OLD = [(i % 40, f"k{i % 3}", f"old{i}") for i in range(60)] + [(None, "k0", "null"), (7, None, "null")]
+NEW = [(i, f"k{i % 3}", f"new{i}") for i in range(20, 50)] + [(None, "k0", "new null"), (None, "k0", "new null 2"), (7, None, "new")]
+
+
+@pytest.mark.parametrize("keys, buckets", [(["id", "part"], 4), (["part", "id"], 1), (["id", "part"], 30)])
+@pytest.mark.parametrize("hot_bytes", [1 << 30, 0])
+def test_bucketed_merge_equals_the_plain_one(spark, database, keys, buckets, hot_bytes):
+    schema = "id bigint, part string, value string"
+    old, new = spark.createDataFrame(OLD, schema), spark.createDataFrame(NEW, "value string, ID int, part string" if False else schema)
+    expected = rows_of(merge_frames(old, new, ["id", "part"]))
+    table = (database, "t")
+    create_bucketed(old, table, keys, buckets)
+    assert bucketing(spark, table) == (buckets, keys)
+    merge_bucketed(new.select("value", "part", F.col("id").cast("string").alias("ID")), table, ["id", "part"], hot_bytes=hot_bytes)
+    assert rows_of(read_table(spark, table)) == expected
+    assert bucketing(spark, table) == (buckets, keys)
+    # The same batch again replaces each row by itself; rows without a key come once more.
+    merge_bucketed(new.filter("id IS NOT NULL AND part IS NOT NULL"), table, keys, hot_bytes=hot_bytes)
+    assert rows_of(read_table(spark, table)) == expected
+    assert {row.tableName for row in spark.sql(f"SHOW TABLES IN {database}").collect()} == {"t"}
+
+
+def test_the_target_is_not_shuffled(spark, database):
+    table = (database, "t")
+    create_bucketed(spark.range(5000).withColumn("v", F.lit("a")), table, ["id"], 8)
+    batch = stage(spark.range(4000, 6000).withColumn("v", F.lit("b")))
+    merged = merged_by_bucket(read_table(spark, table), batch, ["id"], 8)
+    text = plan(merged)
+    assert text.count("Exchange") == 1 and "Bucketed: true" in text
+    before_exchange = text[text.index("Exchange") :]
+    assert "Bucketed: true" not in before_exchange
+    assert merged.groupBy("v").count().orderBy("v").collect() == [("a", 4000), ("b", 2000)]
+    merge_bucketed(batch, table, ["id"])
+    assert len(read_table(spark, table).inputFiles()) == 8
+
+
+def test_hot_bucket_is_found(spark, database):
+    even, hot = (database, "even"), (database, "hot")
+    create_bucketed(spark.range(8000), even, ["id"], 8)
+    create_bucketed(spark.range(8000).select(F.when(F.col("id") % 10 > 0, -1).otherwise(F.col("id")).alias("id"), F.rand(1).alias("v")), hot, ["id"], 8)
+    assert not has_hot_bucket(spark, even, 8, 0) and has_hot_bucket(spark, hot, 8, 0)
+    assert not has_hot_bucket(spark, hot, 8)
+
+
+def test_bucketed_merge_refuses_other_tables_and_repeated_keys(spark, database):
+    create_table(spark.range(5), (database, "plain"))
+    with pytest.raises(ValueError, match="no table bucketed"):
+        merge_bucketed(spark.range(5), (database, "plain"), ["id"])
+    create_bucketed(spark.range(5), (database, "t"), ["id"], 2)
+    with pytest.raises(ValueError, match="no table bucketed"):
+        merge_bucketed(spark.range(5), (database, "t"), ["other"])
+    with pytest.raises(MergeCardinalityError):
+        merge_bucketed(spark.range(3).union(spark.range(3)), (database, "t"), ["id"])
+    assert read_table(spark, (database, "t")).count() == 5
+
+
+# -- Compaction ----------------------------------------------------------------------------------
+
+
+def test_packing(spark):
+    rnd = random.Random(3)
+    files = [(f"f{i % 5}", f"p{i}", rnd.choice([10, 40, 90, 100, 250])) for i in range(100)]
+    files += [("large", f"l{i}", 100) for i in range(6)] + [("alone", "a", 10), ("two", "b", 99), ("two", "c", 10)]
+    packed = packing(spark.createDataFrame(files, "folder string, path string, length bigint"), 100).collect()
+    by_folder = {}
+    for row in packed:
+        by_folder.setdefault(row.folder, {}).setdefault(row.bin, []).append(row.length)
+    # Folders of large files, and those with one small file, are left.
+    assert set(by_folder) == {f"f{i}" for i in range(5)}
+    for folder, bins in by_folder.items():
+        assert sorted(sum(bins.values(), [])) == sorted(length for name, _, length in files if name == folder)
+        assert all(sum(found) - min(found) < 100 or len(found) == 1 for found in bins.values())
+        assert len(bins) < sum(len(found) for found in bins.values())
+
+
+@pytest.mark.parametrize("partitioned", [True, False])
+def test_compaction_keeps_rows(spark, database, partitioned):
+    table = (database, "t")
+    rows = spark.range(600).select("id", F.concat(F.lit("é x/=%"), (F.col("id") % 3).cast("string")).alias("part"))
+    create_table(rows.filter("id < 100").repartition(4), table, partition_column="part" if partitioned else None)
+    for start in range(100, 600, 100):
+        more = rows.filter((F.col("id") >= start) & (F.col("id") < start + 100))
+        append_partitions(more, table, "part") if partitioned else more.write.insertInto(f"{database}.t")
+    before = read_table(spark, table)
+    files, expected = len(before.inputFiles()), rows_of(before)
+    assert files >= (18 if partitioned else 9)
+    found = compact_table(spark, table)
+    after = read_table(spark, table)
+    wanted = 3 if partitioned else 1
+    assert rows_of(after) == expected and len(after.inputFiles()) == wanted
+    assert (found.files_before, found.files_after, found.folders) == (files, wanted, wanted)
+    # Nothing is left to do, and the table takes more rows and merges.
+    again = compact_table(spark, table)
+    assert (again.files_before, again.files_after, again.folders) == (wanted, wanted, 0)
+    merge_or_create(rows.filter("id = 5").withColumn("id", F.lit(5).cast("bigint")), table, ["id", "part"])
+    assert rows_of(read_table(spark, table)) == expected
+
+
+def test_large_partitions_are_left(spark, database):
+    table = (database, "t")
+    rows = spark.range(3000).select(F.sha2(F.col("id").cast("string"), 256).alias("v"), F.when(F.col("id") < 2900, "large").otherwise("small").alias("p"))
+    create_table(rows.filter("p = 'large'"), table, partition_column="p")
+    for rest in range(4):
+        append_partitions(rows.filter((F.col("p") == "small") & (F.crc32("v") % 4 == rest)), table, "p")
+    kept = {path for path in read_table(spark, table).inputFiles() if "p=large" in path}
+    expected = rows_of(read_table(spark, table))
+    found = compact_table(spark, table, target_bytes=100_000)
+    after = read_table(spark, table).inputFiles()
+    assert kept <= set(after) and len(after) == len(kept) + 1 and found.folders == 1
+    assert rows_of(read_table(spark, table)) == expected
+
+
+def test_compaction_of_nothing(spark, database):
+    assert compact_table(spark, (database, "absent")).folders == 0
+    create_table(spark.range(0), (database, "empty"))
+    assert compact_table(spark, (database, "empty")).folders == 0
+    assert partition_values("file:/x/a=1/b=x%2Fy", ["a", "b"]) == [("a", "1"), ("b", "x/y")]
+
+
+def test_the_partition_of_null_stays(spark, database):
+    table = (database, "t")
+    rows = spark.range(40).select("id", F.when(F.col("id") % 2 == 0, "a").alias("p"))
+    create_table(rows.filter("id < 20"), table, partition_column="p")
+    append_partitions(rows.filter("id >= 20"), table, "p")
+    expected = rows_of(read_table(spark, table))
+    assert compact_table(spark, table).folders == 1
+    assert rows_of(read_table(spark, table)) == expected
+
+
+def test_append_gives_one_file_for_a_partition(spark, database):
+    table = (database, "t")
+    rows = spark.range(0, 8000, 1, 8).select("id", (F.col("id") % 2).cast("string").alias("p"))
+    create_table(rows, table, partition_column="p")
+    files = len(read_table(spark, table).inputFiles())
+    append_partitions(rows, table, "p")
+    assert (files, len(read_table(spark, table).inputFiles())) == (2, 4)
+
+
+# -- Audits --------------------------------------------------------------------------------------
+
+
+def test_bad_content_is_not_published(spark, database):
+    table, checks = (database, "t"), [at_least(3), no_null_keys(["id"], most=1), keeps(0.5)]
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, "e"), (6, "f"), (7, "g"), (None, "h")], "id int, v string")
+    audit = audited_overwrite(rows, table, checks)
+    assert (audit.rows_before, audit.rows_after, audit.counts["null_id"]) == (0, 8, 1)
+    place = table_location(spark, table)
+    for bad, problem in (
+        (rows.filter("id < 3"), "2 rows, 3 are needed"), (rows.filter("id < 4"), "3 rows are left of 8"),
+        (rows.withColumn("id", F.lit(None).cast("int")), "8 rows without id"),
+    ):
+        with pytest.raises(AuditFailed, match=problem) as failed:
+            audited_overwrite(bad, table, checks)
+        assert spark.read.parquet(failed.value.folder).count() == bad.count()
+    assert table_location(spark, table) == place and rows_of(read_table(spark, table)) == rows_of(rows)
+    # Content that is read from the table itself.
+    audit = audited_overwrite(read_table(spark, table).filter("id > 2"), table, checks)
+    assert (audit.rows_before, audit.rows_after, audit.changed) == (8, 5, -3)
+    assert read_table(spark, table).count() == 5
+
+
+def test_audit_of_a_new_table_and_of_partitions(spark, database):
+    with pytest.raises(AuditFailed):
+        audited_overwrite(spark.range(2), (database, "t"), [at_least(3)])
+    assert read_table(spark, (database, "t")) is None
+    create_table(spark.range(4).withColumn("p", F.lit(1)), (database, "p"), partition_column="p")
+    with pytest.raises(ValueError, match="unpartitioned"):
+        audited_overwrite(spark.range(4).withColumn("p", F.lit(1)), (database, "p"), [])
+
+
+# -- Comparison ----------------------------------------------------------------------------------
+
+SCHEMA = "a int, b string, v double, m map<string, int>, s struct<x: int, y: array<int>>"
+
+
+def state(rnd, size):
+    rows = []
+    for _ in range(size):
+        keys = (rnd.choice([None, *range(30)]), rnd.choice([None, "x", ""]))
+        rows.append((*keys, rnd.choice([None, 1.0, 2.0]), rnd.choice([None, {"k": 1, "l": 2}]), rnd.choice([None, (1, [1, None]), (1, [1])])))
+    return rows
+
+
+@pytest.mark.parametrize("ranges", [1, 7, None])
+def test_changes_by_key(spark, ranges):
+    rnd = random.Random(ranges)
+    before = state(rnd, 150)
+    after = [row for row in before if rnd.random() < 0.9] + state(rnd, 15)
+    found = table_diff(
+        spark.createDataFrame(before, SCHEMA), spark.createDataFrame(after, SCHEMA).select("s", "m", "a", "b", "v"), ["a", "b"], ranges
+    )
+
+    def by_key(rows):
+        grouped = {}
+        for row in rows:
+            grouped.setdefault(row[:2], []).append(str(row[2:]))
+        return {key: sorted(values) for key, values in grouped.items()}
+
+    old, new = by_key(before), by_key(after)
+    expected = []
+    for key in old.keys() | new.keys():
+        if old.get(key) != new.get(key):
+            status = "inserted" if key not in old else "deleted" if key not in new else "updated"
+            expected.append((*key, status, len(old.get(key, [])), len(new.get(key, []))))
+    assert rows_of(found.changes) == sorted(expected, key=str)
+
+
+def test_only_differing_ranges_are_looked_into(spark):
+    before = spark.range(10_000).withColumn("v", F.col("id") * 2)
+    after = before.withColumn("v", F.when(F.col("id").isin(17, 4000), -1).otherwise(F.col("v")))
+    found = table_diff(before, after, ["id"], 500)
+    assert found.differing == 2 and rows_of(found.changes) == [(17, "updated", 1, 1), (4000, "updated", 1, 1)]
+    assert table_diff(before, before, ["id"]).differing == 0
+    swapped = before.withColumn("v", F.when(F.col("id") == 1, 4).when(F.col("id") == 2, 2).otherwise(F.col("v")))
+    assert len(rows_of(table_diff(before, swapped, ["id"], 1).changes)) == 2
+    with pytest.raises(ValueError, match="different columns"):
+        table_diff(before, after.withColumn("w", F.lit(1)), ["id"])

@@ -119,8 +119,28 @@ def _rule_sql(host: str, path: str, part: str) -> str:
 
 
 def _tag_sql(tag: str, address: str) -> str:
+    """The address in the first such tag that has one."""
     tag, address = (pattern.replace("'", "''") for pattern in (tag, address))
-    return f"regexp_extract(regexp_extract(coalesce(html, ''), '{tag}'), '{address}', 1)"
+    found = "trim(concat(" + ", ".join(f"regexp_extract(one, '{address}', {group})" for group in (1, 2, 3)) + "))"
+    for entity, character in url_filters.ENTITIES.items():
+        found = "replace({}, '{}', '{}')".format(found, entity, character.replace("'", "''"))
+    return f"list_filter(list_transform(regexp_extract_all(coalesce(html, ''), '{tag}'), lambda one: {found}), lambda one: one <> '')[1]"
+
+
+def _dots_sql(path: str) -> str:
+    """The path without dot steps."""
+    steps = f"string_split({path}, '/')"
+    way = (
+        f"list_reduce(list_prepend([''], list_transform({steps}[2:], lambda s: [s])), lambda w, x:"
+        " CASE WHEN x[1] = '.' THEN w WHEN x[1] = '..' THEN w[1:greatest(len(w) - 1, 1)] ELSE list_concat(w, x) END)"
+    )
+    plain = f"array_to_string({way}, '/') || CASE WHEN {steps}[-1] IN ('.', '..') THEN '/' ELSE '' END"
+    return f"CASE WHEN regexp_matches({path}, '{url_filters.DOTS}') THEN {plain} ELSE {path} END"
+
+
+def _node_sql(url: str) -> str:
+    query = f"regexp_extract({url}, '://[^/?#]*[^?#]*(\\?[^#]*)', 1)"
+    return f"{HOST_SQL.format(url)} || {_dots_sql(PATH_SQL.format(url))} || {query}"
 
 
 @query(f"""
@@ -130,14 +150,15 @@ found AS (
   UNION ALL SELECT url, {_tag_sql(url_filters.REFRESH_TAG, url_filters.REFRESH_ADDRESS)} FROM pages),
 sited AS (SELECT *, split_part(url, '://', 1) AS scheme, {HOST_SQL.format("url")} AS host, {PATH_SQL.format("url")} AS path
   FROM found WHERE t <> '' AND contains(url, '://')),
-targets AS (SELECT url, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t
+resolved AS (SELECT url, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t
   WHEN starts_with(t, '//') THEN scheme || ':' || t
   WHEN starts_with(t, '/') THEN scheme || '://' || host || t
   WHEN starts_with(t, '#') OR starts_with(t, '?') THEN scheme || '://' || host || path || t
   ELSE scheme || '://' || host || CASE WHEN contains(path, '/') THEN regexp_extract(path, '^(.*/)?') ELSE '/' END || t END AS target
   FROM sited),
-named AS (SELECT {HOST_SQL.format("url")} || regexp_extract(url, '://[^/?#]*([^#]*)', 1) AS a,
-  {HOST_SQL.format("target")} || regexp_extract(target, '://[^/?#]*([^#]*)', 1) AS b, url, target FROM targets),
+targets AS (SELECT url, regexp_extract(target, '^.*?://[^/?#]*') || ({_dots_sql(PATH_SQL.format("target"))}) || regexp_extract(target, '^.*?://[^?#]*(.*)$', 1) AS target
+  FROM resolved),
+named AS (SELECT {_node_sql("url")} AS a, {_node_sql("target")} AS b, url, target FROM targets),
 links AS (SELECT a, b FROM named WHERE a <> b UNION SELECT b, a FROM named WHERE a <> b),
 reach AS (SELECT a, a AS b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
 own AS (SELECT DISTINCT a, {_rule_sql(HOST_SQL.format("url"), PATH_SQL.format("url"), "verdict")} AS verdict FROM named
@@ -145,7 +166,7 @@ own AS (SELECT DISTINCT a, {_rule_sql(HOST_SQL.format("url"), PATH_SQL.format("u
 given AS (SELECT reach.a, CASE WHEN bool_or(verdict = 'allow') THEN 'allow' WHEN bool_or(verdict = 'block') THEN 'block' END AS verdict
   FROM reach JOIN own ON reach.b = own.a GROUP BY reach.a),
 judged AS (SELECT page_id, {HOST_SQL.format("coalesce(url, '')")} AS host, {PATH_SQL.format("coalesce(url, '')")} AS path,
-  CASE WHEN contains(url, '://') THEN {HOST_SQL.format("url")} || regexp_extract(url, '://[^/?#]*([^#]*)', 1) END AS node FROM pages)
+  CASE WHEN contains(url, '://') THEN {_node_sql("url")} END AS node FROM pages)
 SELECT page_id, host, path, {_rule_sql("host", "path", "text")} AS rule,
   coalesce({_rule_sql("host", "path", "verdict")}, given.verdict, 'allow') AS verdict
 FROM judged LEFT JOIN given ON node = given.a

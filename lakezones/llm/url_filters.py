@@ -5,7 +5,8 @@ of the address starts with the rule's; the longest fitting rule decides.
 
 Addresses that no rule fits are judged by redirect equivalence: a page and the address that it
 redirects to (``meta`` refresh) or calls its canonical one are aliases, and so are addresses
-that differ in scheme or fragment only. Aliases are found as connected components over these
+that differ in scheme or fragment only, or in ``.`` and ``..`` steps of the path. The first tag of a
+kind that has an address counts; entities in it are decoded. Aliases are found as connected components over these
 links. In a component an explicit allow takes precedence, else an explicit block of any member
 blocks the members without a rule, and otherwise they are allowed. Link targets count as
 members also where they are no row of the table.
@@ -31,8 +32,14 @@ from lakezones.session import stage
 # Patterns of link and refresh tags, and of the address in them.
 CANONICAL_TAG = r"""(?i)<link\s[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
 REFRESH_TAG = r"""(?i)<meta\s[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
-LINK_ADDRESS = r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)"""
-REFRESH_ADDRESS = r"""(?i)\burl\s*=\s*["']?([^"'\s>;]+)"""
+LINK_ADDRESS = r"""(?i)[\s"']href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^"'\s>]+))"""
+REFRESH_ADDRESS = r"""(?i)[\s"';,]url\s*=\s*(?:"([^"]*)"|'([^']*)'|([^"'\s>]+))"""
+# How characters that mean something in tags are written in an address; the ampersand comes last.
+ENTITIES = {
+    "&quot;": '"', "&#34;": '"', "&apos;": "'", "&#39;": "'", "&#x27;": "'", "&lt;": "<", "&gt;": ">", "&#x2F;": "/", "&#47;": "/",
+    "&#38;": "&", "&#x26;": "&", "&amp;": "&",
+}
+DOTS = r"/\.{1,2}(/|$)"
 
 
 @dataclass(frozen=True)
@@ -65,10 +72,24 @@ def url_path(url: Column) -> Column:
     return F.regexp_extract(_after_scheme(whole(url)), "^[^/?#]*([^?#]*)", 1)
 
 
+def without_dots(path: Column) -> Column:
+    """The path without ``.`` and ``..`` steps."""
+    steps = F.split(path, "/", -1)
+
+    def walked(way: Column, step: Column) -> Column:
+        back = F.slice(way, 1, F.greatest(F.size(way) - 1, F.lit(1)))
+        return F.when(step == ".", way).when(step == "..", back).otherwise(F.concat(way, F.array(step)))
+
+    way = F.aggregate(F.slice(steps, 2, F.size(steps)), F.array(F.lit("")), walked)
+    ends_in_folder = F.element_at(steps, -1).isin(".", "..")
+    plain = F.concat(F.array_join(way, "/"), F.when(ends_in_folder, "/").otherwise(""))
+    return F.when(path.rlike(DOTS), plain).otherwise(path)
+
+
 def url_node(url: Column) -> Column:
-    """What aliases share: the address without scheme and fragment; null without ``://``."""
-    rest = F.regexp_extract(_after_scheme(whole(url)), "^[^/?#]*([^#]*)", 1)
-    return F.when(whole(url).contains("://"), F.concat(url_host(url), rest))
+    """What aliases share: the address without scheme, fragment and dot steps; null without ``://``."""
+    query = F.regexp_extract(_after_scheme(whole(url)), r"^[^/?#]*[^?#]*(\?[^#]*)", 1)
+    return F.when(whole(url).contains("://"), F.concat(url_host(url), without_dots(url_path(url)), query))
 
 
 def deciding_rule(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column, Column]:
@@ -84,20 +105,40 @@ def deciding_rule(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Co
     return (none, none) if name is None else (name, verdict)
 
 
+def tag_address(html: Column, tag: str, address: str) -> Column:
+    """The address in the first such tag that has one; null without one."""
+
+    def found(text: Column) -> Column:
+        value = F.btrim(F.concat(*[F.regexp_extract(text, address, group) for group in (1, 2, 3)]))
+        for entity, character in ENTITIES.items():
+            value = F.replace(value, F.lit(entity), F.lit(character))
+        return value
+
+    tags = F.regexp_extract_all(whole(html), F.lit(tag), F.lit(0))
+    return F.get(F.filter(F.transform(tags, found), lambda one: one != ""), 0)
+
+
 def link_target(url: Column, html: Column, tag: str, address: str) -> Column:
-    """The absolute address in the first such tag, null without one."""
-    found = F.regexp_extract(F.regexp_extract(whole(html), tag, 0), address, 1)
+    """The absolute address in the first such tag that has one, null without one."""
+    found = tag_address(html, tag, address)
     scheme = F.substring_index(url, "://", 1)
     site = F.concat(scheme, F.lit("://"), url_host(url))
     folder = F.regexp_extract(url_path(url), "^(.*/)?", 0)
-    return (
-        F.when((found == "") | ~whole(url).contains("://"), None)
+    target = (
+        F.when(found.isNull() | ~whole(url).contains("://"), None)
         .when(found.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), found)
         .when(found.startswith("//"), F.concat(scheme, F.lit(":"), found))
         .when(found.startswith("/"), F.concat(site, found))
         .when(found.startswith("#") | found.startswith("?"), F.concat(site, url_path(url), found))
         .otherwise(F.concat(site, F.when(folder == "", "/").otherwise(folder), found))
     )
+    return _plain_address(target)
+
+
+def _plain_address(url: Column) -> Column:
+    """The address without dot steps in its path."""
+    start, rest = F.regexp_extract(url, "^.*?://[^/?#]*", 0), F.regexp_extract(url, "^.*?://[^?#]*(.*)$", 1)
+    return F.when(url_path(url).rlike(DOTS), F.concat(start, without_dots(url_path(url)), rest)).otherwise(url)
 
 
 def alias_links(pages: DataFrame) -> DataFrame:

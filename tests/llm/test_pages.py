@@ -80,6 +80,51 @@ def test_aliases(pages):
     assert url_filters.judge_urls(pages(rows).filter("false"), RULES).collect() == []
 
 
+LINKS = [
+    ("http://a.net/x", '<link rel="canonical" href="http://x.com/de/1?a=1&amp;b=2">', "http://x.com/de/1?a=1&b=2"),
+    ("http://a.net/x", "<link rel=canonical><link rel=canonical href=''><link href='http://b.net/2' rel=canonical>", "http://b.net/2"),
+    ("http://a.net/x", '<link rel="canonical" href=" http://b.net/a b ">', "http://b.net/a b"),
+    ("http://a.net/x", '<link data-href="http://no.net/" rel="canonical" href="http://b.net/2">', "http://b.net/2"),
+    ("http://a.net/p/q/r", '<link rel="canonical" href="../s/./t">', "http://a.net/p/s/t"),
+    ("http://a.net/p/q/r", '<link rel="canonical" href="../../../..">', "http://a.net/"),
+    ("http://a.net/p/q/r", '<link rel="canonical" href=".">', "http://a.net/p/q/"),
+    ("http://a.net/p", '<link rel="canonical" href="http://b.net/x/../y/..?q=/../z#/../f">', "http://b.net/?q=/../z#/../f"),
+    ("http://a.net/p", '<link rel="canonical" href="/...a/..b/x">', "http://a.net/...a/..b/x"),
+    ("http://a.net/p", "<link rel='canonical' href='http://b.net/?q=&quot;&lt;&#39;&amp;amp;'>", "http://b.net/?q=\"<'&amp;"),
+]
+REDIRECTS = [
+    ("http://a.net/x", '<meta http-equiv="refresh" content="0;url=http://b.net/?page=2&amp;ref=x;y">', "http://b.net/?page=2&ref=x;y"),
+    ("http://a.net/x", """<meta http-equiv="refresh" content="0; URL='http://b.net/a'">""", "http://b.net/a"),
+    ("http://a.net/x", '<meta http-equiv="refresh" content="5"><meta http-equiv=refresh content="1; url=/b">', "http://a.net/b"),
+]
+
+
+@pytest.mark.parametrize("url, html, target", LINKS + REDIRECTS)
+def test_targets(pages, url, html, target):
+    kinds = [(url_filters.CANONICAL_TAG, url_filters.LINK_ADDRESS), (url_filters.REFRESH_TAG, url_filters.REFRESH_ADDRESS)]
+    found = pages([(1, url, html)]).select(*[url_filters.link_target(F.col("url"), F.col("html"), *kind) for kind in kinds]).first()
+    assert sorted(filter(None, found)) == [target]
+
+
+def test_links_against_sql(pages, spark, tmp_path):
+    """The registered SQL, on a table that has links."""
+    import duckdb
+
+    from lakezones.llm.queries import ORACLES
+
+    rows = [(i, url.replace("a.net", f"a{i}.net"), html.replace("a.net", f"a{i}.net")) for i, (url, html, _) in enumerate(LINKS + REDIRECTS)]
+    rows += [(100, "http://b.net/2", canonical("http://x.com/de/9")), (101, "https://b.net/./k/../2", None), (102, "http://b.net/a", refresh("http://y.com/fr/1"))]
+    rows += [(200 + i, f"http://s{i}.net/", canonical(f"http://s{i // 2}.net/")) for i in range(20)] + [(300, "http://s0.net/", refresh("http://x.com/de/"))]
+    found = sorted(map(tuple, url_filters.judge_urls(pages(rows), RULES).collect()))
+    path = str(tmp_path / "pages.parquet")
+    pages(rows).coalesce(1).write.parquet(path)
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW pages AS SELECT * FROM '{path}/*.parquet'")
+    cursor = connection.execute(f"SELECT page_id, host, path, rule, verdict FROM ({ORACLES['op5_url_filters']})")
+    assert sorted(cursor.fetchall()) == found
+    assert {row[4] for row in found} == {"allow", "block"}
+
+
 def test_many_aliases_of_one_page(pages):
     rows = [(i, f"http://s{i}.net/", canonical("http://x.com/de/1")) for i in range(300)]
     assert {row["verdict"] for row in url_filters.judge_urls(pages(rows), RULES).collect()} == {"block"}

@@ -42,8 +42,9 @@ def merge_or_create(
     partition_column: str | None = None,
     staged: bool = False,
     unique: bool = False,
+    location: str | None = None,
 ) -> None:
-    """Upsert ``batch`` into ``table`` on ``keys``; create the table when it is missing.
+    """Upsert ``batch`` into ``table`` on ``keys``; create the table, at ``location``, when it is missing.
 
     ``staged`` says that the batch is cheap to read several times, as a table is; otherwise it
     is written once to the shared folder first. ``unique`` says that no key repeats in the batch, as
@@ -53,7 +54,7 @@ def merge_or_create(
     spark, keys = batch.sparkSession, list(keys)
     target = read_table(spark, table)
     if target is None:
-        create_table(batch, table, provider, partition_column)
+        create_table(batch, table, provider, partition_column, location)
         return
     if _provider(spark, table) in ROW_LEVEL_FORMATS:
         spark.sql(
@@ -162,9 +163,9 @@ def append_partitions(
 
 
 def create_table(
-    df: DataFrame, table: Name, provider: str = "parquet", partition_column: str | None = None
+    df: DataFrame, table: Name, provider: str = "parquet", partition_column: str | None = None, location: str | None = None
 ) -> None:
-    """Create ``table`` with the rows of ``df`` below the location of its database."""
+    """Create ``table`` with the rows of ``df`` at ``location``, by default below that of its database."""
     name = quoted_table(table)
     if provider in ROW_LEVEL_FORMATS:
         writer = (
@@ -174,13 +175,15 @@ def create_table(
             .tableProperty("write.parquet.compression-codec", "snappy")
             .tableProperty("target-file-size-bytes", str(TARGET_FILE_BYTES))
         )
+        if location:
+            writer = writer.tableProperty("location", location)
         (writer.partitionedBy(F.col(partition_column)) if partition_column else writer).create()
         return
     writer = df.write.format("parquet").option("compression", "snappy")
     if partition_column:
         writer = _by_partition(df, [partition_column]).write.format("parquet").option("compression", "snappy")
         writer = writer.partitionBy(partition_column)
-    writer.option("path", new_folder(df.sparkSession, table)).saveAsTable(name)
+    writer.option("path", location or new_folder(df.sparkSession, table)).saveAsTable(name)
 
 
 def _by_partition(df: DataFrame, partitions: list[str]) -> DataFrame:

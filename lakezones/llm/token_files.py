@@ -28,7 +28,6 @@ import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
-from string import ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +44,24 @@ END_ID = 2
 # ASCII white space, at which a text can be cut without changing its ids.
 WORDS = re.compile("[^ \t\n\x0b\x0c\r]+")
 
-# Marks that are never merged with letters before them.
-MARKS = ".,;:!?"
+# Marks that may be encoded apart from the letters before them.
+MARKS = ".,;:!?#$%*"
+
+# Letters up to this one are single characters in every normal form.
+LAST_PLAIN = "ÿ"
+# Words on which it is tried what a vocabulary allows: all letters up to there, alone and in words.
+LETTERS = "".join(c for c in map(chr, range(256)) if c.isalpha())
+SAMPLES = [*LETTERS, *(LETTERS[i : i + 1 + i % 9] for i in range(len(LETTERS) - 9)), "Reading", "THE", "Straße", "canción", "théâtre"]
+
+
+def _byte_characters() -> dict[int, str]:
+    """The characters that stand for bytes: printable ones for themselves, the others from 256 on, in order."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [byte for byte in range(256) if byte not in printable]
+    return {byte: chr(byte) for byte in printable} | {byte: chr(256 + i) for i, byte in enumerate(others)}
+
+
+BYTE_CHARACTERS = _byte_characters()
 
 # Documents, or ids, that one task reads back.
 PIECE_DOCUMENTS = 1 << 16
@@ -64,28 +79,45 @@ BATCH_ROWS = 16_384
 
 
 class WordEncoder:
-    """Encodes whole texts as the library does, remembering the ids of words."""
+    """Encodes whole texts as the library does, remembering the ids of words.
+
+    What a vocabulary allows is tried on sample words: whether capitals make no difference, whether
+    marks behind a word are encoded apart from it, and whether a plain word can be given to the model
+    itself, without the steps before it. Words that are not plain always take all steps.
+    """
 
     def __init__(self, description: str):
         self.tokenizer = Tokenizer.from_str(description)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        # Only where capitals make no difference are words that differ in them the same.
-        self.folds = all(self._ids(letter) == self._ids(letter.lower()) for letter in ascii_uppercase)
+        lower = [word.lower() for word in SAMPLES]
+        self.folds = all(self._ids(word) == self._ids(plain) for word, plain in zip(SAMPLES, lower))
+        self.splits = all(self._ids(word + mark) == self._ids(word) + self._ids(mark) for word in lower for mark in (*MARKS, MARKS))
+        self.direct = all(self._ids(word) == self._model_ids(word) for word in lower)
         self.known = Remembered(REMEMBERED_WORDS, REMEMBERED_LENGTH, self._packed)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _model_ids(self, word: str) -> list[int]:
+        """The ids that the model alone gives for the bytes of a word, each as the character that stands for it."""
+        return [token.id for token in self.model.tokenize(word.encode().decode("latin-1").translate(BYTE_CHARACTERS))]
+
     def _packed(self, word: str) -> bytes:
-        """Words that differ in capitals or in a mark behind them are encoded once."""
-        if word[-1] in MARKS and word[:-1].isalpha():
-            return b"".join(self.known.all([word[:-1], word[-1]]))
-        if self.folds and word.isascii() and word.isalpha() and not word.islower():
-            return b"".join(self.known.all([word.lower()]))
-        return np.array(self._ids(word), self.dtype).tobytes()
+        """Words that differ in capitals or in marks behind them are encoded once."""
+        stem = word.rstrip(MARKS) if self.splits else word
+        if stem != word and stem.isalpha():
+            return b"".join(self.known.all([stem, word[len(stem) :]]))
+        if not (word.isalpha() and max(word) <= LAST_PLAIN):
+            return np.array(self._ids(word), self.dtype).tobytes()
+        lower = word.lower()
+        if self.folds and lower != word:
+            return b"".join(self.known.all([lower]))
+        ids = self._model_ids(word) if self.direct and lower == word else self._ids(word)
+        return np.array(ids, self.dtype).tobytes()
 
     def encode(self, text: str) -> bytes:
         return b"".join(self.known.all(WORDS.findall(text)))

@@ -164,5 +164,14 @@ def test_capitals_count_where_the_vocabulary_says_so():
     library = Tokenizer(models.WordLevel({"Ab": 0, "ab": 1, "A": 2, "a": 3, "[UNK]": 4}, unk_token="[UNK]"))
     library.normalizer = normalizers.Replace("x", "x")
     words = token_files.WordEncoder(library.to_str())
-    assert not words.folds and words.encode("Ab ab") != words.encode("ab ab")
-    assert token_files.encoder(WORD).folds
+    assert not words.folds and not words.direct and words.encode("Ab ab") != words.encode("ab ab")
+    encoder = token_files.encoder(WORD)
+    assert encoder.folds and encoder.splits and encoder.direct
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.one_of(st.sampled_from("aeinrstxyzAEß'.,;:!?#$%*<|>"), st.characters(max_codepoint=0x24F, exclude_categories=("Cs",))), max_size=24))
+def test_plain_words_are_encoded_as_the_library_does(text):
+    encoder = token_files.encoder(WORD)
+    expected = WORD_LIBRARY.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode(text), encoder.dtype).tolist() == expected

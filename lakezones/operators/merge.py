@@ -81,14 +81,19 @@ def _once_per_match(placed: DataFrame, keys: list[str], count: str) -> DataFrame
     """Each row as often as ``count`` says, and once where that is null.
 
     A key that a large part of the target shares is written by many tasks: its copies are cut
-    into pieces, which are spread first. Nearly all rows are one piece.
+    into pieces, which are dealt out to a fixed number of tasks. Partitions sized by Spark would put
+    them together again, as it sees the bytes of the pieces and not how many copies come of them.
     """
     piece, copy = unused_name(placed.columns, "_piece"), unused_name(placed.columns, "_copy")
-    copies = F.coalesce(F.col(count), F.lit(1))
+    copies, key = F.coalesce(F.col(count), F.lit(1)), [F.col(quoted(name)) for name in keys]
+    few = placed.filter(copies <= COPIES_PER_PIECE).hint("rebalance", *key)
+    copied = few.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), copies)))
     pieces = F.sequence(F.lit(0).cast("bigint"), F.floor((copies - 1) / COPIES_PER_PIECE))
-    spread = placed.withColumn(piece, F.explode(pieces)).hint("rebalance", *map(F.col, map(quoted, keys)), F.col(piece))
+    cut = placed.filter(copies > COPIES_PER_PIECE).withColumn(piece, F.explode(pieces))
+    tasks = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = cut.repartitionById(tasks, F.pmod(F.hash(*key) + F.col(piece), F.lit(tasks)).cast("int"))
     left = F.least(copies - F.col(piece) * COPIES_PER_PIECE, F.lit(COPIES_PER_PIECE))
-    return spread.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), left)))
+    return copied.unionByName(spread.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), left))).drop(piece))
 
 
 def time_of(column: Column, data_type: T.DataType) -> Column:

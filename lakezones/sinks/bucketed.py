@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Iterable
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,16 +20,24 @@ from lakezones.specs import quoted, quoted_table, unused_name
 
 log = logging.getLogger(__name__)
 
-# A bucket this many times larger than the average, and larger than a file should be, is hot.
-HOT_BUCKET = 5
+# A bucket this many times larger than the average, and larger than a file should be, is hot. The average is over
+# all buckets: of few keys, each with a large part of the rows, most buckets are empty.
+HOT_BUCKET = 2
+# Rows that one task sorts and writes. Not bytes: equal rows are small in files and shuffles, but not in a sort.
+ROWS_PER_TASK = 1_000_000
 # How Spark names the file of a bucket.
 BUCKET_OF_FILE = r"_(\d{5})(?:\.[^/]*)?$"
 
 
-def create_bucketed(df: DataFrame, table: Name, keys: Iterable[str], buckets: int) -> None:
-    """Create ``table`` with the rows of ``df``, bucketed and sorted by ``keys``; one file per bucket."""
+def create_bucketed(df: DataFrame, table: Name, keys: Iterable[str], buckets: int, staged: bool = False) -> None:
+    """Create ``table`` with the rows of ``df``, bucketed and sorted by ``keys``.
+
+    A bucket is one file; one of more than ``ROWS_PER_TASK`` rows is written by several tasks, and has as many files.
+    ``df`` is read twice, first for the rows of its buckets. ``staged`` says that it is made of rows of files, without
+    a shuffle; otherwise it is written to the shared folder before large buckets are dealt out.
+    """
     keys = list(keys)
-    _save(df.repartition(buckets, *map(quoted, keys)), quoted_table(table), keys, buckets, new_folder(df.sparkSession, table))
+    _save(_by_bucket(df, keys, buckets, staged), quoted_table(table), keys, buckets, new_folder(df.sparkSession, table))
 
 
 def bucketing(spark: SparkSession, table: Name) -> tuple[int, list[str]] | None:
@@ -63,7 +72,8 @@ def merge_bucketed(
     The batch is dealt out to the buckets and joined with them where they are. The table is read once,
     is not shuffled, and its new content has its buckets again. A bucket is one task, so
     a table with a hot bucket, by the size of its files, is merged through a shuffle instead, which
-    spreads the rows of a key over many tasks; a hot bucket then consists of several files.
+    spreads the rows of a key over many tasks. As when it is created, a bucket of more than ``ROWS_PER_TASK`` rows then
+    consists of several files.
     """
     spark, keys = batch.sparkSession, list(keys)
     target = read_table(spark, table)
@@ -107,9 +117,29 @@ def _merge_by_shuffle(batch: DataFrame, table: Name, target: DataFrame, keys: li
     spark = batch.sparkSession
     # Read as plain files: a scan by bucket would give the hot one to a single task.
     files = spark.read.schema(target.schema).parquet(table_location(spark, table))
-    merged = merge_frames(files, batch, keys, keys_fit_broadcast(batch, keys))
-    bucket = F.pmod(F.hash(*[F.col(quoted(key)) for key in keys]), F.lit(buckets))
-    return merged.hint("rebalance", bucket)
+    merged = stage(merge_frames(files, batch, keys, keys_fit_broadcast(batch, keys)), "merged")
+    return _by_bucket(merged, keys, buckets, staged=True)
+
+
+def _by_bucket(df: DataFrame, keys: list[str], buckets: int, staged: bool) -> DataFrame:
+    """The rows of a bucket in one task; those of one with more than ``ROWS_PER_TASK`` rows dealt out to several.
+
+    They are dealt out at random, so that equal rows are spread too. A repeated task has to deal them out as before,
+    so that they come from staged files, which give a task the same rows in the same order.
+    """
+    bucket, piece = unused_name(df.columns, "_bucket"), unused_name(df.columns, "_piece")
+    number = F.pmod(F.hash(*[F.col(quoted(key)) for key in keys]), F.lit(buckets)).alias(bucket)
+    sizes = df.groupBy(number).agg(F.ceil(F.count("*") / ROWS_PER_TASK).cast("int").alias(piece))
+    large = dict(map(tuple, sizes.filter(F.col(piece) > 1).collect()))
+    if not large:
+        return df.repartition(buckets, *map(quoted, keys))
+    # The first piece of a bucket has the number of the bucket, the others come behind all buckets.
+    pieces = [large.get(i, 1) for i in range(buckets)]
+    *second, tasks = accumulate((n - 1 for n in pieces), initial=buckets)
+    rows = (df if staged else stage(df, "bucket-rows")).withColumn(bucket, number)
+    dealt = rows.withColumn(piece, F.floor(F.rand(0) * F.lit(pieces)[F.col(bucket)]).cast("int"))
+    task = F.when(F.col(piece) > 0, F.lit(second)[F.col(bucket)] + F.col(piece) - 1).otherwise(F.col(bucket))
+    return dealt.repartitionById(tasks, task).select(*map(quoted, df.columns))
 
 
 def _switch_buckets(df: DataFrame, table: Name, keys: list[str], buckets: int) -> None:

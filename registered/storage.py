@@ -120,7 +120,7 @@ SELECT l_returnflag, l_orderkey, CASE WHEN l_returnflag = 'A' THEN -1.0 ELSE l_e
 def merge_hot_bucket(t: Tables) -> DataFrame:
     table = (t.database(), "lines")
     lines = t.lineitem.select("l_returnflag", "l_orderkey", F.col("l_extendedprice").alias("price"))
-    create_bucketed(lines, table, ["l_returnflag"], 8)
+    create_bucketed(lines, table, ["l_returnflag"], 8, staged=True)
     batch = t.lineitem.filter("l_returnflag = 'A'").select(
         "l_returnflag", F.lit(0).cast("bigint").alias("l_orderkey"), F.lit(-1.0).alias("price")
     )

@@ -5,9 +5,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from lakezones.operators import merge
 from lakezones.operators.compare import table_diff
 from lakezones.operators.merge import MergeCardinalityError, merge_frames
 from lakezones.session import stage
+from lakezones.sinks import bucketed
 from lakezones.sinks.audit import AuditFailed, at_least, audited_overwrite, keeps, no_null_keys
 from lakezones.sinks.bucketed import bucketing, create_bucketed, has_hot_bucket, merge_bucketed, merged_by_bucket
 from lakezones.sinks.compaction import compact_table, packing, partition_values
@@ -69,6 +71,43 @@ def test_hot_bucket_is_found(spark, database):
     assert not has_hot_bucket(spark, hot, 8)
 
 
+def test_few_keys_make_hot_buckets(spark, database):
+    table = (database, "t")
+    flag = F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R")), (F.col("id") % 3 + 1).cast("int"))
+    create_bucketed(spark.range(30_000).select(flag.alias("k"), F.rand(1).alias("v")), table, ["k"], 8)
+    assert has_hot_bucket(spark, table, 8, 0)
+
+
+def rows_of_tasks(spark, table):
+    """The rows of each file, which one task wrote."""
+    return [row["count"] for row in read_table(spark, table).groupBy(F.input_file_name()).count().collect()]
+
+
+@pytest.mark.parametrize("staged", [True, False])
+@pytest.mark.parametrize("hot_bytes", [1 << 30, 0])
+def test_no_task_holds_a_large_bucket(spark, database, tmp_path, monkeypatch, staged, hot_bytes):
+    # Equal rows, of which files and shuffles have few bytes.
+    monkeypatch.setattr(bucketed, "ROWS_PER_TASK", 500)
+    monkeypatch.setattr(merge, "COPIES_PER_PIECE", 100)
+    table, path = (database, "t"), str(tmp_path / "rows")
+    spark.range(9000).select((F.col("id") % 3).alias("k"), F.lit(1).alias("v")).write.parquet(path)
+    rows = spark.read.parquet(path).unionByName(spark.range(5).select(F.lit(None).cast("bigint").alias("k"), F.lit(2).alias("v")))
+    create_bucketed(rows if staged else rows.orderBy("v"), table, ["k"], 8, staged)
+    written = rows_of_tasks(spark, table)
+    assert sum(written) == 9005 and max(written) < 700 and len(written) < 30
+    batch = spark.createDataFrame([(0, -1), (7, -7), (None, -2)], "k bigint, v int")
+    merge_bucketed(batch, table, ["k"], hot_bytes=hot_bytes)
+    counts = read_table(spark, table).groupBy("k", "v").count()
+    assert rows_of(counts) == sorted(
+        [(0, -1, 3000), (1, 1, 3000), (2, 1, 3000), (7, -7, 1), (None, -2, 1), (None, 2, 5)], key=str
+    )
+    if hot_bytes == 0:
+        assert max(rows_of_tasks(spark, table)) < 700
+    # Each row is in a file of its bucket.
+    number = F.regexp_extract(F.input_file_name(), bucketed.BUCKET_OF_FILE, 1).cast("int")
+    assert read_table(spark, table).filter(number != F.pmod(F.hash("k"), F.lit(8))).isEmpty()
+
+
 def test_bucketed_merge_refuses_other_tables_and_repeated_keys(spark, database):
     create_table(spark.range(5), (database, "plain"))
     with pytest.raises(ValueError, match="no table bucketed"):

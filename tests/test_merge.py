@@ -102,6 +102,14 @@ def test_a_key_with_many_matches_is_written_in_pieces(spark, monkeypatch, broadc
     }
 
 
+def test_the_pieces_are_written_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(merge, "COPIES_PER_PIECE", 100)
+    target = spark.range(2000).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+    merged = merge_frames(target, spark.createDataFrame([(1, -1)], "k int, v bigint"), ["k"], True)
+    written = merged.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(row["count"] for row in written) == 2000 and max(row["count"] for row in written) <= 300
+
+
 def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
     spark.range(1000).selectExpr("id AS k", "id AS v").write.parquet(str(tmp_path / "t"))
     spark.range(10).selectExpr("id AS k", "id AS v").write.parquet(str(tmp_path / "s"))

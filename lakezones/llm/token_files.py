@@ -96,7 +96,8 @@ class WordEncoder:
         lower = [word.lower() for word in SAMPLES]
         self.folds = all(self._ids(word) == self._ids(plain) for word, plain in zip(SAMPLES, lower))
         self.splits = all(self._ids(word + mark) == self._ids(word) + self._ids(mark) for word in lower for mark in (*MARKS, MARKS))
-        self.direct = all(self._ids(word) == self._model_ids(word) for word in lower)
+        # Of a vocabulary that tells capitals apart the samples say too little: most of them may be unknown to it.
+        self.direct = self.folds and all(self._ids(word) == self._model_ids(word) for word in lower)
         self.known = Remembered(REMEMBERED_WORDS, REMEMBERED_LENGTH, self._packed)
 
     def _ids(self, text: str) -> list[int]:

@@ -47,7 +47,7 @@ def keys_fit_broadcast(source: DataFrame, keys: Iterable[str]) -> bool:
 
 
 def merge_frames(
-    target: DataFrame, source: DataFrame, keys: Iterable[str], broadcast_keys: bool = False
+    target: DataFrame, source: DataFrame, keys: Iterable[str], broadcast_keys: bool = False, tasks: int | None = None
 ) -> DataFrame:
     """Target rows without a match, one batch row for each matched target row, and the new batch rows.
 
@@ -58,7 +58,8 @@ def merge_frames(
     or a staged frame. With ``broadcast_keys``, for which ``keys_fit_broadcast`` must hold, the
     target is not shuffled, only the counts of the keys that the batch matches are. Otherwise
     Spark decides by size; if it shuffles, it does so on the keys, and the adaptive skew join
-    splits a hot key of the target.
+    splits a hot key of the target. ``tasks`` is the number of tasks that copies of rows are dealt out to, for hot keys:
+    by default Spark puts pieces together by their bytes, not by the copies that come of them.
     """
     keys = list(keys)
     source = align(source, target.schema)
@@ -74,26 +75,25 @@ def merge_frames(
     matches = present.groupBy(*map(quoted, keys)).agg(F.count("*").alias(count))
     placed = reject_null_keys(source, keys).join(matches, keys, "left")
     without_key = source.filter(any_null(keys))
-    return kept.unionByName(_once_per_match(placed, keys, count).select(*columns)).unionByName(without_key)
+    return kept.unionByName(_once_per_match(placed, keys, count, tasks).select(*columns)).unionByName(without_key)
 
 
-def _once_per_match(placed: DataFrame, keys: list[str], count: str) -> DataFrame:
+def _once_per_match(placed: DataFrame, keys: list[str], count: str, tasks: int | None) -> DataFrame:
     """Each row as often as ``count`` says, and once where that is null.
 
     A key that a large part of the target shares is written by many tasks: its copies are cut
-    into pieces, which are dealt out to a fixed number of tasks. Partitions sized by Spark would put
-    them together again, as it sees the bytes of the pieces and not how many copies come of them.
+    into pieces, which are spread first. Nearly all rows are one piece.
     """
     piece, copy = unused_name(placed.columns, "_piece"), unused_name(placed.columns, "_copy")
     copies, key = F.coalesce(F.col(count), F.lit(1)), [F.col(quoted(name)) for name in keys]
-    few = placed.filter(copies <= COPIES_PER_PIECE).hint("rebalance", *key)
-    copied = few.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), copies)))
     pieces = F.sequence(F.lit(0).cast("bigint"), F.floor((copies - 1) / COPIES_PER_PIECE))
-    cut = placed.filter(copies > COPIES_PER_PIECE).withColumn(piece, F.explode(pieces))
-    tasks = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = cut.repartitionById(tasks, F.pmod(F.hash(*key) + F.col(piece), F.lit(tasks)).cast("int"))
+    cut = placed.withColumn(piece, F.explode(pieces))
+    if tasks is None:
+        spread = cut.hint("rebalance", *key, F.col(piece))
+    else:
+        spread = cut.repartitionById(tasks, F.pmod(F.hash(*key) + F.col(piece), F.lit(tasks)).cast("int"))
     left = F.least(copies - F.col(piece) * COPIES_PER_PIECE, F.lit(COPIES_PER_PIECE))
-    return copied.unionByName(spread.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), left))).drop(piece))
+    return spread.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), left)))
 
 
 def time_of(column: Column, data_type: T.DataType) -> Column:

@@ -117,7 +117,8 @@ def _merge_by_shuffle(batch: DataFrame, table: Name, target: DataFrame, keys: li
     spark = batch.sparkSession
     # Read as plain files: a scan by bucket would give the hot one to a single task.
     files = spark.read.schema(target.schema).parquet(table_location(spark, table))
-    merged = stage(merge_frames(files, batch, keys, keys_fit_broadcast(batch, keys)), "merged")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    merged = stage(merge_frames(files, batch, keys, keys_fit_broadcast(batch, keys), tasks), "merged")
     return _by_bucket(merged, keys, buckets, staged=True)
 
 

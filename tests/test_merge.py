@@ -105,7 +105,7 @@ def test_a_key_with_many_matches_is_written_in_pieces(spark, monkeypatch, broadc
 def test_the_pieces_are_written_by_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(merge, "COPIES_PER_PIECE", 100)
     target = spark.range(2000).select(F.lit(1).alias("k"), F.col("id").alias("v"))
-    merged = merge_frames(target, spark.createDataFrame([(1, -1)], "k int, v bigint"), ["k"], True)
+    merged = merge_frames(target, spark.createDataFrame([(1, -1)], "k int, v bigint"), ["k"], True, 8)
     written = merged.groupBy(F.spark_partition_id()).count().collect()
     assert sum(row["count"] for row in written) == 2000 and max(row["count"] for row in written) <= 300
 

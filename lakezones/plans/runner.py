@@ -64,9 +64,12 @@ def run_tables(
         for numbered in enumerate(specs):
             one(numbered)
     else:
-        # Properties of the calling thread go along; each table has its own tag and pool.
+        # Properties of the calling thread go along, in a copy for each table: of one that threads share, each
+        # would change the tag and pool of the others.
         with ThreadPoolExecutor(at_most) as pool:
-            list(pool.map(inheritable_thread_target(one), enumerate(specs)))
+            runs = [pool.submit(inheritable_thread_target(one), numbered) for numbered in enumerate(specs)]
+            for run in runs:
+                run.result()
     if failures:
         ordered = [failures[spec.name] for spec in specs if spec.name in failures]
         raise ExceptionGroup(f"{len(ordered)} tables failed", ordered)

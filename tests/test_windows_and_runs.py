@@ -93,6 +93,18 @@ def test_at_most_two_at_once(spark):
     assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
 
 
+def test_tables_at_once_keep_their_own_tag_and_pool(spark):
+    both = threading.Barrier(2, timeout=60)
+
+    def load(spec):
+        both.wait()
+        found = spark.sparkContext.getLocalProperty("spark.scheduler.pool"), [tag.split("-")[1] for tag in spark.sparkContext.getJobTags()]
+        both.wait()
+        return found
+
+    assert run_tables(SPECS[:2], load, at_most=2) == {"a": ("table-0", ["a"]), "b": ("table-1", ["b"])}
+
+
 @pytest.mark.parametrize("at_most", [1, 3])
 def test_retries_wait_longer_each_time(spark, at_most):
     tries, waits = {}, []

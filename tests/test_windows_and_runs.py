@@ -61,6 +61,35 @@ def test_no_comparison_of_all_rows(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan and ("HashJoin" in plan or "SortMergeJoin" in plan)
 
 
+def test_rows_meet_windows_in_blocks(spark):
+    """Columns of windows come in runs, and a block of rows follows itself, so that files of the result are small."""
+    rows = spark.range(0, 1000, 1, 2).select("id", (F.lit(START) + F.make_dt_interval(days=(F.col("id") % 4).cast("int"))).alias("at"))
+    windows = spark.range(60).selectExpr("id AS w", "DATE '2023-12-31' + int(id % 5) AS a", "DATE '2024-01-01' + int(id % 5) AS b")
+    found = [(row.id, row.w) for row in join_windows(rows, "at", windows, "a", "b").collect()]
+    expected = [(i, w) for i in range(1000) for w in range(60) if w % 5 - 1 <= i % 4 <= w % 5]
+    assert sorted(found) == sorted(expected) and len(found) == 24_000
+    changes = sum(a[1] != b[1] for a, b in zip(found, found[1:], strict=False))
+    assert changes < len(found) / 20
+
+
+@pytest.mark.parametrize("block_rows", [1, 7, 128])
+def test_blocks_keep_equal_rows_nulls_and_any_type(spark, block_rows):
+    text = "TIMESTAMP '2024-01-01 10:00:00' + make_dt_interval(id % 3)"
+    rows = spark.range(400).selectExpr(
+        "id % 2 AS `a.b`", f"CASE WHEN id % 10 < 9 THEN {text} END AS at", "CASE WHEN id % 5 > 0 THEN map('k', id % 2) END AS _packed",
+        "array(named_struct('m', map(id % 2, 1))) AS n", "parse_json(string(id % 2)) AS v", "make_interval(0, int(id % 2)) AS i",
+        "CAST(NULL AS string) AS _block", "double('nan') AS _least",
+    )
+    windows = spark.createDataFrame([(1, date(2024, 1, 1), date(2024, 1, 2)), (1, date(2024, 1, 1), date(2024, 1, 2)), (2, None, date(2024, 1, 3))], "`w.x` int, a date, b date")
+    found = join_windows(rows, "at", windows, "a", "b", block_rows=block_rows)
+    assert found.columns == [*rows.columns, *windows.columns]
+    assert [field.dataType for field in found.schema] == [field.dataType for field in (*rows.schema, *windows.schema)]
+    every = [F.col(f"`{name}`").cast("string") for name in rows.columns]
+    inside = rows.filter("CAST(at AS date) < DATE '2024-01-03'").select(*every)
+    expected = sorted(map(str, inside.unionAll(inside).collect()))
+    assert sorted(map(str, found.select(*every).collect())) == expected and len(expected) == 480
+
+
 def test_long_windows_have_a_bounded_number_of_bins(spark):
     bounds = spark.createDataFrame([(0, 10**6)] * 100 + [(0, 10**6 * 10**8)], "f bigint, p bigint")
     width = bin_width(bounds, "f", "p")
